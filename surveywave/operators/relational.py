@@ -37,14 +37,20 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 class BroadcastPolicy:
-    """Broadcast a side only after its size is proven.
-
-    ``bounded(df, max_rows)`` counts at most ``max_rows + 1`` rows once per
-    name; a side that fits is hinted for broadcast, a larger one is left to the
-    planner (sort-merge join, AQE may still broadcast from measured sizes)."""
-
-    def __init__(self, max_rows: int = 2_000_000):
+    """Broadcast a join side only behind a size check, with a fallback.
+
+    mode "planner" (default): no hint.  Spark broadcasts a side whose
+      estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and, with
+      AQE, re-checks the *measured* shuffle size at run time; anything larger
+      stays a sort-merge join.  No extra job is launched.
+    mode "count": count at most ``max_rows + 1`` rows once per name and hint
+      ``broadcast`` only when the side fits (for stored dimension tables, where
+      the count reads Parquet metadata only).
+    """
+
+    def __init__(self, max_rows: int = 2_000_000, mode: str = "planner"):
         self.max_rows = max_rows
+        self.mode = mode
         self._decisions: dict[str, bool] = {}
 
     def fits(self, name: str, df: DataFrame, max_rows: int | None = None) -> bool:
@@ -54,6 +60,8 @@ class BroadcastPolicy:
         return self._decisions[name]
 
     def bounded(self, name: str, df: DataFrame, max_rows: int | None = None) -> DataFrame:
+        if self.mode != "count":
+            return df
         return F.broadcast(df) if self.fits(name, df, max_rows) else df
 
 

@@ -7,7 +7,8 @@ the group size, or a whole-group max.  ``sequence`` computes them together.
 Ordinary groups (a family has a handful of snapshots) go through one Window
 operator: one shuffle on the group keys, one sort.  A group with more than
 ``hot_rows`` rows would pin a single task, so such *hot* groups are found
-with a partially aggregated count and sequenced in ordered chunks instead:
+with a partially aggregated count (a bounded key list) and sequenced in
+ordered chunks instead:
 
 1. the hot rows are range-partitioned on (group keys, order keys), so one hot
    group is cut into consecutive, ordered chunks spread over many tasks;
@@ -29,13 +30,23 @@ from pyspark.sql import functions as F
 from surveywave.operators.relational import null_safe_join
 
 HOT_ROWS_CONF = "surveywave.sequence.hotGroupRows"
+MAX_HOT_CONF = "surveywave.sequence.maxHotGroups"
 DEFAULT_HOT_ROWS = 2_000_000
+DEFAULT_MAX_HOT = 10_000
 
 
-def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
-    if hot_rows is not None:
-        return hot_rows
-    return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
+    return int(df.sparkSession.conf.get(key, str(default)))
+
+
+def hot_groups(df: DataFrame, group: Sequence[str], threshold: int, max_hot: int):
+    """Groups with more than ``threshold`` rows, or None if more than
+    ``max_hot`` exist.  The count is partially aggregated (map-side combine),
+    so a hot key costs one row per map task; at most ``max_hot + 1`` key rows
+    ever reach the driver."""
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_grp_rows"))
+    rows = counts.filter(F.col("_grp_rows") > threshold).select(*group).limit(max_hot + 1).collect()
+    return None if len(rows) > max_hot else rows
 
 
 def sequence(
@@ -58,20 +69,30 @@ def sequence(
     first      out → source column: value on the first row of the group
     group_max  out → Column: max of that expression over the whole group
     ``order`` must be a total order (spell NULL placement explicitly).
+    The input is scanned once more to find hot groups: pass a stored or
+    checkpointed DataFrame when its lineage is expensive.
     """
     lag, first, group_max = lag or {}, first or {}, group_max or {}
-    threshold = _hot_rows(df, hot_rows)
+    spec = (group, order, number, size, lag, first, group_max)
+    threshold = hot_rows if hot_rows is not None else _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     if threshold <= 0:
-        return _plain(df, group, order, number, size, lag, first, group_max)
-
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_grp_rows"))
-    hot = counts.filter(F.col("_grp_rows") > threshold).select(*group)
+        return _plain(df, *spec)
+    max_hot = _conf_int(df, MAX_HOT_CONF, DEFAULT_MAX_HOT)
+    found = hot_groups(df, group, threshold, max_hot)
+    if found is not None and not found:
+        return _plain(df, *spec)
+    if found is not None:
+        # bounded list (≤ max_hot keys): broadcast is safe
+        hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(*group).schema))
+    else:
+        # more hot keys than the bound: keep the split inside the plan and let
+        # the planner pick the join (no unbounded broadcast)
+        hot = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_grp_rows"))
+                 .filter(F.col("_grp_rows") > threshold).select(*group))
     # NULL-safe split so that a hot NULL group is split as well.
     normal = null_safe_join(df, hot, group, "left_anti")
     heavy = null_safe_join(df, hot, group, "left_semi")
-    out_normal = _plain(normal, group, order, number, size, lag, first, group_max)
-    out_heavy = _chunked(heavy, group, order, number, size, lag, first, group_max)
-    return out_normal.unionByName(out_heavy)
+    return _plain(normal, *spec).unionByName(_chunked(heavy, *spec))
 
 
 def _plain(df, group, order, number, size, lag, first, group_max) -> DataFrame:
@@ -134,15 +155,3 @@ def _chunked(df, group, order, number, size, lag, first, group_max) -> DataFrame
     for o in group_max:
         outs.append(F.col(f"_gmax_{o}").alias(o))
     return joined.select(*df.columns, *outs)
-
-
-def flag_extreme(df: DataFrame, group: Sequence[str], key: Column, out: str) -> DataFrame:
-    """``out`` = this row carries the greatest ``key`` of its group.
-
-    ``key`` is a struct encoding the wanted order (with NULL placement made
-    explicit), so "first row by ORDER BY … DESC" is a partially aggregated max
-    plus a join back — no single task ever holds a whole group."""
-    best = df.groupBy(*group).agg(F.max(key).alias("_best"))
-    tagged = null_safe_join(df.withColumn("_key", key), best, group, "left")
-    return tagged.withColumn(out, F.coalesce(F.col("_key") == F.col("_best"), F.lit(False))) \
-                 .drop("_key", "_best")

@@ -1,8 +1,8 @@
 """Fact models: snapshot sequence and per-indicator score alignment.
 
 Shuffle plan (the only large exchanges of the pipeline):
-* fact_snapshots  — snapshots by (family, survey) for the sequence, then by
-  family for ``is_last`` (a partially aggregated max joined back);
+* fact_snapshots  — snapshots by family once: the family window (is_last)
+  and the (family, survey) window (sequence) share that partitioning;
 * fact_indicators — responses by snapshot_id (resolve), by response id
   (priority / achievement flags), by (family, survey indicator) (sequence).
 Every small side (survey indicators, organisations, surveys) is broadcast
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveywave.functions.columns import date_key, days_between, score_or_null
-from surveywave.operators.sequence import flag_extreme, sequence
+from surveywave.operators.sequence import sequence
 
 Small = Callable[[str, DataFrame], DataFrame]
 
@@ -46,30 +46,29 @@ def snapshot_order():
             F.col("snapshot_id").asc_nulls_last()]
 
 
-def latest_key():
-    """Struct whose max is the first row of ORDER BY date, created, id DESC
-    NULLS FIRST (a NULL sorts above every value, as in the source system)."""
-    def part(c, zero):
-        return [F.col(c).isNull(), F.coalesce(F.col(c), zero)]
-    epoch0 = F.lit(0).cast("timestamp")
-    return F.struct(*part("snapshot_date", epoch0), *part("snapshot_created_at", epoch0),
-                    *part("snapshot_id", F.lit(0).cast("long")))
+def latest_order():
+    """ORDER BY date, created, id DESC with NULLs first (source-system DESC)."""
+    return [F.col("snapshot_date").desc_nulls_first(), F.col("snapshot_created_at").desc_nulls_first(),
+            F.col("snapshot_id").desc_nulls_first()]
 
 
 def fact_snapshots(stg_snapshots: DataFrame) -> DataFrame:
-    """Recompute the per-(family, survey) sequence; source numbers are ignored."""
+    """Recompute the per-(family, survey) sequence; source numbers are ignored.
+
+    The family-level window runs first: its hash partitioning on family_id
+    already satisfies the (family, survey) window, so both share one shuffle."""
     s = stg_snapshots.drop("snapshot_number", "is_last")
+    # is_last is per family across all surveys.
+    latest = sequence(s, ["family_id"], latest_order(), number="_rev_rn")
     seq = sequence(
-        s, ["family_id", "survey_definition_id"], snapshot_order(),
+        latest, ["family_id", "survey_definition_id"], snapshot_order(),
         number="snapshot_number", size="max_snapshot_number",
         lag={"_prev_date": "snapshot_date"}, first={"_first_date": "snapshot_date"})
-    # is_last is per family across all surveys.
-    tagged = flag_extreme(seq, ["family_id"], latest_key(), "is_last")
-    return tagged.select(
+    return seq.select(
         "snapshot_id", "family_id", "organization_id", "application_id", "survey_definition_id",
         "project_id", date_key("snapshot_date").alias("date_key"), "snapshot_date",
-        "snapshot_number", "is_last", (F.col("snapshot_number") == 1).alias("is_baseline"),
-        "max_snapshot_number",
+        "snapshot_number", (F.col("_rev_rn") == 1).alias("is_last"),
+        (F.col("snapshot_number") == 1).alias("is_baseline"), "max_snapshot_number",
         days_between("snapshot_date", "_first_date").alias("days_since_baseline"),
         days_between("snapshot_date", "_prev_date").alias("days_since_previous"),
         "stoplight_skipped", "is_anonymous", "snapshot_created_at", "snapshot_updated_at")
@@ -90,7 +89,8 @@ def resolve_indicator(responses: DataFrame, snapshots: DataFrame, survey_indicat
 def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicators: DataFrame,
                     dim_family: DataFrame, dim_organization: DataFrame,
                     dim_survey_definition: DataFrame, priorities: DataFrame,
-                    achievements: DataFrame, small: Small = _identity) -> DataFrame:
+                    achievements: DataFrame, small: Small = _identity,
+                    stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     # Existence filters: the source inner-joins three dimensions without
     # selecting from them; with unique dimension keys that is a semi join.
     snaps = (fact_snaps
@@ -112,8 +112,10 @@ def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicato
                        F.col("_pr_id").isNotNull().alias("is_priority"),
                        F.col("_ac_id").isNotNull().alias("has_achievement"))
                .drop("_pr_id", "_ac_id"))
+    # ``stage`` cuts lineage (checkpoint) so the hot-group scan and the
+    # sequence read stored rows instead of re-running the resolve joins.
     seq = sequence(
-        flagged, ["family_id", "survey_indicator_id"],
+        stage(flagged), ["family_id", "survey_indicator_id"],
         [F.col("snapshot_number").asc_nulls_last(), F.col("snapshot_stoplight_id").asc_nulls_last()],
         lag={"previous_score": "current_score", "was_priority_in_previous": "is_priority"},
         group_max={"baseline_score": F.when(F.col("is_baseline"), F.col("current_score"))})

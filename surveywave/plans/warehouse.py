@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from surveywave.operators.relational import BroadcastPolicy
+from surveywave.session import checkpoint_dir
 from surveywave.plans import dims, facts, marts
 from surveywave.plans.staging import STAGING
 
@@ -50,12 +51,16 @@ def output_name(model: str) -> str:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, source, *, epoch_unit: str = "s",
-                 broadcast_rows: int = 2_000_000, pg_padding: bool = False):
+                 broadcast_rows: int = 2_000_000, broadcast_mode: str = "planner",
+                 pg_padding: bool = False, stage_facts: bool = True):
         self.spark = spark
         self.source = source
         self.epoch_unit = epoch_unit
         self.pg_padding = pg_padding
-        self.policy = BroadcastPolicy(broadcast_rows)
+        self.policy = BroadcastPolicy(broadcast_rows, broadcast_mode)
+        self.stage_facts = stage_facts
+        if stage_facts:
+            checkpoint_dir(spark)
         self._models: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "dim_date": lambda: dims.dim_date(self.spark, pg_padding=self.pg_padding),
@@ -73,12 +78,12 @@ class Warehouse:
                 self.m("stg_survey_stoplight"), self.m("stg_survey_stoplight_indicator"),
                 self.m("stg_survey_stoplight_color"), self.m("stg_survey_stoplight_dimension"),
                 self.m("stg_translations"), self.small),
-            "fact_snapshots": lambda: facts.fact_snapshots(self.m("stg_snapshots")),
-            "fact_indicators": lambda: facts.fact_indicators(
+            "fact_snapshots": lambda: self.stage(facts.fact_snapshots(self.m("stg_snapshots"))),
+            "fact_indicators": lambda: self.stage(facts.fact_indicators(
                 self.m("fact_snapshots"), self.m("stg_snapshot_stoplight"), self.m("stg_survey_stoplight"),
                 self.m("dim_family"), self.m("dim_organization"), self.m("dim_survey_definition"),
                 self.m("stg_snapshot_stoplight_priority"), self.m("stg_snapshot_stoplight_achievement"),
-                self.small),
+                self.small, self.stage)),
             "mart_indicators": lambda: marts.mart_indicators(
                 self.m("fact_indicators"), self.m("dim_organization"), self.m("dim_indicator_questions"),
                 self.m("dim_survey_definition"), self.m("stg_projects"), self.small),
@@ -115,6 +120,12 @@ class Warehouse:
     def small(self, name: str, df: DataFrame) -> DataFrame:
         return self.policy.bounded(name, df)
 
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Cut lineage at a fact boundary: a reliable checkpoint into the shared
+        ``spark.checkpoint.dir`` (survives executor loss, unlike a local
+        checkpoint).  The source system materialises facts as tables too."""
+        return df.checkpoint(eager=True) if self.stage_facts else df
+
     # -- sinks ------------------------------------------------------------
     def materialize(self, out_root: str, models=None, target: str = "dev",
                     default_schema: str = "analytics") -> dict[str, str]:
@@ -140,3 +151,17 @@ class Warehouse:
             self._models[name] = self.spark.read.parquet(path).select(*columns)
             written[name] = path
         return written
+
+
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+
+
+def warehouse_for(spark: SparkSession, root: str, **kwargs) -> Warehouse:
+    """One Warehouse per (session, input directory): models derived once are
+    reused by every query of that session."""
+    from surveywave.sources import open_source
+
+    key = (id(spark), root.rstrip("/"), tuple(sorted(kwargs.items())))
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, open_source(spark, root), **kwargs)
+    return _WAREHOUSES[key]
