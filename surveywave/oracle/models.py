@@ -565,4 +565,7 @@ def oracle(final_sql: str, extra: dict[str, str] | None = None) -> str:
     if not order:
         return final_sql
     body = ",\n".join(f"{n} as ({pool[n]}\n)" for n in order)
+    head = final_sql.lstrip()
+    if head[:5].lower() == "with ":
+        return f"with {body},\n{head[5:]}"
     return f"with {body}\n{final_sql}"

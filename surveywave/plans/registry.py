@@ -116,3 +116,73 @@ from mart_indicators group by all""")
 def _lsc(wh):
     return (wh.m("mart_indicators").groupBy("baseline_label", "previous_label", "current_label")
             .agg(F.sum("family_count").cast("long").alias("family_count")))
+
+
+# -- metric layer ------------------------------------------------------------
+from surveywave.oracle.metrics import INDICATOR_SQL, SURVEY_SQL, ordered_label_sql  # noqa: E402
+from surveywave.plans import semantic  # noqa: E402
+
+IND_GROUP = ["hub_name", "snapshot_number"]
+SUR_GROUP = ["hub_name", "country_name"]
+
+for _name in semantic.INDICATOR_METRICS:
+    register(f"m_{_name}",
+             f"select {', '.join(IND_GROUP)}, {INDICATOR_SQL[_name]} m_{_name} "
+             f"from mart_indicators group by all")(
+        (lambda n: lambda wh: semantic.metric_query(
+            wh.m("mart_indicators"), "Indicators", [n], IND_GROUP)
+            .withColumnRenamed(n, f"m_{n}"))(_name))
+
+for _name in semantic.SURVEY_METRICS:
+    register(f"s_{_name}",
+             f"select {', '.join(SUR_GROUP)}, {SURVEY_SQL[_name]} s_{_name} "
+             f"from mart_surveys group by all")(
+        (lambda n: lambda wh: semantic.metric_query(
+            wh.m("mart_surveys"), "Surveys", [n], SUR_GROUP)
+            .withColumnRenamed(n, f"s_{n}"))(_name))
+
+for _stage in ["current", "baseline", "previous"]:
+    register(f"c_{_stage}_label_ordered",
+             f"select {ordered_label_sql(_stage + '_label')} {_stage}_label_ordered, "
+             f"cast(sum(family_count) as bigint) count from mart_indicators group by all")(
+        (lambda st: lambda wh: semantic.metric_query(
+            wh.m("mart_indicators"), "Indicators", ["count"], [f"{st}_label_ordered"]))(_stage))
+
+
+@register("c_survey_type", """
+select case when snapshot_number = 1 then 'Baseline' else 'Follow-up' end survey_type,
+       count(*) count, avg(days_since_baseline) avg_days_since_baseline
+from mart_surveys group by all""")
+def _c_survey_type(wh):
+    return semantic.metric_query(wh.m("mart_surveys"), "Surveys",
+                                 ["count", "avg_days_since_baseline"], ["survey_type"])
+
+
+@register("metric_query", f"""
+select dimension_name, {INDICATOR_SQL['count']} count, {INDICATOR_SQL['pct_green']} pct_green,
+       {INDICATOR_SQL['pct_red']} pct_red, {INDICATOR_SQL['avg_improvement_steps']} avg_improvement_steps
+from mart_indicators where is_last = true and snapshot_number > 1 group by all""")
+def _metric_query(wh):
+    return semantic.metric_query(
+        wh.m("mart_indicators"), "Indicators",
+        ["count", "pct_green", "pct_red", "avg_improvement_steps"], ["dimension_name"],
+        filters=[("is_last", "==", True), ("snapshot_number", ">", 1)],
+        order_by=[("count", "desc"), ("dimension_name", "asc")])
+
+
+@register("scoped_metrics", f"""
+with scope as (
+  select 'hub:' || application_name user_name, application_id from stg_applications
+  union all
+  select 'all-hubs', application_id from stg_applications)
+select s.user_name, {INDICATOR_SQL['count']} count, {INDICATOR_SQL['pct_green']} pct_green
+from mart_indicators m join scope s on m.application_id = s.application_id
+group by all""")
+def _scoped(wh):
+    scope = semantic.scope_table(wh.m("stg_applications"))
+    return semantic.metric_query(semantic.scoped(wh.m("mart_indicators"), scope), "Indicators",
+                                 ["count", "pct_green"], ["user_name"])
+
+
+# -- charts, benchmarks, business questions, quality, economic ---------------
+from surveywave.plans import questions  # noqa: E402,F401

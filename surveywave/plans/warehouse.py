@@ -96,6 +96,9 @@ class Warehouse:
     def register(self, name: str, builder: Callable[[], DataFrame]) -> None:
         self._builders[name] = builder
 
+    def has(self, name: str) -> bool:
+        return name in self._builders or name in self._models
+
     def use(self, name: str, df: DataFrame) -> None:
         """Pin a model to a given DataFrame (e.g. a stored table)."""
         self._models[name] = df
@@ -136,6 +139,8 @@ class Warehouse:
         written = {}
         for name in models or CORE_MODELS + DASHBOARD_MODELS:
             layer = "dashboards" if name in DASHBOARD_MODELS else "core"
+            if name in MODEL_ALIASES or name in CLUSTER_COLUMNS:
+                layer = "dashboards" if name in DASHBOARD_MODELS else "core"
             schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
             path = f"{out_root.rstrip('/')}/{schema}/{output_name(name)}"
             df = self.m(name)
