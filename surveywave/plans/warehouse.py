@@ -139,12 +139,10 @@ class Warehouse:
         written = {}
         for name in models or CORE_MODELS + DASHBOARD_MODELS:
             layer = "dashboards" if name in DASHBOARD_MODELS else "core"
-            if name in MODEL_ALIASES or name in CLUSTER_COLUMNS:
-                layer = "dashboards" if name in DASHBOARD_MODELS else "core"
             schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
             path = f"{out_root.rstrip('/')}/{schema}/{output_name(name)}"
             df = self.m(name)
-            columns = df.columns
+            columns, schema = df.columns, df.schema
             cluster = CLUSTER_COLUMNS.get(name)
             if cluster:
                 # no repartition: every task writes its own sorted files, so the
@@ -153,7 +151,8 @@ class Warehouse:
                   .partitionBy("is_last").parquet(path)
             else:
                 df.write.mode("overwrite").parquet(path)
-            self._models[name] = self.spark.read.parquet(path).select(*columns)
+            # read back with the declared schema (partition values are typed too)
+            self._models[name] = self.spark.read.schema(schema).parquet(path).select(*columns)
             written[name] = path
         return written
 
