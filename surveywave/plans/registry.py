@@ -185,4 +185,4 @@ def _scoped(wh):
 
 
 # -- charts, benchmarks, business questions, quality, economic ---------------
-from surveywave.plans import questions, quality  # noqa: E402,F401
+from surveywave.plans import economic, questions, quality  # noqa: E402,F401
