@@ -186,3 +186,24 @@ def _scoped(wh):
 
 # -- charts, benchmarks, business questions, quality, economic ---------------
 from surveywave.plans import economic, questions, quality  # noqa: E402,F401
+
+
+# -- incremental refresh and late-arriving parents ------------------------------
+from surveywave.streaming import incremental, late_parents  # noqa: E402
+
+# Fixed parameter: surveys from 2001 on arrive as the new batch.
+REFRESH_CUTOFF_EPOCH = 978307200   # 2001-01-01T00:00:00Z
+
+
+@register("incremental_refresh", "select * from fact_indicators")
+def _incremental_refresh(wh):
+    """Previous facts (before the cutoff) + the later batch, refreshed for the
+    affected families only; must equal the full rebuild (the oracle)."""
+    return incremental.demo_refresh(wh, REFRESH_CUTOFF_EPOCH)
+
+
+@register("late_parent_resolution", """
+select p.id priority_id, p.snapshot_stoplight_id, r.snapshot_id
+from raw_snapshot_stoplight_priority p join raw_snapshot_stoplight r on p.snapshot_stoplight_id = r.id""")
+def _late_parent_resolution(wh):
+    return late_parents.late_parent_resolution(wh)
