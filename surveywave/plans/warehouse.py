@@ -59,6 +59,7 @@ class Warehouse:
         self.pg_padding = pg_padding
         self.policy = BroadcastPolicy(broadcast_rows, broadcast_mode)
         self.stage_facts = stage_facts
+        self._materializing = False
         if stage_facts:
             checkpoint_dir(spark)
         self._models: dict[str, DataFrame] = {}
@@ -78,8 +79,8 @@ class Warehouse:
                 self.m("stg_survey_stoplight"), self.m("stg_survey_stoplight_indicator"),
                 self.m("stg_survey_stoplight_color"), self.m("stg_survey_stoplight_dimension"),
                 self.m("stg_translations"), self.small),
-            "fact_snapshots": lambda: self.stage(facts.fact_snapshots(self.m("stg_snapshots"))),
-            "fact_indicators": lambda: self.stage(facts.fact_indicators(
+            "fact_snapshots": lambda: self.stage_output(facts.fact_snapshots(self.m("stg_snapshots"))),
+            "fact_indicators": lambda: self.stage_output(facts.fact_indicators(
                 self.m("fact_snapshots"), self.m("stg_snapshot_stoplight"), self.m("stg_survey_stoplight"),
                 self.m("dim_family"), self.m("dim_organization"), self.m("dim_survey_definition"),
                 self.m("stg_snapshot_stoplight_priority"), self.m("stg_snapshot_stoplight_achievement"),
@@ -129,6 +130,11 @@ class Warehouse:
         checkpoint).  The source system materialises facts as tables too."""
         return df.checkpoint(eager=True) if self.stage_facts else df
 
+    def stage_output(self, df: DataFrame) -> DataFrame:
+        """A fact's output: checkpointed, unless ``materialize`` is about to
+        write it (the stored table cuts the lineage instead)."""
+        return df if self._materializing else self.stage(df)
+
     # -- sinks ------------------------------------------------------------
     def materialize(self, out_root: str, models=None, target: str = "dev",
                     default_schema: str = "analytics") -> dict[str, str]:
@@ -137,10 +143,19 @@ class Warehouse:
         clustered on their selective columns so Parquet min/max statistics
         prune row groups (the index columns of the source system)."""
         written = {}
-        for name in models or CORE_MODELS + DASHBOARD_MODELS:
+        self._materializing = True
+        try:
+            self._write_models(out_root, models or CORE_MODELS + DASHBOARD_MODELS, target,
+                               default_schema, written)
+        finally:
+            self._materializing = False
+        return written
+
+    def _write_models(self, out_root, models, target, default_schema, written) -> None:
+        for name in models:
             layer = "dashboards" if name in DASHBOARD_MODELS else "core"
-            schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
-            path = f"{out_root.rstrip('/')}/{schema}/{output_name(name)}"
+            out_schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
+            path = f"{out_root.rstrip('/')}/{out_schema}/{output_name(name)}"
             df = self.m(name)
             columns, schema = df.columns, df.schema
             cluster = CLUSTER_COLUMNS.get(name)
@@ -154,7 +169,6 @@ class Warehouse:
             # read back with the declared schema (partition values are typed too)
             self._models[name] = self.spark.read.schema(schema).parquet(path).select(*columns)
             written[name] = path
-        return written
 
 
 _WAREHOUSES: dict[tuple, Warehouse] = {}
