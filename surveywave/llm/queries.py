@@ -18,6 +18,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .minhash_dedup import minhash_dedup
+    out = minhash_dedup(_table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -33,5 +39,5 @@ k AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
 """
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLE = {"op10_exact_dedup": OP10_SQL}
