@@ -18,6 +18,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix_report
+    out = mix_report(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack_documents(_table(spark, sf_dir, "documents"), Scratch(spark, "op5"), path, with_ids=False)
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .minhash_dedup import minhash_dedup
     out = minhash_dedup(_table(spark, sf_dir, "documents"), Scratch(spark, "op3"))
@@ -39,5 +53,5 @@ k AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
 """
 
-QUERIES = {"op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLE = {"op10_exact_dedup": OP10_SQL}

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 
 def groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
@@ -27,3 +28,22 @@ def groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         held.append(frame.iloc[cuts[-2]:cuts[-1]])
     if held:
         yield pd.concat(held, ignore_index=True)
+
+
+def arrow_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The same for Arrow batches, which keep NULL integers as they are."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+        if held and held[-1].column(key)[-1].as_py() != values[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(cuts[:-2], cuts[1:-1]):
+            yield pa.Table.from_batches([*held, batch.slice(a, b - a)])
+            held = []
+        held.append(batch.slice(cuts[-2], cuts[-1] - cuts[-2]))
+    if held:
+        yield pa.Table.from_batches(held)
