@@ -24,6 +24,13 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify, train
+    docs = _table(spark, sf_dir, "documents")
+    out = identify(docs, train(docs), carry=["doc_id"])
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,5 +60,5 @@ k AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
 """
 
-QUERIES = {"op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLE = {"op10_exact_dedup": OP10_SQL}
