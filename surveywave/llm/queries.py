@@ -45,6 +45,15 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive_records, read_archives, resolve_revisits, write_archives
+    scratch = Scratch(spark, "op8")
+    path = scratch.path("archives")
+    write_archives(archive_records(_table(spark, sf_dir, "pages"), scratch), path)
+    read = scratch.table(read_archives(spark, path), "read")
+    return resolve_revisits(read).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -60,5 +69,5 @@ k AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
 """
 
-QUERIES = {"op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLE = {"op10_exact_dedup": OP10_SQL}
