@@ -54,6 +54,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_revisits(read).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_main_text
+    return extract_main_text(_table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
 OP10_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t,
@@ -69,5 +74,5 @@ k AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
 """
 
-QUERIES = {"op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op9_html_text": op9_html_text, "op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLE = {"op10_exact_dedup": OP10_SQL}
