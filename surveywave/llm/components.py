@@ -1,24 +1,25 @@
-"""Connected components by alternating large-star and small-star steps
-(Kiveris et al., "Connected Components in MapReduce and Beyond", 2014).
-
-Edges stay distributed; each step is an aggregate and an equi join whose hot
-side AQE may split.  No link or label list reaches the driver, only a count
-and a checksum for each step.
+"""Connected components of a distributed list of edges.
+
+Edges point from the larger node to the smaller.  A round first links all lower
+neighbours of a node, and the node, to the least of them (small star), then
+moves every edge one step on to its lower end's own least neighbour (pointer
+jumping), until every node has one edge and it leads to a node without any.
+Both steps keep what is connected connected, and edges only ever get lower ends.
+After Kiveris et al., "Connected Components in MapReduce and Beyond" (2014).
+
+Grouping is by the upper end, which has few edges; the hub of a hot group is a
+lower end, met by a join whose hot side AQE may split.  Only two counts a round
+reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
 
-def _stamp(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-    return row["n"], row["x"]
-
-
 def connected_components(edges: DataFrame, scratch: Scratch, src: str = "u", dst: str = "v") -> DataFrame:
     """(node, component) for every node with an edge; component is the least
     node reachable.  Loops and repeated edges are fine; no edges give no rows.
@@ -26,22 +27,15 @@ def connected_components(edges: DataFrame, scratch: Scratch, src: str = "u", dst
     cur = scratch.table(
         edges.select(F.greatest(src, dst).alias("u"), F.least(src, dst).alias("v"))
         .where("u <> v").distinct(), "edges")
-    stamp = _stamp(cur)
-    while stamp[0]:
-        # large star: every neighbour above u goes to u's least neighbour
-        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.where("v > u").join(least, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        large = scratch.table(large, "large")
-        # small star: u (the larger end) and its lower neighbours go to the least one
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        cur = scratch.table(small, "small")
-        new = _stamp(cur)
-        if new == stamp:
+    while True:
+        up = scratch.table(cur.groupBy("u").agg(F.min("v").alias("p"), F.count("*").alias("n")), "parents")
+        jumped = cur.join(up.select(F.col("u").alias("v"), "p"), "v", "left")
+        jumped = scratch.table(jumped.select("u", F.coalesce("p", "v").alias("v"), F.col("p").isNotNull().alias("moved")), "jumped")
+        if up.where("n > 1").isEmpty() and jumped.where("moved").isEmpty():
             break
-        stamp = new
-    return (cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            .unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct())
+        least = F.min("v").over(Window.partitionBy("u"))
+        star = jumped.select("u", "v", least.alias("m"))
+        star = star.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        cur = scratch.table(star.select("e.*").where("u <> v").distinct(), "star")
+    found = cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return found.unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

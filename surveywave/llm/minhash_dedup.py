@@ -8,8 +8,9 @@ with 26 parts of 5 rows 0.9999 at 0.8, and 0.0006 at 0.25.
 
 Scale:
 * texts with equal shingle sets are one node, combined before any shuffle;
-* a table key is written out only where its A part and its B part are shared
-  by nodes not known to be together yet, so nodes alone cost 2 * parts rows;
+* a table key is written out only where both its parts are shared, and buckets
+  are named so that near copies share names, so a node alone costs 2 * parts
+  short rows and one in a group a few keys more;
 * buckets are stars around their least node, never pairs; the nodes that hang
   together through buckets form clusters, and only there are texts compared;
 * a cluster is compared in tiles of a bounded number of texts and shingles, as
@@ -131,36 +132,29 @@ def linked_labels(sets: list[np.ndarray], percent: int) -> np.ndarray:
         label = new
 
 
-def _stars(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Edges from each bucket's nodes to its least node: a bucket of n nodes
-    gives n - 1 edges.  The join's hot side is one row a bucket on the other."""
-    least = rows.groupBy(*by).agg(F.min("node").alias("v"), F.max("node").alias("_top")).where("v < _top").drop("_top")
-    return rows.join(least, by).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
-
-
 def candidate_clusters(nodes: DataFrame, scratch: Scratch, tensor: Tensor) -> DataFrame:
     """(node, cluster): nodes that hang together through tensored tables.
-    Nodes that meet no other are left out."""
+    Nodes that meet no other are left out.
+
+    A part's bucket is named by its least node.  Two nodes that share A_i and
+    B_j share the names of both buckets, so the table keyed by the two names
+    holds every bucket of table (i, j); near copies, whose buckets have the
+    same few least nodes, fill a few keys instead of parts**2.
+    """
     m = tensor.parts
-    # the tables (i, i): most groups come together here, one row a table
-    diagonal = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(1), F.lit(m)), lambda i: F.xxhash64(
-        i, F.element_at("keys", i), F.element_at("keys", i + m)))).alias("key"))
-    first = connected_components(scratch.table(_stars(diagonal, ["key"]), "diagonal"), scratch)
-    # a part is of use to a further table only if nodes of two groups share it
-    parts = (nodes.select("node", F.posexplode("keys").alias("i", "part")).join(first, "node", "left")
-             .select("node", "i", "part", F.coalesce("component", "node").alias("c")))
-    mixed = parts.groupBy("i", "part").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("i", "part")
-    both = (parts.join(mixed, ["i", "part"]).groupBy("node", "c").agg(
-        F.collect_list(F.when(F.col("i") < m, F.struct("i", "part"))).alias("a"),
-        F.collect_list(F.when(F.col("i") >= m, F.struct("i", "part"))).alias("b"))
-        .where("size(a) > 0 and size(b) > 0"))
-    table = scratch.table(
-        both.select("node", "c", F.explode("a").alias("a"), "b").select("node", "c", "a", F.explode("b").alias("b"))
-        .select("node", "c", F.xxhash64("a.i", "a.part", "b.i", "b.part").alias("key")), "tables")
-    useful = table.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    second = _stars(table.join(useful, "key").select("node", "key"), ["key"])
-    edges = first.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(second)
-    return connected_components(scratch.table(edges, "candidates"), scratch).select("node", F.col("component").alias("cluster"))
+    parts = nodes.select("node", F.posexplode("keys").alias("i", "part")).select(
+        "node", (F.col("i") >= m).alias("b_side"), F.xxhash64("i", "part").alias("part"))
+    least = parts.groupBy("part").agg(F.min("node").alias("name"), F.max("node").alias("top")).where("name < top").drop("top")
+    named = parts.join(least.hint("merge"), "part").select("node", "b_side", "name").distinct()
+    both = named.groupBy("node").agg(
+        F.collect_list(F.when(~F.col("b_side"), F.col("name"))).alias("a"),
+        F.collect_list(F.when(F.col("b_side"), F.col("name"))).alias("b")).where("size(a) > 0 and size(b) > 0")
+    table = both.select("node", F.explode("a").alias("a"), "b").select("node", "a", F.explode("b").alias("b"))
+    table = scratch.table(table, "tables")
+    # a star around the least node of each key: n nodes give n - 1 edges
+    least = table.groupBy("a", "b").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").drop("top")
+    edges = table.join(least.hint("merge"), ["a", "b"]).where("node <> v").select(F.col("node").alias("u"), "v")
+    return connected_components(edges, scratch).select("node", F.col("component").alias("cluster"))
 
 
 def _tiles(members: DataFrame) -> DataFrame:
@@ -211,12 +205,13 @@ def minhash_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     nodes = scratch.table(nodes.select(F.monotonically_increasing_id().alias("node"), "s1", "s2", "n_shingles", F.col(
         "r.doc_id").alias("least_id"), "r._key1", "r._key2", "r.keys"), "nodes")
 
-    members = candidate_clusters(nodes.select("node", "keys"), scratch, tensor).join(
-        nodes.select("node", "n_shingles", "_key1", "_key2"), "node")
+    # what grows with the documents is joined by shuffle at every size
+    members = nodes.select("node", "n_shingles", "_key1", "_key2").join(
+        candidate_clusters(nodes.select("node", "keys"), scratch, tensor).hint("merge"), "node")
     members = scratch.table(members, "members")
     keys = ["_key1", "_key2"]
-    texts = source.drop("doc_id").join(members.select("node", *keys), keys).dropDuplicates(keys).select("node", "_t")
-    tiled = _tiles(members.select("node", "cluster", "n_shingles")).join(texts, "node").select("tile", "node", "_t")
+    texts = source.drop("doc_id").join(members.select("node", *keys).hint("merge"), keys).dropDuplicates(keys).select("node", "_t")
+    tiled = _tiles(members.select("node", "cluster", "n_shingles")).join(texts.hint("merge"), "node").select("tile", "node", "_t")
     links = tiled.repartition("tile").sortWithinPartitions("tile").mapInPandas(_tile_links(shingle, percent), "u long, v long")
     found = connected_components(scratch.table(links, "links"), scratch)
 
@@ -224,7 +219,7 @@ def minhash_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         "s1", "s2", "n_shingles", "least_id", F.coalesce("component", "node").alias("component"))
     least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
     placed = scratch.table(placed.join(least, "component").select("s1", "s2", "n_shingles", "component_id"), "placed")
-    out = signed.drop("keys").join(placed, ["s1", "s2", "n_shingles"], "left")
+    out = signed.drop("keys").join(placed.hint("merge"), ["s1", "s2", "n_shingles"], "left")
     alone = F.col("n_shingles") == 0
     return out.select(
         "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
