@@ -18,6 +18,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .embed_dedup import embedding_dedup
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"), Scratch(spark, "op1"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_report
     out = mix_report(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
@@ -45,6 +50,11 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .lm_score import score_documents
+    return score_documents(_table(spark, sf_dir, "documents"), Scratch(spark, "op6"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import format_conversations, read_back
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -82,5 +92,5 @@ k AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
 """
 
-QUERIES = {"op7_chat": op7_chat, "op9_html_text": op9_html_text, "op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op6_lm_score": op6_lm_score, "op1_embedding_dedup": op1_embedding_dedup, "op7_chat": op7_chat, "op9_html_text": op9_html_text, "op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
 ORACLE = {"op10_exact_dedup": OP10_SQL}
