@@ -93,6 +93,8 @@ def exact_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_
     best = ident.groupBy("_level", "_name").agg(
         F.count("*").alias("group_size"),
         F.min(F.struct((-F.col("n_chars")).alias("a"), F.col("doc_id").isNull().alias("b"), "doc_id", "_row")).alias("best"))
+    # written, so that both sides of the join are exchanges and AQE may split a hot group
+    best = scratch.table(best, "best")
     return ident.join(best, ["_level", "_name"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("_row") == F.col("best._row")).alias("kept"), "text_sha256", "n_chars", "_key1", "_key2")
