@@ -30,7 +30,9 @@ def connected_components(edges: DataFrame, scratch: Scratch, src: str = "u", dst
     while True:
         up = scratch.table(cur.groupBy("u").agg(F.min("v").alias("p"), F.count("*").alias("n")), "parents")
         jumped = cur.join(up.select(F.col("u").alias("v"), "p"), "v", "left")
-        jumped = scratch.table(jumped.select("u", F.coalesce("p", "v").alias("v"), F.col("p").isNotNull().alias("moved")), "jumped")
+        # many edges of a node may now lead to one place: combined before they meet
+        jumped = jumped.groupBy("u", F.coalesce("p", "v").alias("v")).agg(F.max(F.col("p").isNotNull()).alias("moved"))
+        jumped = scratch.table(jumped, "jumped")
         if up.where("n > 1").isEmpty() and jumped.where("moved").isEmpty():
             break
         least = F.min("v").over(Window.partitionBy("u"))
