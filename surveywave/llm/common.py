@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="surveywave-llm-")
         spark.conf.set("spark.checkpoint.dir", path)
@@ -77,5 +77,7 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id", text_col
     (same id, same text) collapse to one, which needs no further shuffle.
     """
     keys = ["_key1", "_key2"]
-    found = with_row_key(docs, id_col, text_col).join(kept.select(*keys), keys, "left_semi")
-    return found.dropDuplicates(keys).drop(*keys)
+    k1, k2 = hash128(F.col(id_col), F.col(text_col))
+    # a struct, as docs may have columns named like the keys
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), k1.alias("_key1"), k2.alias("_key2"))
+    return rows.join(kept.select(*keys), keys, "left_semi").dropDuplicates(keys).select("_doc.*")

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch, with_row_key
+from .common import WORD, Scratch, hash128, with_row_key
 
 BUCKET_ROWS = 4096
 SHARD_LEVELS = 6
@@ -172,12 +172,13 @@ def mix_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     target cuts keeps its leading words joined by single spaces (n_chars, if
     there is one, follows).  Documents without words are not drawn.
     """
-    stored = scratch.table(docs.withColumns({"_row": F.monotonically_increasing_id()}), "stored")
-    keyed = with_row_key(stored, id_col, text_col).select(
-        "_row", "_key1", "_key2", F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
+    # a struct, as docs may have columns named like those of the draws
+    stored = scratch.table(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")), "stored")
+    k1, k2 = hash128(F.col("_doc")[id_col], F.col("_doc")[text_col])
+    keyed = stored.select("_row", k1.alias("_key1"), k2.alias("_key2"), F.col("_doc")[source_col].alias("source"),
+                          n_words(F.col("_doc")[text_col]).alias("size"))
     draws, _ = mix_plan(scratch.table(keyed, "base"), scratch, levels, seed)
-    # struct: columns of docs may be named like those of the draws
-    rows = stored.select("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).join(draws, "_row")
+    rows = stored.join(draws.hint("merge"), "_row")
     rows = rows.repartition(F.col("shard")).sortWithinPartitions("shard", "place")
     cut = F.col("words") < F.col("size")
     text = F.col("_doc")[text_col]
