@@ -19,11 +19,6 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
               .filter(F.col("_keep_rn") == 1).drop("_keep_rn"))
 
 
-def exists_in(df: DataFrame, other: DataFrame, on, negate: bool = False) -> DataFrame:
-    """EXISTS / NOT EXISTS as a semi / anti join (never fans out)."""
-    return df.join(other, on, "left_anti" if negate else "left_semi")
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL; keeps one copy of each key."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
@@ -36,35 +31,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return out.drop(*[f"_r_{k}" for k in keys])
 
 
-class BroadcastPolicy:
-    """Broadcast a join side only behind a size check, with a fallback.
-
-    mode "planner" (default): no hint.  Spark broadcasts a side whose
-      estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and, with
-      AQE, re-checks the *measured* shuffle size at run time; anything larger
-      stays a sort-merge join.  No extra job is launched.
-    mode "count": count at most ``max_rows + 1`` rows once per name and hint
-      ``broadcast`` only when the side fits (for stored dimension tables, where
-      the count reads Parquet metadata only).
-    """
-
-    def __init__(self, max_rows: int = 2_000_000, mode: str = "planner"):
-        self.max_rows = max_rows
-        self.mode = mode
-        self._decisions: dict[str, bool] = {}
-
-    def fits(self, name: str, df: DataFrame, max_rows: int | None = None) -> bool:
-        limit = max_rows or self.max_rows
-        if name not in self._decisions:
-            self._decisions[name] = df.limit(limit + 1).count() <= limit
-        return self._decisions[name]
-
-    def bounded(self, name: str, df: DataFrame, max_rows: int | None = None) -> DataFrame:
-        if self.mode != "count":
-            return df
-        return F.broadcast(df) if self.fits(name, df, max_rows) else df
-
-
 def pivot_max(df: DataFrame, key: str, pivot_col: str, value_col: str,
               values: dict) -> DataFrame:
     """Rows → columns: max(case when pivot = v then value end) per key.

@@ -1,52 +1,60 @@
-"""Skew-aware ordered sequencing within groups.
+"""Ordered sequencing within groups, with no task per group.
 
 Every ordered window of the survey model is one of: a running number
 (``row_number``), the previous value (``lag``), the first value of the group,
-the group size, or a whole-group max.  ``sequence`` computes them together.
-
-Ordinary groups (a family has a handful of snapshots) go through one Window
-operator: one shuffle on the group keys, one sort.  A group with more than
-``hot_rows`` rows would pin a single task, so such *hot* groups are found
-with a partially aggregated count (a bounded key list) and sequenced in
-ordered chunks instead:
-
-1. the hot rows are range-partitioned on (group keys, order keys), so one hot
-   group is cut into consecutive, ordered chunks spread over many tasks;
-2. each chunk computes local numbers / lags / first values plus a per-chunk
-   summary (row count, last values, max) in one Window pass;
-3. the tiny per-(group, chunk) summary gives each chunk its offset, the value
-   that precedes it and the group-wide first value and max; it is joined back.
-
-The result is exactly the single-window result; no row is dropped or sampled.
+the group size, or a whole-group max.  ``sequence`` computes them together, in
+the same way at every size:
+
+1. the rows are range-partitioned on (group, order) and stored with the number
+   of their partition, so every group lies in consecutive *chunks* and a group
+   that holds a third of all rows is cut into many;
+2. one window per (chunk, group) numbers the rows of a chunk;
+3. only the first and the last group of a chunk can go on in another one.  For
+   those, at most two a chunk, a summary of each piece gives the rows before it,
+   the value that precedes it and the group's first value, size and max.  It is
+   broadcast: two rows for each partition of the input are its bound.
+
+The store (a reliable checkpoint) is what makes a chunk mean the same rows in
+steps 2 and 3; range partitioning samples its borders anew for each plan.  The
+result equals the single window; no row is dropped or sampled, and nothing is
+counted or collected while the plan is built.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from surveywave.operators.relational import null_safe_join
+from surveywave.session import checkpoint_dir
 
-HOT_ROWS_CONF = "surveywave.sequence.hotGroupRows"
-MAX_HOT_CONF = "surveywave.sequence.maxHotGroups"
-DEFAULT_HOT_ROWS = 2_000_000
-DEFAULT_MAX_HOT = 10_000
 
+def _stored(df: DataFrame) -> DataFrame:
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-def _conf_int(df: DataFrame, key: str, default: int) -> int:
-    return int(df.sparkSession.conf.get(key, str(default)))
+
+def _windows(df: DataFrame, keys, order, number, size, lag, first, group_max) -> list[Column]:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    # Whole-partition frame on the same ordering: shares the sort with ``w``.
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cols = []
+    if number:
+        cols.append(F.row_number().over(w).cast("long").alias(number))
+    if size:
+        cols.append(F.count(F.lit(1)).over(whole).cast("long").alias(size))
+    cols += [F.lag(src).over(w).alias(out) for out, src in lag.items()]
+    cols += [F.first(src).over(whole).alias(out) for out, src in first.items()]
+    cols += [F.max(expr).over(whole).alias(out) for out, expr in group_max.items()]
+    return cols
 
 
-def hot_groups(df: DataFrame, group: Sequence[str], threshold: int, max_hot: int):
-    """Groups with more than ``threshold`` rows, or None if more than
-    ``max_hot`` exist.  The count is partially aggregated (map-side combine),
-    so a hot key costs one row per map task; at most ``max_hot + 1`` key rows
-    ever reach the driver."""
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_grp_rows"))
-    rows = counts.filter(F.col("_grp_rows") > threshold).select(*group).limit(max_hot + 1).collect()
-    return None if len(rows) > max_hot else rows
+def window_sequence(df: DataFrame, group: Sequence[str], order: Sequence[Column], *, number: str | None = None,
+                    size: str | None = None, lag: dict[str, str] | None = None, first: dict[str, str] | None = None,
+                    group_max: dict[str, Column] | None = None) -> DataFrame:
+    """The plain window, for groups that are small by their nature."""
+    return df.select("*", *_windows(df, group, order, number, size, lag or {}, first or {}, group_max or {}))
 
 
 def sequence(
@@ -59,7 +67,8 @@ def sequence(
     lag: dict[str, str] | None = None,
     first: dict[str, str] | None = None,
     group_max: dict[str, Column] | None = None,
-    hot_rows: int | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Add ordered-window columns per ``group``.
 
@@ -69,89 +78,61 @@ def sequence(
     first      out → source column: value on the first row of the group
     group_max  out → Column: max of that expression over the whole group
     ``order`` must be a total order (spell NULL placement explicitly).
-    The input is scanned once more to find hot groups: pass a stored or
-    checkpointed DataFrame when its lineage is expensive.
+    ``store`` makes the ranged rows durable (a reliable checkpoint if not
+    given); ``chunks`` is the number of range partitions (the shuffle setting
+    if not given).
     """
     lag, first, group_max = lag or {}, first or {}, group_max or {}
-    spec = (group, order, number, size, lag, first, group_max)
-    threshold = hot_rows if hot_rows is not None else _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
-    if threshold <= 0:
-        return _plain(df, *spec)
-    max_hot = _conf_int(df, MAX_HOT_CONF, DEFAULT_MAX_HOT)
-    found = hot_groups(df, group, threshold, max_hot)
-    if found is not None and not found:
-        return _plain(df, *spec)
-    if found is not None:
-        # bounded list (≤ max_hot keys): broadcast is safe
-        hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(*group).schema))
-    else:
-        # more hot keys than the bound: keep the split inside the plan and let
-        # the planner pick the join (no unbounded broadcast)
-        hot = (df.groupBy(*group).agg(F.count(F.lit(1)).alias("_grp_rows"))
-                 .filter(F.col("_grp_rows") > threshold).select(*group))
-    # NULL-safe split so that a hot NULL group is split as well.
-    normal = null_safe_join(df, hot, group, "left_anti")
-    heavy = null_safe_join(df, hot, group, "left_semi")
-    return _plain(normal, *spec).unionByName(_chunked(heavy, *spec))
-
-
-def _plain(df, group, order, number, size, lag, first, group_max) -> DataFrame:
-    w = Window.partitionBy(*group).orderBy(*order)
-    # Whole-partition frame on the same ordering: shares the sort with ``w``.
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    cols = []
-    if number:
-        cols.append(F.row_number().over(w).cast("long").alias(number))
-    if size:
-        cols.append(F.count(F.lit(1)).over(whole).cast("long").alias(size))
-    for out, src in lag.items():
-        cols.append(F.lag(src).over(w).alias(out))
-    for out, src in first.items():
-        cols.append(F.first(src).over(whole).alias(out))
-    for out, expr in group_max.items():
-        cols.append(F.max(expr).over(whole).alias(out))
-    return df.select("*", *cols)
-
-
-def _chunked(df, group, order, number, size, lag, first, group_max) -> DataFrame:
-    n_chunks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n_chunks, *[F.col(g).asc_nulls_last() for g in group], *order)
-                .withColumn("_chunk", F.spark_partition_id()))
-    wl = Window.partitionBy("_chunk", *group).orderBy(*order)
-    wall = wl.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    local = ranged.select(
-        "*",
-        F.row_number().over(wl).alias("_lrn"),
-        F.count(F.lit(1)).over(wall).alias("_lcnt"),
-        *[F.lag(src).over(wl).alias(f"_llag_{o}") for o, src in lag.items()],
-        *[F.last(src).over(wall).alias(f"_llast_{o}") for o, src in lag.items()],
-        *[F.first(src).over(wall).alias(f"_lfirst_{o}") for o, src in first.items()],
-        *[F.max(e).over(wall).alias(f"_lmax_{o}") for o, e in group_max.items()],
-    )
-    summary_cols = (["_lcnt"] + [f"_llast_{o}" for o in lag] + [f"_lfirst_{o}" for o in first]
-                    + [f"_lmax_{o}" for o in group_max])
-    per_chunk = local.groupBy("_chunk", *group).agg(*[F.first(c).alias(c) for c in summary_cols])
-    ws = Window.partitionBy(*group).orderBy("_chunk")
-    wsall = ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    per_chunk = per_chunk.select(
-        "_chunk", *group,
-        (F.sum("_lcnt").over(ws) - F.col("_lcnt")).alias("_offset"),
-        F.sum("_lcnt").over(wsall).alias("_gsize"),
-        *[F.lag(f"_llast_{o}").over(ws).alias(f"_prev_{o}") for o in lag],
-        *[F.first(f"_lfirst_{o}").over(wsall).alias(f"_gfirst_{o}") for o in first],
-        *[F.max(f"_lmax_{o}").over(wsall).alias(f"_gmax_{o}") for o in group_max],
-    )
-    joined = null_safe_join(local, per_chunk, ["_chunk", *group], "inner")
+    by = [*[F.col(g).asc_nulls_first() for g in group], *order]
+    ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
+    ranged = (store or _stored)(ranged.withColumn("_chunk", F.spark_partition_id()))
+
+    key = F.struct(*group)  # structs order like the range: NULL first
+    ends = ranged.groupBy("_chunk").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    border = ends.select(F.explode(F.array("_lo", "_hi")).alias("_g")).select("_g.*").distinct()
+    # two groups a chunk at most
+    pieces = _join(ranged, F.broadcast(border), group, "left_semi")
+
+    wall = Window.partitionBy("_chunk", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    facts = [F.count(F.lit(1)).over(wall).alias("_n")]
+    facts += [F.last(src).over(wall).alias(f"_last_{o}") for o, src in lag.items()]
+    facts += [F.first(src).over(wall).alias(f"_first_{o}") for o, src in first.items()]
+    facts += [F.max(expr).over(wall).alias(f"_max_{o}") for o, expr in group_max.items()]
+    names = ["_n", *[f"_last_{o}" for o in lag], *[f"_first_{o}" for o in first], *[f"_max_{o}" for o in group_max]]
+    pieces = pieces.select("_chunk", *group, *facts).groupBy("_chunk", *group).agg(*[F.first(n).alias(n) for n in names])
+
+    along = Window.partitionBy(*group).orderBy("_chunk")
+    every = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(
+        "_chunk", *group, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(every).alias("_size"),
+        *[F.lag(f"_last_{o}").over(along).alias(f"_prev_{o}") for o in lag],
+        *[F.first(f"_first_{o}").over(every).alias(f"_first_{o}") for o in first],
+        *[F.max(f"_max_{o}").over(every).alias(f"_max_{o}") for o in group_max])
+
+    local = ranged.select("*", *_windows(ranged, ["_chunk", *group], order, "_l_number", size and "_l_size",
+                                         {f"_l_{o}": s for o, s in lag.items()}, {f"_l_{o}": s for o, s in first.items()},
+                                         {f"_l_{o}": e for o, e in group_max.items()}))
+    joined = _join(local, F.broadcast(pieces), ["_chunk", *group], "left")
+    cut = F.col("_before").isNotNull()
     outs = []
     if number:
-        outs.append((F.col("_lrn") + F.col("_offset")).cast("long").alias(number))
+        outs.append((F.col("_l_number") + F.coalesce("_before", F.lit(0))).cast("long").alias(number))
     if size:
-        outs.append(F.col("_gsize").cast("long").alias(size))
-    for o in lag:
-        outs.append(F.when(F.col("_lrn") == 1, F.col(f"_prev_{o}"))
-                    .otherwise(F.col(f"_llag_{o}")).alias(o))
-    for o in first:
-        outs.append(F.col(f"_gfirst_{o}").alias(o))
-    for o in group_max:
-        outs.append(F.col(f"_gmax_{o}").alias(o))
-    return joined.select(*df.columns, *outs)
+        outs.append(F.coalesce("_size", "_l_size").cast("long").alias(size))
+    outs += [F.when(cut & (F.col("_l_number") == 1), F.col(f"_prev_{o}")).otherwise(F.col(f"_l_{o}")).alias(o) for o in lag]
+    outs += [F.when(cut, F.col(f"_first_{o}")).otherwise(F.col(f"_l_{o}")).alias(o) for o in first]
+    outs += [F.when(cut, F.col(f"_max_{o}")).otherwise(F.col(f"_l_{o}")).alias(o) for o in group_max]
+    return joined.select(*[joined[c] for c in df.columns], *outs)
+
+
+def _join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi-join in which NULL keys match; the right side's keys go."""
+    names = {k: f"_r_{k}" for k in keys}
+    right = right.withColumnsRenamed(names)
+    cond = None
+    for k, r in names.items():
+        c = left[k].eqNullSafe(right[r])
+        cond = c if cond is None else cond & c
+    out = left.join(right, cond, how)
+    return out if how == "left_semi" else out.drop(*names.values())

@@ -1,8 +1,11 @@
 """DuckDB formulation of the raw tables and models (the correctness oracle).
 
-Written independently of the Spark code: plain SQL over the driver views
-(region, nation, customer, part, orders, lineitem).  ``oracle(final)`` prefixes
-a query with exactly the CTEs it references (transitively).
+Plain SQL over the driver views (region, nation, customer, part, orders,
+lineitem), written from the stated meaning of each model and by other means than
+the Spark code: a running number is a count of the rows not after it, the last
+row of a group an arg_max, a previous value a join on the number before, a flag
+a membership test, a name a lookup.  ``oracle(final)`` prefixes a query with
+exactly the CTEs it references (transitively).
 """
 
 from __future__ import annotations
@@ -75,8 +78,8 @@ cte("raw_survey_definition", """
 select id, cast(null as varchar) survey_code, title, cast(null as varchar) description,
        cast(null as varchar) lang, cast(null as boolean) active, country_code,
        cast(null as timestamp) created_at, cast(null as timestamp) updated_at
-from (select distinct cast(substr(o_orderpriority, 1, 1) as bigint) id, o_orderpriority title,
-             concat(chr(64 + cast(substr(o_orderpriority, 1, 1) as int)), 'X') country_code
+from (select distinct cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) id, o_orderpriority title,
+             concat(chr(64 + cast(regexp_extract(o_orderpriority, '^[0-9]+') as int)), 'X') country_code
       from orders) s""")
 
 cte("raw_survey_stoplight_dimension", """
@@ -106,7 +109,7 @@ from (
               else concat('Brand#', cast(b as varchar)) end code_name,
          cast(b as int) order_number, date '2020-01-01' updated_at
   from (select distinct cast(substr(p_brand, 7) as int) b from part) p
-  cross join (select distinct cast(substr(o_orderpriority, 1, 1) as bigint) sd from orders) o
+  cross join (select distinct cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) sd from orders) o
   where b % 12 <> sd
   union all
   select cast(9000 as bigint), cast(3 as bigint), cast(5 as bigint), cast(5 as bigint), 'brand#5',
@@ -118,7 +121,7 @@ select (sd * 100 + b) * 10 + k id, sd * 100 + b survey_stoplight_id, cast(k as i
        concat('level ', cast(k as varchar), ' of ', cast(b as varchar)) description,
        cast(null as date) created_at, cast(null as date) updated_at
 from (select distinct cast(substr(p_brand, 7) as int) b from part) p
-cross join (select distinct cast(substr(o_orderpriority, 1, 1) as bigint) sd from orders) o
+cross join (select distinct cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) sd from orders) o
 cross join (select cast(r_regionkey as bigint) k from region) r
 where b % 12 <> sd and not (b = 6 and k = 2)""")
 
@@ -144,7 +147,7 @@ from nation where n_nationkey < 6""")
 cte("raw_snapshot", """
 select o_orderkey id, o_custkey family_id, cast(c_nationkey as bigint) organization_id,
        cast(n_regionkey as bigint) application_id,
-       cast(substr(o_orderpriority, 1, 1) as bigint) survey_definition_id,
+       cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) survey_definition_id,
        cast(case c_mktsegment when 'AUTOMOBILE' then 1 when 'BUILDING' then 2
             when 'FURNITURE' then 3 when 'HOUSEHOLD' then 4 end as bigint) project_id,
        cast(row_number() over (partition by o_custkey, o_orderpriority order by o_orderkey) as smallint) snapshot_number,
@@ -191,17 +194,18 @@ select id, survey_definition_id, code_name, cast(null as varchar) question_text,
        cast(null as boolean) for_family_member, cast(null as varchar) topic,
        cast(null as date) created_at, cast(null as date) updated_at
 from (
-  select distinct cast(substr(o_orderpriority, 1, 1) as bigint) * 10 + q id,
-         cast(substr(o_orderpriority, 1, 1) as bigint) survey_definition_id,
+  select distinct cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) * 10 + q id,
+         cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) survey_definition_id,
          case q when 0 then ' householdMonthlyIncome' when 1 then 'currency'
                 when 2 then 'housingSituation' else 'visitDate' end code_name,
          case q when 0 then 'number' when 1 then 'string' when 2 then 'checkbox' else 'date' end answer_type
   from orders cross join (select cast(r_regionkey as bigint) q from region where r_regionkey < 4) r
-  where cast(substr(o_orderpriority, 1, 1) as bigint) * 10 + q <> 52
+  where cast(regexp_extract(o_orderpriority, '^[0-9]+') as bigint) * 10 + q <> 52
 ) e""")
 
 cte("raw_snapshot_economic", """
 select id, snapshot_id, code_name, answer_type, value, cast(null as varchar) multiple_value,
+       case when code_name = 'housingSituation' and snapshot_id % 10 = 0 then 'other ' || o.o_orderstatus end other_text,
        {AUDIT} created_date, {AUDIT} last_modified_date
 from (
   select o_orderkey * 10 id, o_orderkey snapshot_id, 'householdMonthlyIncome' code_name,
@@ -220,7 +224,7 @@ from (
   union all
   select o_orderkey * 10 + 3, o_orderkey, 'visitDate', 'date', cast({EPOCH} * 1000 as varchar)
   from orders where o_orderkey % 7 = 0
-) e""")
+) e join orders o on o.o_orderkey = e.snapshot_id""")
 
 # --------------------------------------------------------------------------
 # staging
@@ -345,7 +349,7 @@ from raw_survey_economic""")
 cte("stg_snapshot_economic", """
 select id snapshot_economic_id, snapshot_id, lower(trim(code_name)) code_name,
        coalesce(case when answer_type = 'string' then 'text' else answer_type end, 'text') answer_type,
-       value answer_value, multiple_value answer_multiple_value,
+       value answer_value, multiple_value answer_multiple_value, other_text answer_other_text,
        created_date snapshot_economic_created_at, last_modified_date snapshot_economic_updated_at
 from raw_snapshot_economic""")
 
@@ -398,133 +402,158 @@ from stg_survey_economic se
 left join stg_survey_definitions sd on se.survey_definition_id = sd.survey_definition_id""")
 
 cte("color_criteria_pivot", """
-select survey_indicator_id,
-       max(case when color_value = 1 then color_description end) red_criteria_description,
-       max(case when color_value = 2 then color_description end) yellow_criteria_description,
-       max(case when color_value = 3 then color_description end) green_criteria_description
-from stg_survey_stoplight_color where color_value in (1, 2, 3)
-group by survey_indicator_id""")
+select survey_indicator_id, max(color_description) filter (color_value = 1) red_criteria_description,
+       max(color_description) filter (color_value = 2) yellow_criteria_description,
+       max(color_description) filter (color_value = 3) green_criteria_description
+from stg_survey_stoplight_color
+group by survey_indicator_id having count(*) filter (color_value between 1 and 3) > 0""")
+
+cte("word_of", """
+select translation_key word, any_value(translation_text) said from stg_translations group by word""")
 
 cte("indicator_templates_translated", """
-select t.indicator_template_id, t.dimension_id, t.indicator_template_short_name,
-       t.indicator_template_description, n.translation_text indicator_name,
-       d.translation_text indicator_description
-from stg_survey_stoplight_indicator t
-left join stg_translations n on t.indicator_template_short_name = n.translation_key
-left join stg_translations d on t.indicator_template_description = d.translation_key""")
+select *, (select said from word_of where word = indicator_template_short_name) indicator_name,
+       (select said from word_of where word = indicator_template_description) indicator_description
+from stg_survey_stoplight_indicator""")
 
+# one row of the survey's indicators, looked up in its template, dimension and colours
 cte("dim_indicator_questions", """
-select si.survey_indicator_id, si.survey_definition_id, dm.dimension_id,
-       tr.translation_text dimension_name, dm.dimension_is_active, dm.is_core_dimension,
-       tt.indicator_template_id, tt.indicator_name, tt.indicator_description,
-       si.indicator_code_name survey_indicator_code_name,
-       si.indicator_short_name survey_indicator_short_name,
-       si.indicator_question_text survey_indicator_question_text,
-       si.indicator_description survey_indicator_description, si.indicator_definition,
-       si.indicator_is_required survey_indicator_is_required, si.order_number,
-       cp.red_criteria_description, cp.yellow_criteria_description, cp.green_criteria_description,
-       dm.dimension_created_at, dm.dimension_updated_at, si.survey_indicator_created_at,
-       si.survey_indicator_updated_at
-from stg_survey_stoplight si
-join indicator_templates_translated tt on si.indicator_template_id = tt.indicator_template_id
-left join stg_survey_stoplight_dimension dm on si.survey_dimension_id = dm.dimension_id
-left join stg_translations tr on dm.dimension_met_name = tr.translation_key
-left join color_criteria_pivot cp on si.survey_indicator_id = cp.survey_indicator_id""")
+select q.survey_indicator_id, q.survey_definition_id, dm.dimension_id,
+       (select said from word_of where word = dm.dimension_met_name) dimension_name,
+       dm.dimension_is_active, dm.is_core_dimension, q.indicator_template_id, t.indicator_name,
+       t.indicator_description, q.indicator_code_name survey_indicator_code_name,
+       q.indicator_short_name survey_indicator_short_name,
+       q.indicator_question_text survey_indicator_question_text,
+       q.indicator_description survey_indicator_description, q.indicator_definition,
+       q.indicator_is_required survey_indicator_is_required, q.order_number,
+       colours[1] red_criteria_description, colours[2] yellow_criteria_description,
+       colours[3] green_criteria_description, dm.dimension_created_at, dm.dimension_updated_at,
+       q.survey_indicator_created_at, q.survey_indicator_updated_at
+from (select s.*, [(select max(c.color_description) from stg_survey_stoplight_color c
+                    where c.survey_indicator_id = s.survey_indicator_id and c.color_value = 1),
+                   (select max(c.color_description) from stg_survey_stoplight_color c
+                    where c.survey_indicator_id = s.survey_indicator_id and c.color_value = 2),
+                   (select max(c.color_description) from stg_survey_stoplight_color c
+                    where c.survey_indicator_id = s.survey_indicator_id and c.color_value = 3)] colours
+      from stg_survey_stoplight s) q
+join indicator_templates_translated t using (indicator_template_id)
+left join stg_survey_stoplight_dimension dm on dm.dimension_id = q.survey_dimension_id""")
 
 # --------------------------------------------------------------------------
 # facts
 # --------------------------------------------------------------------------
-cte("fs_numbered", """
-select * exclude (snapshot_number, is_last),
-       cast(row_number() over (partition by family_id, survey_definition_id
-            order by snapshot_date asc nulls last, snapshot_created_at asc nulls last,
-                     snapshot_id asc nulls last) as bigint) snapshot_number
+# place: sortable position of a snapshot in time, unknown times after known ones
+cte("snapshot_place", """
+select snapshot_id, coalesce(family_id, -1) family, coalesce(survey_definition_id, -1) survey,
+       {'a': snapshot_date is null, 'b': coalesce(snapshot_date, timestamp '1970-01-01'),
+        'c': snapshot_created_at is null, 'd': coalesce(snapshot_created_at, timestamp '1970-01-01'),
+        'e': snapshot_id} place
 from stg_snapshots""")
 
+cte("snapshot_round", """
+select me.snapshot_id, me.family, me.survey, count(*) round
+from snapshot_place me join snapshot_place it
+  on it.family = me.family and it.survey = me.survey and it.place <= me.place
+group by all""")
+
+cte("family_latest", """
+select arg_max(snapshot_id, place) snapshot_id from snapshot_place group by family""")
+
+cte("round_span", """
+select family, survey, max(round) rounds, min(snapshot_id) filter (round = 1) first_id from snapshot_round group by all""")
+
 cte("fact_snapshots", """
-select snapshot_id, family_id, organization_id, application_id, survey_definition_id, project_id,
-       cast(strftime(snapshot_date, '%Y%m%d') as integer) date_key, snapshot_date, snapshot_number,
-       row_number() over (partition by family_id order by snapshot_date desc nulls first,
-                          snapshot_created_at desc nulls first, snapshot_id desc nulls first) = 1 is_last,
-       snapshot_number = 1 is_baseline,
-       max(snapshot_number) over (partition by family_id, survey_definition_id) max_snapshot_number,
-       cast(cast(snapshot_date as date) - first_value(cast(snapshot_date as date)) over w as integer) days_since_baseline,
-       cast(cast(snapshot_date as date) - lag(cast(snapshot_date as date)) over w as integer) days_since_previous,
-       stoplight_skipped, is_anonymous, snapshot_created_at, snapshot_updated_at
-from fs_numbered
-window w as (partition by family_id, survey_definition_id
-             order by snapshot_date asc nulls last, snapshot_created_at asc nulls last,
-                      snapshot_id asc nulls last)""")
+select s.snapshot_id, s.family_id, s.organization_id, s.application_id, s.survey_definition_id, s.project_id,
+       year(s.snapshot_date)::integer * 10000 + month(s.snapshot_date)::integer * 100 + day(s.snapshot_date)::integer date_key,
+       s.snapshot_date, r.round snapshot_number, s.snapshot_id in (select snapshot_id from family_latest) is_last,
+       r.round = 1 is_baseline, span.rounds max_snapshot_number,
+       date_diff('day', first.snapshot_date::date, s.snapshot_date::date)::integer days_since_baseline,
+       date_diff('day', prior.snapshot_date::date, s.snapshot_date::date)::integer days_since_previous,
+       s.stoplight_skipped, s.is_anonymous, s.snapshot_created_at, s.snapshot_updated_at
+from stg_snapshots s
+join snapshot_round r using (snapshot_id)
+join round_span span on span.family = r.family and span.survey = r.survey
+left join stg_snapshots first on first.snapshot_id = span.first_id
+left join snapshot_round before on before.family = r.family and before.survey = r.survey and before.round = r.round - 1
+left join stg_snapshots prior on prior.snapshot_id = before.snapshot_id""")
 
 cte("fi_resolved", """
-select ss.snapshot_stoplight_id, ss.snapshot_id, ss.indicator_status_value, si.survey_indicator_id
-from stg_snapshot_stoplight ss
-join fact_snapshots s on ss.snapshot_id = s.snapshot_id
-join stg_survey_stoplight si on s.survey_definition_id = si.survey_definition_id
-                            and ss.indicator_code_name = si.indicator_code_name""")
-
-cte("fi_joined", """
-select s.snapshot_id, s.snapshot_number, s.is_last, s.is_baseline, s.max_snapshot_number,
-       s.snapshot_date, s.family_id, s.organization_id, r.survey_indicator_id, s.survey_definition_id,
-       s.project_id, r.snapshot_stoplight_id,
-       case when r.indicator_status_value in (0, 1, 2, 3) then r.indicator_status_value end current_score,
-       p.snapshot_stoplight_id is not null is_priority,
-       a.snapshot_stoplight_id is not null has_achievement
-from fact_snapshots s
-join dim_family f on s.family_id = f.family_id
-join dim_organization o on s.organization_id = o.organization_id
-join dim_survey_definition d on s.survey_definition_id = d.survey_definition_id
-join fi_resolved r on s.snapshot_id = r.snapshot_id
-left join stg_snapshot_stoplight_priority p on r.snapshot_stoplight_id = p.snapshot_stoplight_id
-left join stg_snapshot_stoplight_achievement a on r.snapshot_stoplight_id = a.snapshot_stoplight_id""")
+select a.snapshot_stoplight_id, a.snapshot_id, a.indicator_status_value, q.survey_indicator_id
+from stg_survey_stoplight q
+join (select r.*, s.survey_definition_id from stg_snapshot_stoplight r join stg_snapshots s using (snapshot_id)) a
+  on a.survey_definition_id = q.survey_definition_id and a.indicator_code_name = q.indicator_code_name""")
+
+# the answers of known families, organizations and surveys, with a place in their line
+cte("answer_line", """
+select r.snapshot_stoplight_id, r.snapshot_id, r.survey_indicator_id, s.family_id, s.snapshot_number,
+       nullif(r.indicator_status_value, 9) score,
+       r.snapshot_stoplight_id in (select snapshot_stoplight_id from stg_snapshot_stoplight_priority) chosen,
+       r.snapshot_stoplight_id in (select snapshot_stoplight_id from stg_snapshot_stoplight_achievement) reached
+from fi_resolved r join fact_snapshots s using (snapshot_id)
+where s.family_id in (select family_id from dim_family)
+  and s.organization_id in (select organization_id from dim_organization)
+  and s.survey_definition_id in (select survey_definition_id from dim_survey_definition)""")
+
+cte("answer_step", """
+select me.snapshot_stoplight_id, me.family_id, me.survey_indicator_id, count(*) step
+from answer_line me join answer_line it
+  on it.family_id = me.family_id and it.survey_indicator_id = me.survey_indicator_id
+ and (it.snapshot_number < me.snapshot_number
+      or it.snapshot_number = me.snapshot_number and it.snapshot_stoplight_id <= me.snapshot_stoplight_id)
+group by all""")
+
+cte("answer_start", """
+select family_id, survey_indicator_id, max(score) score from answer_line where snapshot_number = 1 group by all""")
 
 cte("fact_indicators", """
-select snapshot_stoplight_id, snapshot_id, family_id, organization_id, survey_indicator_id,
-       survey_definition_id, project_id, cast(strftime(snapshot_date, '%Y%m%d') as integer) date_key,
-       snapshot_number, is_last, is_baseline, max_snapshot_number, current_score,
-       max(case when is_baseline then current_score end)
-           over (partition by family_id, survey_indicator_id) baseline_score,
-       lag(current_score) over w previous_score,
-       is_priority, has_achievement,
-       lag(is_priority) over w was_priority_in_previous
-from fi_joined
-window w as (partition by family_id, survey_indicator_id
-             order by snapshot_number asc nulls last, snapshot_stoplight_id asc nulls last)""")
+select a.snapshot_stoplight_id, s.snapshot_id, s.family_id, s.organization_id, a.survey_indicator_id,
+       s.survey_definition_id, s.project_id, s.date_key, s.snapshot_number, s.is_last, s.is_baseline,
+       s.max_snapshot_number, a.score current_score, start.score baseline_score, earlier.score previous_score,
+       a.chosen is_priority, a.reached has_achievement, earlier.chosen was_priority_in_previous
+from answer_line a
+join answer_step here using (snapshot_stoplight_id)
+join fact_snapshots s using (snapshot_id)
+left join answer_start start on start.family_id = a.family_id and start.survey_indicator_id = a.survey_indicator_id
+left join answer_step back on back.family_id = a.family_id and back.survey_indicator_id = a.survey_indicator_id
+                          and back.step = here.step - 1
+left join answer_line earlier on earlier.snapshot_stoplight_id = back.snapshot_stoplight_id""")
 
 # --------------------------------------------------------------------------
 # dashboard marts
 # --------------------------------------------------------------------------
 cte("flow_aggregate", """
-select organization_id, survey_indicator_id, survey_definition_id, project_id, snapshot_number,
-       is_last, max_snapshot_number, baseline_score, previous_score, current_score, is_priority,
-       has_achievement, was_priority_in_previous, count(*) family_count,
-       cast(sum(current_score - baseline_score) as bigint) net_change_numeric
-from fact_indicators
-group by all""")
+select unnest(flow), count(*) family_count, sum(gain)::bigint net_change_numeric
+from (select {'organization_id': organization_id, 'survey_indicator_id': survey_indicator_id,
+              'survey_definition_id': survey_definition_id, 'project_id': project_id,
+              'snapshot_number': snapshot_number, 'is_last': is_last, 'max_snapshot_number': max_snapshot_number,
+              'baseline_score': baseline_score, 'previous_score': previous_score, 'current_score': current_score,
+              'is_priority': is_priority, 'has_achievement': has_achievement,
+              'was_priority_in_previous': was_priority_in_previous} flow,
+             current_score - baseline_score gain
+      from fact_indicators)
+group by flow""")
 
 
 def _label(col: str, other: str) -> str:
-    return (f"case when {col} = 0 then 'Skipped' when {col} = 1 then 'Red' "
-            f"when {col} = 2 then 'Yellow' when {col} = 3 then 'Green' else '{other}' end")
+    return f"coalesce(['Skipped', 'Red', 'Yellow', 'Green'][{col} + 1], '{other}')"
 
 
 cte("mart_indicators", f"""
-select o.application_id, o.application_name hub_name, o.organization_name, p.project_name,
-       i.indicator_name, i.dimension_name, s.survey_title,
-       case when g.snapshot_number = 1 then 'Baseline' when g.snapshot_number = 2 then '1st Follow-up'
-            when g.snapshot_number = 3 then '2nd Follow-up' when g.snapshot_number = 4 then '3rd Follow-up'
-            else cast(g.snapshot_number - 1 as varchar) || 'th Follow-up' end snapshot_type,
-       g.snapshot_number, g.is_last, g.max_snapshot_number,
-       {_label('g.baseline_score', 'N/A')} baseline_label,
-       {_label('g.previous_score', 'N/A')} previous_label,
-       {_label('g.current_score', 'Unknown')} current_label,
-       g.is_priority, g.has_achievement, g.was_priority_in_previous, g.net_change_numeric, g.family_count
-from flow_aggregate g
-join dim_organization o on g.organization_id = o.organization_id
-join dim_indicator_questions i on g.survey_indicator_id = i.survey_indicator_id
-join dim_survey_definition s on g.survey_definition_id = s.survey_definition_id
-left join stg_projects p on g.project_id = p.project_id
-where i.is_core_dimension = true""")
+select hub.application_id, hub.application_name hub_name, hub.organization_name,
+       (select project_name from stg_projects p where p.project_id = flow.project_id) project_name,
+       asked.indicator_name, asked.dimension_name, form.survey_title,
+       coalesce(['Baseline', '1st Follow-up', '2nd Follow-up', '3rd Follow-up', '4th Follow-up'][flow.snapshot_number],
+                concat(flow.snapshot_number - 1, 'th Follow-up')) snapshot_type,
+       flow.snapshot_number, flow.is_last, flow.max_snapshot_number,
+       {_label('flow.baseline_score', 'N/A')} baseline_label,
+       {_label('flow.previous_score', 'N/A')} previous_label,
+       {_label('flow.current_score', 'Unknown')} current_label,
+       flow.is_priority, flow.has_achievement, flow.was_priority_in_previous, flow.net_change_numeric,
+       flow.family_count
+from (select * from dim_indicator_questions where is_core_dimension) asked
+join flow_aggregate flow using (survey_indicator_id)
+join dim_survey_definition form on form.survey_definition_id = flow.survey_definition_id
+join dim_organization hub on hub.organization_id = flow.organization_id""")
 
 cte("mart_surveys", """
 select fs.snapshot_id, coalesce(f.country_name, 'Unknown') country_name, fs.is_last,

@@ -1,29 +1,19 @@
 """Dimension models (star-schema side).
 
 All dimension inputs are small code tables (hubs, organisations, countries,
-survey definitions, indicators, translations).  They are joined through
-``small(name, df)``, which broadcasts a side only after its row count is
-proven below the policy bound; otherwise the planner's shuffle join is used.
-``dim_family`` grows with the data and is never broadcast by hand.
+survey definitions, indicators, translations).  Spark broadcasts a side whose
+bytes, estimated or measured, are under its threshold and shuffles any other;
+nothing is broadcast by hand.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surveywave.operators.relational import pivot_max
 
-Small = Callable[[str, DataFrame], DataFrame]
-
-
-def _identity(_name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
 # The calendar span of the date dimension (inclusive).
 DATE_SPINE_START = _dt.date(2011, 1, 1)
 DATE_SPINE_END = _dt.date(2035, 12, 31)
@@ -64,11 +54,10 @@ def dim_date(spark: SparkSession, start: _dt.date = DATE_SPINE_START,
     )
 
 
-def dim_organization(orgs: DataFrame, apps: DataFrame, countries: DataFrame,
-                     small: Small = _identity) -> DataFrame:
-    o, a = orgs.alias("o"), small("stg_applications", apps).alias("a")
-    oc = small("stg_countries", countries).alias("oc")
-    ac = small("stg_countries", countries).alias("ac")
+def dim_organization(orgs: DataFrame, apps: DataFrame, countries: DataFrame) -> DataFrame:
+    o, a = orgs.alias("o"), apps.alias("a")
+    oc = countries.alias("oc")
+    ac = countries.alias("ac")
     j = (o.join(a, F.col("o.application_id") == F.col("a.application_id"), "inner")
           .join(oc, F.col("o.country_code") == F.col("oc.country_code"), "left")
           .join(ac, F.col("a.country_code") == F.col("ac.country_code"), "left"))
@@ -86,17 +75,16 @@ def dim_organization(orgs: DataFrame, apps: DataFrame, countries: DataFrame,
         F.col("o.organization_created_at"), F.col("o.organization_updated_at"))
 
 
-def dim_family(families: DataFrame, countries: DataFrame, small: Small = _identity) -> DataFrame:
-    f, c = families.alias("f"), small("stg_countries", countries).alias("c")
+def dim_family(families: DataFrame, countries: DataFrame) -> DataFrame:
+    f, c = families.alias("f"), countries.alias("c")
     return f.join(c, F.col("f.country_id") == F.col("c.country_id"), "left").select(
         "f.family_id", "f.application_id", "f.organization_id", "f.project_id", "f.is_anonymous",
         "f.family_is_active", "c.country_code", "c.country_name", "f.latitude", "f.longitude",
         "f.family_created_at", "f.family_updated_at")
 
 
-def dim_survey_definition(surveys: DataFrame, countries: DataFrame,
-                          small: Small = _identity) -> DataFrame:
-    s, c = surveys.alias("s"), small("stg_countries", countries).alias("c")
+def dim_survey_definition(surveys: DataFrame, countries: DataFrame) -> DataFrame:
+    s, c = surveys.alias("s"), countries.alias("c")
     return s.join(c, F.col("s.country_code") == F.col("c.country_code"), "left").select(
         "s.survey_definition_id", "s.survey_code", "s.survey_title", "s.survey_description",
         "s.survey_language", "s.survey_is_active",
@@ -105,9 +93,8 @@ def dim_survey_definition(surveys: DataFrame, countries: DataFrame,
         "s.survey_created_at", "s.survey_updated_at")
 
 
-def dim_economic_questions(questions: DataFrame, surveys: DataFrame,
-                           small: Small = _identity) -> DataFrame:
-    se, sd = questions.alias("se"), small("stg_survey_definitions", surveys).alias("sd")
+def dim_economic_questions(questions: DataFrame, surveys: DataFrame) -> DataFrame:
+    se, sd = questions.alias("se"), surveys.alias("sd")
     return se.join(sd, F.col("se.survey_definition_id") == F.col("sd.survey_definition_id"), "left").select(
         "se.survey_economic_id", "se.survey_definition_id", "sd.survey_code", "sd.survey_title",
         "sd.survey_description", "sd.survey_language", "sd.survey_is_active", "se.code_name",
@@ -126,12 +113,11 @@ def color_criteria_pivot(colors: DataFrame) -> DataFrame:
     return pivot_max(colors, "survey_indicator_id", "color_value", "color_description", COLOR_COLUMNS)
 
 
-def indicator_templates_translated(templates: DataFrame, translations: DataFrame,
-                                   small: Small = _identity) -> DataFrame:
+def indicator_templates_translated(templates: DataFrame, translations: DataFrame) -> DataFrame:
     """Template + English name and description (a repeated key fans out)."""
     t = templates.alias("t")
-    n = small("stg_translations", translations).alias("n")
-    d = small("stg_translations", translations).alias("d")
+    n = translations.alias("n")
+    d = translations.alias("d")
     return (t.join(n, F.col("t.indicator_template_short_name") == F.col("n.translation_key"), "left")
              .join(d, F.col("t.indicator_template_description") == F.col("d.translation_key"), "left")
              .select("t.indicator_template_id", "t.dimension_id", "t.indicator_template_short_name",
@@ -141,17 +127,15 @@ def indicator_templates_translated(templates: DataFrame, translations: DataFrame
 
 
 def dim_indicator_questions(survey_indicators: DataFrame, templates: DataFrame, colors: DataFrame,
-                            dimensions: DataFrame, translations: DataFrame,
-                            small: Small = _identity) -> DataFrame:
+                            dimensions: DataFrame, translations: DataFrame) -> DataFrame:
     """Survey indicator ⋈ template (inner: template-less indicators vanish),
     dimension (joined on the survey indicator's own dimension id), its English
     name and the colour criteria."""
     si = survey_indicators.alias("si")
-    tt = small("indicator_templates_translated",
-               indicator_templates_translated(templates, translations, small)).alias("tt")
-    dm = small("stg_survey_stoplight_dimension", dimensions).alias("dm")
-    tr = small("stg_translations", translations).alias("tr")
-    cp = small("color_criteria_pivot", color_criteria_pivot(colors)).alias("cp")
+    tt = indicator_templates_translated(templates, translations).alias("tt")
+    dm = dimensions.alias("dm")
+    tr = translations.alias("tr")
+    cp = color_criteria_pivot(colors).alias("cp")
     j = (si.join(tt, F.col("si.indicator_template_id") == F.col("tt.indicator_template_id"), "inner")
            .join(dm, F.col("si.survey_dimension_id") == F.col("dm.dimension_id"), "left")
            .join(tr, F.col("dm.dimension_met_name") == F.col("tr.translation_key"), "left")

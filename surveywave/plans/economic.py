@@ -43,11 +43,12 @@ def parse_epoch_ms(c: Column) -> Column:
 def fact_economic(wh: Warehouse) -> DataFrame:
     a = wh.m("stg_snapshot_economic").select(
         "snapshot_economic_id", "snapshot_id", "code_name",
-        F.col("answer_type").alias("response_type"), "answer_value", "answer_multiple_value")
+        F.col("answer_type").alias("response_type"), "answer_value", "answer_multiple_value",
+        "answer_other_text")
     s = wh.m("fact_snapshots").select("snapshot_id", "family_id", "organization_id", "survey_definition_id",
                                       "snapshot_date", "snapshot_number", "is_last")
-    q = wh.small("stg_survey_economic", wh.m("stg_survey_economic").select(
-        "survey_economic_id", "survey_definition_id", "code_name", F.col("answer_type").alias("question_type")))
+    q = wh.m("stg_survey_economic").select(
+        "survey_economic_id", "survey_definition_id", "code_name", F.col("answer_type").alias("question_type"))
     j = a.join(s, "snapshot_id").join(q, ["survey_definition_id", "code_name"])
     t = F.coalesce(F.col("question_type"), F.col("response_type"))
     v = F.col("answer_value")
@@ -58,7 +59,8 @@ def fact_economic(wh: Warehouse) -> DataFrame:
         F.when(t.isin(TEXT_TYPES), v)
          .when(t == "checkbox", pipe_join(F.coalesce(F.col("answer_multiple_value"), v))).alias("value_text"),
         F.when(t == "number", parse_number(v)).alias("value_number"),
-        F.when(t == "date", parse_epoch_ms(v)).alias("value_date"))
+        F.when(t == "date", parse_epoch_ms(v)).alias("value_date"),
+        F.col("answer_other_text").alias("value_other_text"))
     # currency answered in the same snapshot (one value per snapshot)
     currency = (a.filter(F.col("code_name").like("%currency%"))
                 .groupBy("snapshot_id").agg(F.max("answer_value").alias("_currency")))
@@ -85,6 +87,7 @@ fact_economic as (
               then try_cast(a.answer_value as decimal(15,2)) end value_number,
          case when coalesce(q.answer_type, a.answer_type) = 'date' and regexp_full_match(a.answer_value, '[0-9]+')
               then make_timestamp((cast(a.answer_value as bigint) // 1000) * 1000000) end value_date,
+         a.answer_other_text value_other_text,
          case when a.code_name = 'householdmonthlyincome' then c.currency end currency_code
   from stg_snapshot_economic a
   join fact_snapshots s on a.snapshot_id = s.snapshot_id
@@ -94,7 +97,7 @@ fact_economic as (
 
 _ECON_COLS = ("snapshot_economic_id, snapshot_id, family_id, organization_id, survey_definition_id, "
               "survey_economic_id, code_name, date_key, snapshot_number, is_last, answer_type, value_text, "
-              "cast(value_number as double) value_number, value_date, currency_code")
+              "cast(value_number as double) value_number, value_date, value_other_text, currency_code")
 
 
 def _econ(wh: Warehouse) -> DataFrame:
@@ -207,3 +210,17 @@ def q_mask_anonymous(wh):
     fam = wh.m("dim_family")
     label = F.concat(F.lit("family "), F.col("family_id").cast("string"))
     return fam.select("family_id", "is_anonymous", mask_anonymous(label, "is_anonymous").alias("family_label"))
+
+
+@register("dq_number_overflow", """
+select code_name, count(*) numeric_answers,
+       cast(count(*) filter (where length(split_part(answer_value, '.', 1)) > 13
+                             and try_cast(answer_value as decimal(15,2)) is null) as bigint) too_large
+from stg_snapshot_economic where regexp_full_match(answer_value, '[0-9]+\\.?[0-9]*') group by all""")
+def dq_number_overflow(wh):
+    """Answers that are numbers but do not fit the declared NUMERIC(15,2), by
+    question: the fact holds NULL for them, here they are counted."""
+    v = F.col("answer_value")
+    return (wh.m("stg_snapshot_economic").where(v.rlike(NUMBER_PATTERN)).groupBy("code_name").agg(
+        F.count(F.lit(1)).alias("numeric_answers"),
+        F.sum(F.when(parse_number(v).isNull(), 1).otherwise(0)).cast("long").alias("too_large")))

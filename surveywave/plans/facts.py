@@ -1,12 +1,12 @@
 """Fact models: snapshot sequence and per-indicator score alignment.
 
 Shuffle plan (the only large exchanges of the pipeline):
-* fact_snapshots  — snapshots by family once: the family window (is_last)
-  and the (family, survey) window (sequence) share that partitioning;
+* fact_snapshots  — snapshots by family (the latest one, partially reduced),
+  by snapshot id, and by range of (family, survey, date) for the sequence;
 * fact_indicators — responses by snapshot_id (resolve), by response id
-  (priority / achievement flags), by (family, survey indicator) (sequence).
-Every small side (survey indicators, organisations, surveys) is broadcast
-only after its size is checked (``small``).
+  (priority / achievement flags), by range of (family, indicator, survey).
+Small sides (survey indicators, organisations, surveys) are broadcast by Spark
+when their size is under the threshold, by plan or as measured at run time.
 """
 
 from __future__ import annotations
@@ -17,9 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveywave.functions.columns import date_key, days_between, score_or_null
+from surveywave.operators.relational import keep_first
 from surveywave.operators.sequence import sequence
 
-Small = Callable[[str, DataFrame], DataFrame]
+Store = Callable[[DataFrame], DataFrame]
 
 FACT_SNAPSHOT_COLUMNS = [
     "snapshot_id", "family_id", "organization_id", "application_id", "survey_definition_id",
@@ -36,10 +37,6 @@ FACT_INDICATOR_COLUMNS = [
 ]
 
 
-def _identity(_name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
 def snapshot_order():
     """Chronological order of a family's snapshots (ascending, NULLs last)."""
     return [F.col("snapshot_date").asc_nulls_last(), F.col("snapshot_created_at").asc_nulls_last(),
@@ -52,34 +49,33 @@ def latest_order():
             F.col("snapshot_id").desc_nulls_first()]
 
 
-def fact_snapshots(stg_snapshots: DataFrame) -> DataFrame:
+def fact_snapshots(stg_snapshots: DataFrame, store: Store | None = None) -> DataFrame:
     """Recompute the per-(family, survey) sequence; source numbers are ignored.
 
-    The family-level window runs first: its hash partitioning on family_id
-    already satisfies the (family, survey) window, so both share one shuffle."""
+    is_last is per family across all surveys: the latest row of each family,
+    cut to one a map task before the shuffle, then met by its snapshot id."""
     s = stg_snapshots.drop("snapshot_number", "is_last")
-    # is_last is per family across all surveys.
-    latest = sequence(s, ["family_id"], latest_order(), number="_rev_rn")
+    last = keep_first(s.select("family_id", "snapshot_id", "snapshot_date", "snapshot_created_at"), ["family_id"], latest_order())
+    last = last.select(F.col("snapshot_id").alias("_last_id"))
+    s = s.join(last, s["snapshot_id"].eqNullSafe(last["_last_id"]), "left")
     seq = sequence(
-        latest, ["family_id", "survey_definition_id"], snapshot_order(),
+        s, ["family_id", "survey_definition_id"], snapshot_order(),
         number="snapshot_number", size="max_snapshot_number",
-        lag={"_prev_date": "snapshot_date"}, first={"_first_date": "snapshot_date"})
+        lag={"_prev_date": "snapshot_date"}, first={"_first_date": "snapshot_date"}, store=store)
     return seq.select(
         "snapshot_id", "family_id", "organization_id", "application_id", "survey_definition_id",
         "project_id", date_key("snapshot_date").alias("date_key"), "snapshot_date",
-        "snapshot_number", (F.col("_rev_rn") == 1).alias("is_last"),
+        "snapshot_number", F.col("_last_id").isNotNull().alias("is_last"),
         (F.col("snapshot_number") == 1).alias("is_baseline"), "max_snapshot_number",
         days_between("snapshot_date", "_first_date").alias("days_since_baseline"),
         days_between("snapshot_date", "_prev_date").alias("days_since_previous"),
         "stoplight_skipped", "is_anonymous", "snapshot_created_at", "snapshot_updated_at")
 
 
-def resolve_indicator(responses: DataFrame, snapshots: DataFrame, survey_indicators: DataFrame,
-                      small: Small = _identity) -> DataFrame:
+def resolve_indicator(responses: DataFrame, snapshots: DataFrame, survey_indicators: DataFrame) -> DataFrame:
     """Response → its snapshot → the survey's indicator on the composite key
     (survey_definition_id, normalised code).  Inner joins drop orphans."""
-    si = small("stg_survey_stoplight", survey_indicators.select(
-        "survey_indicator_id", "survey_definition_id", "indicator_code_name"))
+    si = survey_indicators.select("survey_indicator_id", "survey_definition_id", "indicator_code_name")
     r = responses.select("snapshot_stoplight_id", "snapshot_id", "indicator_code_name",
                          "indicator_status_value")
     return (r.join(snapshots, "snapshot_id", "inner")
@@ -89,8 +85,7 @@ def resolve_indicator(responses: DataFrame, snapshots: DataFrame, survey_indicat
 def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicators: DataFrame,
                     dim_family: DataFrame, dim_organization: DataFrame,
                     dim_survey_definition: DataFrame, priorities: DataFrame,
-                    achievements: DataFrame, small: Small = _identity,
-                    stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+                    achievements: DataFrame, store: Store | None = None) -> DataFrame:
     # Existence filters: the source inner-joins three dimensions without
     # selecting from them; with unique dimension keys that is a semi join.
     snaps = (fact_snaps
@@ -98,11 +93,9 @@ def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicato
                      "max_snapshot_number", "snapshot_date", "family_id", "organization_id",
                      "survey_definition_id", "project_id")
              .join(dim_family.select("family_id"), "family_id", "left_semi")
-             .join(small("dim_organization", dim_organization.select("organization_id")),
-                   "organization_id", "left_semi")
-             .join(small("dim_survey_definition", dim_survey_definition.select("survey_definition_id")),
-                   "survey_definition_id", "left_semi"))
-    resolved = resolve_indicator(responses, snaps, survey_indicators, small)
+             .join(dim_organization.select("organization_id"), "organization_id", "left_semi")
+             .join(dim_survey_definition.select("survey_definition_id"), "survey_definition_id", "left_semi"))
+    resolved = resolve_indicator(responses, snaps, survey_indicators)
     pr = priorities.select(F.col("snapshot_stoplight_id").alias("_pr_id"))
     ac = achievements.select(F.col("snapshot_stoplight_id").alias("_ac_id"))
     flagged = (resolved
@@ -112,13 +105,11 @@ def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicato
                        F.col("_pr_id").isNotNull().alias("is_priority"),
                        F.col("_ac_id").isNotNull().alias("has_achievement"))
                .drop("_pr_id", "_ac_id"))
-    # ``stage`` cuts lineage (checkpoint) so the hot-group scan and the
-    # sequence read stored rows instead of re-running the resolve joins.
     seq = sequence(
-        stage(flagged), ["family_id", "survey_indicator_id"],
+        flagged, ["family_id", "survey_indicator_id"],
         [F.col("snapshot_number").asc_nulls_last(), F.col("snapshot_stoplight_id").asc_nulls_last()],
         lag={"previous_score": "current_score", "was_priority_in_previous": "is_priority"},
-        group_max={"baseline_score": F.when(F.col("is_baseline"), F.col("current_score"))})
+        group_max={"baseline_score": F.when(F.col("is_baseline"), F.col("current_score"))}, store=store)
     return seq.select(
         "snapshot_stoplight_id", "snapshot_id", "family_id", "organization_id",
         "survey_indicator_id", "survey_definition_id", "project_id",

@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from surveywave.functions.columns import (
     baseline_label, current_label, previous_label, snapshot_type)
 
-Small = Callable[[str, DataFrame], DataFrame]
 
 FLOW_KEYS = [
     "organization_id", "survey_indicator_id", "survey_definition_id", "project_id",
@@ -26,10 +23,6 @@ MART_INDICATOR_COLUMNS = [
 ]
 
 
-def _identity(_name: str, df: DataFrame) -> DataFrame:
-    return df
-
-
 def flow_aggregate(fact_indicators: DataFrame) -> DataFrame:
     """Group by the 13 id/score/flag keys (partial + final hash aggregate).
 
@@ -41,19 +34,19 @@ def flow_aggregate(fact_indicators: DataFrame) -> DataFrame:
 
 def mart_indicators(fact_indicators: DataFrame, dim_organization: DataFrame,
                     dim_indicator_questions: DataFrame, dim_survey_definition: DataFrame,
-                    projects: DataFrame, small: Small = _identity) -> DataFrame:
+                    projects: DataFrame) -> DataFrame:
     """The ``Indicators`` dashboard table.
 
     Only core-dimension indicators survive the final filter; since the
     indicator id is a group key, they are selected *before* aggregating
     (semi join on the small indicator dimension) so the shuffle carries less."""
-    diq = small("dim_indicator_questions", dim_indicator_questions)
+    diq = dim_indicator_questions
     core_ids = diq.filter(F.col("is_core_dimension") == F.lit(True)).select("survey_indicator_id")
     agg = flow_aggregate(fact_indicators.join(core_ids.distinct(), "survey_indicator_id", "left_semi")).alias("g")
-    org = small("dim_organization", dim_organization).alias("o")
+    org = dim_organization.alias("o")
     ind = diq.alias("i")
-    sdef = small("dim_survey_definition", dim_survey_definition).alias("s")
-    prj = small("stg_projects", projects).alias("p")
+    sdef = dim_survey_definition.alias("s")
+    prj = projects.alias("p")
     j = (agg.join(org, F.col("g.organization_id") == F.col("o.organization_id"), "inner")
             .join(ind, F.col("g.survey_indicator_id") == F.col("i.survey_indicator_id"), "inner")
             .join(sdef, F.col("g.survey_definition_id") == F.col("s.survey_definition_id"), "inner")
@@ -81,16 +74,15 @@ MART_SURVEY_COLUMNS = [
 
 
 def mart_surveys(fact_snapshots: DataFrame, dim_family: DataFrame, dim_organization: DataFrame,
-                 dim_survey_definition: DataFrame, projects: DataFrame,
-                 small: Small = _identity) -> DataFrame:
+                 dim_survey_definition: DataFrame, projects: DataFrame) -> DataFrame:
     """The ``Surveys`` dashboard table: one row per snapshot.  dim_family grows
-    with the data, so that join is left to the planner (shuffle on family_id,
-    which fact_snapshots is already partitioned by)."""
+    with the data, so that join is left to the planner (a shuffle on family_id
+    of both sides once the fact is stored)."""
     s = fact_snapshots.alias("s")
     f = dim_family.alias("f")
-    o = small("dim_organization", dim_organization).alias("o")
-    d = small("dim_survey_definition", dim_survey_definition).alias("d")
-    p = small("stg_projects", projects).alias("p")
+    o = dim_organization.alias("o")
+    d = dim_survey_definition.alias("d")
+    p = projects.alias("p")
     j = (s.join(o, F.col("s.organization_id") == F.col("o.organization_id"), "inner")
           .join(f, F.col("s.family_id") == F.col("f.family_id"), "inner")
           .join(d, F.col("s.survey_definition_id") == F.col("d.survey_definition_id"), "inner")

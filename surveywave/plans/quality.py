@@ -1,8 +1,8 @@
 """Data-quality suite: generic schema tests and the documented analyses.
 
-Generic tests compile to "failing rows" counts, batched per model: all
-not-null / accepted-values / expression tests of a model are one aggregate
-pass; unique and relationship tests are one grouped or anti-join pass each.
+Generic tests compile to "failing rows" counts: all not-null and expression
+tests of a model are one aggregate over one scan; a unique, accepted-values or
+relationship test is one grouped or anti-join pass.
 The report has one row per test: (test, model, column, severity, failures,
 status) and ``run_report`` raises only when an ``error`` test fails.
 """
@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from surveywave.functions.columns import norm_key
@@ -133,23 +133,19 @@ REPORT_COLUMNS = ["test", "model", "column", "severity", "failures"]
 
 
 def _row_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All per-row tests of one model in one aggregate pass, unpivoted."""
+    """All per-row tests of one model: one aggregate over one scan, its single
+    row unpivoted by explode."""
     aggs: list[Column] = []
     for i, c in enumerate(checks):
-        col = F.col(c.column)
         if c.test == "not_null":
-            bad = col.isNull()
+            bad = F.col(c.column).isNull()
         elif c.test == "expression_true":
             bad = ~F.expr(f"`{c.column}` {c.expression}")
         else:
             raise ValueError(c.test)
         aggs.append(F.sum(F.when(bad, 1).otherwise(0)).cast("long").alias(f"c{i}"))
-    one = df.agg(*aggs)
-    return reduce(DataFrame.unionByName, [
-        one.select(F.lit(c.test).alias("test"), F.lit(c.model).alias("model"),
-                   F.lit(c.column).alias("column"), F.lit(c.severity).alias("severity"),
-                   F.coalesce(F.col(f"c{i}"), F.lit(0)).alias("failures"))
-        for i, c in enumerate(checks)])
+    tests = F.array(*[F.struct(*_const(c, F.coalesce(F.col(f"c{i}"), F.lit(0)))) for i, c in enumerate(checks)])
+    return df.agg(*aggs).select(F.explode(tests).alias("t")).select("t.*")
 
 
 def _const(c: Check, failures: Column) -> list[Column]:
@@ -319,12 +315,15 @@ union all
 select 'indicator_metrics', survey_indicator_code_name, green_pct + yellow_pct + red_pct + skipped_pct
 from im where green_pct is not null and abs(green_pct + yellow_pct + red_pct + skipped_pct - 100.0) > 0.5""")
 def dq_pct_sum_100(wh):
-    def fails(df, table, ident):
-        total = F.col("green_pct") + F.col("yellow_pct") + F.col("red_pct") + F.col("skipped_pct")
-        return (df.filter(F.col("green_pct").isNotNull() & (F.abs(total - 100.0) > 0.5))
-                .select(F.lit(table).alias("table_name"), F.col(ident).alias("identifier"), total.alias("total_pct")))
-    return (fails(dimension_metrics(wh), "dimension_metrics", "dimension_name")
-            .unionByName(fails(indicator_metrics(wh), "indicator_metrics", "survey_indicator_code_name")))
+    return (sum_failures(dimension_metrics(wh), "dimension_metrics", "dimension_name")
+            .unionByName(sum_failures(indicator_metrics(wh), "indicator_metrics", "survey_indicator_code_name")))
+
+
+def sum_failures(df: DataFrame, table: str, ident: str) -> DataFrame:
+    """Rows whose four shares miss 100 by more than half a point."""
+    total = F.col("green_pct") + F.col("yellow_pct") + F.col("red_pct") + F.col("skipped_pct")
+    return (df.filter(F.col("green_pct").isNotNull() & (F.abs(total - 100.0) > 0.5))
+            .select(F.lit(table).alias("table_name"), F.col(ident).alias("identifier"), total.alias("total_pct")))
 
 
 # -- documented data-quality analyses --------------------------------------------
@@ -477,16 +476,36 @@ def dq_dimension_usage(wh, low_usage: int = 100_000):
 
 
 @register("dq_families_no_country", """
-select f.organization_id, count(distinct f.family_id) families_without_country,
-       count(s.snapshot_id) surveys_affected
-from dim_family f left join fact_snapshots s on f.family_id = s.family_id
-where f.country_name is null group by all""")
+with lost as (select family_id, organization_id from dim_family where country_name is null),
+by_org as (
+  select organization_id, count(*) families_without_country,
+         (select count(*) from fact_snapshots s where s.family_id in
+            (select family_id from lost l where l.organization_id is not distinct from lost.organization_id)) surveys_affected
+  from lost group by organization_id)
+select organization_id, families_without_country, surveys_affected,
+       (select count(*) from dim_family) total_families,
+       families_without_country * 100.0::double / (select count(*) from dim_family) families_pct,
+       surveys_affected * 100.0::double / (select count(*) from fact_snapshots) surveys_pct,
+       row_number() over (order by families_without_country desc, organization_id nulls last) place
+from by_org""")
 def dq_families_no_country(wh):
-    f = wh.m("dim_family").filter(F.col("country_name").isNull()).select("family_id", "organization_id")
-    s = wh.m("fact_snapshots").select("family_id", "snapshot_id")
-    return (f.join(s, "family_id", "left").groupBy("organization_id")
-            .agg(F.countDistinct("family_id").alias("families_without_country"),
-                 F.count("snapshot_id").alias("surveys_affected")))
+    """Families without a country by organization, with their share of all
+    families and surveys, most affected organizations first (place 1)."""
+    families, surveys = wh.m("dim_family"), wh.m("fact_snapshots")
+    f = families.filter(F.col("country_name").isNull()).select("family_id", "organization_id")
+    counts = surveys.groupBy("family_id").agg(F.count(F.lit(1)).alias("n"))
+    by_org = f.join(counts, "family_id", "left").groupBy("organization_id").agg(
+        F.count(F.lit(1)).alias("families_without_country"), F.coalesce(F.sum("n"), F.lit(0)).alias("surveys_affected"))
+    # two totals of one row each
+    totals = families.agg(F.count(F.lit(1)).alias("total_families")).withColumn("_one", F.lit(1)).join(
+        F.broadcast(surveys.agg(F.count(F.lit(1)).alias("total_surveys")).withColumn("_one", F.lit(1))), "_one")
+    # the ranking passes one row an organization through one window
+    place = Window.orderBy(F.col("families_without_country").desc(), F.col("organization_id").asc_nulls_last())
+    return (by_org.withColumn("_one", F.lit(1)).join(F.broadcast(totals), "_one")
+            .select("organization_id", "families_without_country", "surveys_affected", "total_families",
+                    (F.col("families_without_country") * 100.0 / F.col("total_families")).alias("families_pct"),
+                    (F.col("surveys_affected") * 100.0 / F.col("total_surveys")).alias("surveys_pct"),
+                    F.row_number().over(place).cast("long").alias("place")))
 
 
 def _orphan_econ(wh):
@@ -549,18 +568,41 @@ def dq_natural_key(wh):
             .filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("duplicate_keys")))
 
 
-@register("dq_geo_range", """
-select 'latitude_out_of_range' "check", count(*) failures from dim_family where latitude not between -90 and 90
+# The documented ranges; a date is out of range before 2018 or
+# after the newest change recorded in the snapshots (no survey is of the future).
+_RAW_RANGES = [("latitude", 90), ("longitude", 180)]
+
+
+@register("dq_geo_range", "".join(f"""
+select '{c}_out_of_range' "check", count(*) failures from raw_family
+where try_cast(trim({c}) as double) not between -{m} and {m}
+union all
+select '{c}_not_a_number', count(*) from raw_family
+where trim({c}) <> '' and try_cast(trim({c}) as double) is null
+union all""" for c, m in _RAW_RANGES) + """
+select 'snapshot_before_2018', count(*) from fact_snapshots where snapshot_date < timestamp '2018-01-01'
 union all
-select 'longitude_out_of_range', count(*) from dim_family where longitude not between -180 and 180
+select 'snapshot_after_last_change', count(*) from fact_snapshots
+where snapshot_date > (select max(snapshot_created_at) from fact_snapshots)
 union all
-select 'snapshot_before_2018', count(*) from fact_snapshots where year(snapshot_date) < 2018""")
+select 'snapshot_without_date', count(*) from fact_snapshots where snapshot_date is null""")
 def dq_geo_range(wh):
-    fam = wh.m("dim_family")
-    snaps = wh.m("fact_snapshots")
-
-    def n(label, df):
-        return df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(label).alias("check"), "failures")
-    return (n("latitude_out_of_range", fam.filter(~F.col("latitude").between(-90, 90)))
-            .unionByName(n("longitude_out_of_range", fam.filter(~F.col("longitude").between(-180, 180))))
-            .unionByName(n("snapshot_before_2018", snaps.filter(F.year("snapshot_date") < 2018))))
+    """Coordinates as the raw table has them (staging blanks bad ones) and
+    survey dates outside 2018 to the newest change; a scan of each table."""
+    fam, checks = wh.raw("family"), []
+    for c, most in _RAW_RANGES:
+        number = F.trim(c).try_cast("double")
+        checks.append((f"{c}_out_of_range", ~number.between(-most, most)))
+        checks.append((f"{c}_not_a_number", (F.trim(c) != "") & number.isNull()))
+    date = F.col("snapshot_date")
+    snaps = wh.m("fact_snapshots").select("snapshot_date", "snapshot_created_at")
+    newest = snaps.agg(F.max("snapshot_created_at").alias("_newest")).withColumn("_one", F.lit(1))
+    snaps = snaps.withColumn("_one", F.lit(1)).join(F.broadcast(newest), "_one")  # one row
+    dated = [("snapshot_before_2018", date < F.lit("2018-01-01").cast("timestamp")),
+             ("snapshot_after_last_change", date > F.col("_newest")), ("snapshot_without_date", date.isNull())]
+
+    def counts(df, tests):
+        one = df.agg(*[F.coalesce(F.sum(F.when(bad, 1).otherwise(0)), F.lit(0)).cast("long").alias(n) for n, bad in tests])
+        rows = F.array(*[F.struct(F.lit(n).alias("check"), F.col(n).alias("failures")) for n, _ in tests])
+        return one.select(F.explode(rows).alias("r")).select("r.*")
+    return counts(fam, checks).unionByName(counts(snaps, dated))

@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 from surveywave.functions.columns import (
     current_label, ratio, score_label, snapshot_type, survey_type)
 from surveywave.operators.relational import top_k
-from surveywave.operators.sequence import sequence
+from surveywave.operators.sequence import window_sequence
 from surveywave.plans.registry import register
 from surveywave.plans.warehouse import Warehouse
 
 # Fixed parameters of the ready-made questions.
 TOP_K = 15                      # benchmark top-k (hub ranking)
-TOP_INDICATORS = 10             # "most critical / vulnerable" lists
 FOLLOWUP_BUCKET_DAYS = 30       # time-to-follow-up histogram width
 FOCUS_DIMENSION = "Housing and Infrastructure"   # dimension filter of index query 3
 DATE_FROM, DATE_TO = 19960101, 19981231          # date-key range question
@@ -50,16 +49,31 @@ def status_sql(score: str = "current_score") -> str:
     return ", ".join(parts)
 
 
-def responses(wh: Warehouse) -> DataFrame:
-    """fact_indicators with indicator / dimension names and the family's
-    country and location (small dims broadcast by the planner, family by
-    shuffle on family_id)."""
-    diq = wh.m("dim_indicator_questions").select("survey_indicator_id", "indicator_name",
-                                                 "dimension_name")
-    fam = wh.m("dim_family").select("family_id", "country_name", "latitude", "longitude")
-    return (wh.m("fact_indicators")
-            .join(diq, "survey_indicator_id", "left")
-            .join(fam, "family_id", "left"))
+def status_counts(df: DataFrame, *keys: str, score: str = "current_score") -> DataFrame:
+    """The four colour counts and the total, before names are looked up."""
+    c = F.col(score)
+    return df.groupBy(*keys).agg(*[F.sum(F.when(c == v, 1).otherwise(0)).alias(f"_{k}") for k, v in SCORE.items()],
+                                 F.count(F.lit(1)).alias("_total"))
+
+
+def status_sums() -> list[Column]:
+    """status_aggs over rows of status_counts."""
+    counts = {k: F.sum(f"_{k}").cast("long") for k in SCORE}
+    total = F.sum("_total").cast("long")
+    return ([c.alias(f"count_{k}") for k, c in counts.items()] + [total.alias("total")]
+            + [ratio(c, total).alias(f"pct_{k}") for k, c in counts.items()])
+
+
+def with_indicator(wh: Warehouse, per_indicator: DataFrame, *names: str) -> DataFrame:
+    """Looks up indicator or dimension names for rows that were aggregated by
+    survey_indicator_id first: a few rows an indicator meet a small dimension."""
+    return per_indicator.join(wh.m("dim_indicator_questions").select("survey_indicator_id", *names), "survey_indicator_id", "left")
+
+
+def with_family(wh: Warehouse, per_family: DataFrame, *names: str) -> DataFrame:
+    """The same by family; both sides grow, so this is a shuffle on family_id
+    of rows that are reduced to one a family (and key) already."""
+    return per_family.join(wh.m("dim_family").select("family_id", *names), "family_id", "left")
 
 
 RESPONSES_SQL = """
@@ -220,11 +234,10 @@ def _hub_order():
 
 
 @register("bench_hub_raw", f"""
-select a.name hub_name, count(*) indicator_responses
-from raw_snapshot_stoplight ssl
-join raw_snapshot s on ssl.snapshot_id = s.id
-join raw_applications a on s.application_id = a.id
-group by a.name order by indicator_responses desc, hub_name limit {TOP_K}""")
+with answers as (select snapshot_id id, count(*) n from raw_snapshot_stoplight group by all),
+by_hub as (select application_id id, sum(n) n from raw_snapshot join answers using (id) group by all)
+select name hub_name, sum(n)::bigint indicator_responses from raw_applications join by_hub using (id)
+group by all order by 2 desc, 1 limit {TOP_K}""")
 def bench_hub_raw(wh):
     """Raw layer: responses → snapshots → hubs (two joins)."""
     ssl = wh.raw("snapshot_stoplight").select("snapshot_id")
@@ -236,9 +249,10 @@ def bench_hub_raw(wh):
 
 
 @register("bench_hub_marts", f"""
-select o.application_name hub_name, count(*) indicator_responses
-from fact_indicators fi join dim_organization o on fi.organization_id = o.organization_id
-group by o.application_name order by indicator_responses desc, hub_name limit {TOP_K}""")
+with by_organization as (select organization_id, count(*) n from fact_indicators group by all)
+select application_name hub_name, sum(n)::bigint indicator_responses
+from dim_organization join by_organization using (organization_id)
+group by all order by 2 desc, 1 limit {TOP_K}""")
 def bench_hub_marts(wh):
     """Mart layer: one join.  Pre-aggregating the fact by organisation first
     shrinks the join input to one row per organisation."""
@@ -250,8 +264,8 @@ def bench_hub_marts(wh):
 
 
 @register("bench_hub_dashboard", f"""
-select hub_name, cast(sum(family_count) as bigint) indicator_responses
-from mart_indicators group by hub_name order by indicator_responses desc, hub_name limit {TOP_K}""")
+select hub_name, sum(family_count)::bigint indicator_responses
+from mart_indicators group by all order by 2 desc, 1 limit {TOP_K}""")
 def bench_hub_dashboard(wh):
     """Dashboard layer: no join."""
     agg = (wh.m("mart_indicators").groupBy("hub_name")
@@ -279,14 +293,21 @@ def mart_indicators_wide(wh: Warehouse) -> DataFrame:
     sn, sc = F.col("snapshot_number"), F.col("current_score")
     latest = F.max(F.when(sn > 1, F.struct(sn.alias("n"), sc.alias("s"))))
     agg = fi.groupBy("family_id", "survey_indicator_id", "survey_definition_id").agg(
-        F.max("organization_id").alias("organization_id"),
+        F.max("organization_id").alias("organization_id"), F.max("project_id").alias("project_id"),
         F.max(F.when(sn == 1, sc)).alias("baseline_value"),
         F.max(F.when(sn == 2, sc)).alias("first_followup_value"),
         latest.getField("s").alias("latest_followup_value"),
         (F.max(sn) > 1).alias("has_followup_data"))
+    # names come from small dimensions: scoping and drop-downs run on this table
     diq = wh.m("dim_indicator_questions").select("survey_indicator_id", "indicator_name", "dimension_name")
-    return agg.join(diq, "survey_indicator_id", "left").select(
-        "family_id", "survey_indicator_id", "survey_definition_id", "organization_id",
+    org = wh.m("dim_organization").select("organization_id", "application_id", "application_name", "organization_name")
+    form = wh.m("dim_survey_definition").select("survey_definition_id", "survey_title")
+    project = wh.m("stg_projects").select("project_id", "project_name")
+    named = (agg.join(diq, "survey_indicator_id", "left").join(org, "organization_id", "left")
+             .join(form, "survey_definition_id", "left").join(project, "project_id", "left"))
+    return named.select(
+        "family_id", "survey_indicator_id", "survey_definition_id", "organization_id", "application_id",
+        "application_name", "organization_name", "project_name", "survey_title",
         "indicator_name", "dimension_name", "baseline_value",
         score_label("baseline_value", "N/A").alias("baseline_label"), "first_followup_value",
         score_label("first_followup_value", "N/A").alias("first_followup_label"),
@@ -301,29 +322,31 @@ def _label_sql(c: str) -> str:
 
 
 WIDE_SQL = f"""
-with w0 as (
+with line as (
   select family_id, survey_indicator_id, survey_definition_id, max(organization_id) organization_id,
-         max(case when snapshot_number = 1 then current_score end) baseline_value,
-         max(case when snapshot_number = 2 then current_score end) first_followup_value,
-         max(case when snapshot_number > 1 then snapshot_number end) latest_n,
-         max(snapshot_number) > 1 has_followup_data
-  from fact_indicators group by family_id, survey_indicator_id, survey_definition_id),
-w1 as (
-  select w0.*, (select max(fi.current_score) from fact_indicators fi
-                where fi.family_id = w0.family_id and fi.survey_indicator_id = w0.survey_indicator_id
-                  and fi.snapshot_number = w0.latest_n) latest_followup_value
-  from w0),
+         max(project_id) project_id, max(snapshot_number) newest,
+         max(current_score) filter (snapshot_number = 1) baseline_value,
+         max(current_score) filter (snapshot_number = 2) first_followup_value
+  from fact_indicators group by all),
+newest_answer as (
+  select family_id, survey_indicator_id, survey_definition_id, snapshot_number newest, max(current_score) latest_followup_value
+  from fact_indicators where snapshot_number > 1 group by all),
 mart_indicators_wide as (
-  select w1.family_id, w1.survey_indicator_id, w1.survey_definition_id, w1.organization_id,
-         i.indicator_name, i.dimension_name, baseline_value, {_label_sql('baseline_value')} baseline_label,
+  select family_id, survey_indicator_id, survey_definition_id, organization_id, application_id, application_name,
+         organization_name, project_name, survey_title, indicator_name, dimension_name,
+         baseline_value, {_label_sql('baseline_value')} baseline_label,
          first_followup_value, {_label_sql('first_followup_value')} first_followup_label,
          latest_followup_value, {_label_sql('latest_followup_value')} latest_followup_label,
-         has_followup_data
-  from w1 left join dim_indicator_questions i on w1.survey_indicator_id = i.survey_indicator_id)
+         newest > 1 has_followup_data
+  from line
+  left join newest_answer using (family_id, survey_indicator_id, survey_definition_id, newest)
+  left join (select survey_indicator_id, indicator_name, dimension_name from dim_indicator_questions) using (survey_indicator_id)
+  left join (select organization_id, application_id, application_name, organization_name from dim_organization) using (organization_id)
+  left join (select survey_definition_id, survey_title from dim_survey_definition) using (survey_definition_id)
+  left join (select project_id, project_name from stg_projects) using (project_id))
 """
 
 
-
 def wide(wh: Warehouse) -> DataFrame:
     """The wide mart as a Warehouse model (built once, storable)."""
     if not wh.has("mart_indicators_wide"):
@@ -404,7 +427,7 @@ def distinct_dropdown(wh):
 
 # -- business questions --------------------------------------------------------
 def _current(wh):
-    return responses(wh).filter(F.col("is_last"))
+    return wh.m("fact_indicators").filter(F.col("is_last"))
 
 
 @register("bq01_overall_status", _sql("""
@@ -422,10 +445,8 @@ def bq01(wh):
 
 
 def _red_yellow_by(wh, key):
-    s = F.col("current_score")
-    return _current(wh).groupBy(key).agg(
-        F.sum(F.when(s == 1, 1).otherwise(0)).cast("long").alias("red"),
-        F.sum(F.when(s == 2, 1).otherwise(0)).cast("long").alias("yellow"))
+    per = with_indicator(wh, status_counts(_current(wh), "survey_indicator_id"), key)
+    return per.groupBy(key).agg(F.sum("_red").cast("long").alias("red"), F.sum("_yellow").cast("long").alias("yellow"))
 
 
 def _red_yellow_sql(key):
@@ -444,27 +465,31 @@ def bq02(wh):
 @register("bq03_dimension_distribution", _sql(f"""
 select dimension_name, {status_sql()} from responses where is_last group by all"""))
 def bq03(wh):
-    return _current(wh).groupBy("dimension_name").agg(*status_aggs())
+    per = with_indicator(wh, status_counts(_current(wh), "survey_indicator_id"), "dimension_name")
+    return per.groupBy("dimension_name").agg(*status_sums())
 
 
-@register("bq04_critical_indicators", _red_yellow_sql("indicator_name")
-          + f" order by red desc, yellow desc, indicator_name limit {TOP_INDICATORS}")
-def bq04(wh):
-    return top_k(_red_yellow_by(wh, "indicator_name"), TOP_INDICATORS,
-                 [F.col("red").desc(), F.col("yellow").desc(), F.col("indicator_name").asc_nulls_last()])
+@register("bq04_critical_indicators", _red_yellow_sql("indicator_name"))
+def bq04(wh, limit: int | None = None):
+    """All indicators, most critical first; a limit only on request."""
+    out = _red_yellow_by(wh, "indicator_name")
+    order = [F.col("red").desc(), F.col("yellow").desc(), F.col("indicator_name").asc_nulls_last()]
+    return top_k(out, limit, order) if limit else out.orderBy(*order)
 
 
-@register("bq05_vulnerable_indicators", _red_yellow_sql("indicator_name")
-          + f" order by yellow desc, red desc, indicator_name limit {TOP_INDICATORS}")
-def bq05(wh):
-    return top_k(_red_yellow_by(wh, "indicator_name"), TOP_INDICATORS,
-                 [F.col("yellow").desc(), F.col("red").desc(), F.col("indicator_name").asc_nulls_last()])
+@register("bq05_vulnerable_indicators", _red_yellow_sql("indicator_name"))
+def bq05(wh, limit: int | None = None):
+    """All indicators, most vulnerable first; a limit only on request."""
+    out = _red_yellow_by(wh, "indicator_name")
+    order = [F.col("yellow").desc(), F.col("red").desc(), F.col("indicator_name").asc_nulls_last()]
+    return top_k(out, limit, order) if limit else out.orderBy(*order)
 
 
 @register("bq06_indicator_distribution", _sql(f"""
 select indicator_name, {status_sql()} from responses where is_last group by all"""))
 def bq06(wh):
-    return _current(wh).groupBy("indicator_name").agg(*status_aggs())
+    per = with_indicator(wh, status_counts(_current(wh), "survey_indicator_id"), "indicator_name")
+    return per.groupBy("indicator_name").agg(*status_sums())
 
 
 @register("bq07_sorted_indicators", _red_yellow_sql("indicator_name"))
@@ -487,13 +512,17 @@ def bq08(wh):
 @register("bq09_status_by_area", _sql(f"""
 select country_name, {status_sql()} from responses where is_last group by all"""))
 def bq09(wh):
-    return _current(wh).groupBy("country_name").agg(*status_aggs())
+    per = with_family(wh, status_counts(_current(wh), "family_id"), "country_name")
+    return per.groupBy("country_name").agg(*status_sums())
 
 
 @register("bq10_indicator_by_area", _sql(f"""
 select indicator_name, country_name, {status_sql()} from responses where is_last group by all"""))
 def bq10(wh):
-    return _current(wh).groupBy("indicator_name", "country_name").agg(*status_aggs())
+    by_place = with_family(wh, status_counts(_current(wh), "family_id", "survey_indicator_id"), "country_name")
+    per = by_place.groupBy("survey_indicator_id", "country_name").agg(
+        *[F.sum(f"_{k}").alias(f"_{k}") for k in [*SCORE, "total"]])
+    return with_indicator(wh, per, "indicator_name").groupBy("indicator_name", "country_name").agg(*status_sums())
 
 
 @register("bq11_critical_areas", _sql("""
@@ -501,10 +530,9 @@ select country_name, cast(sum(case when current_score = 1 then 1 else 0 end) as
        count(*) responses
 from responses where is_last group by all"""))
 def bq11(wh):
-    s = F.col("current_score")
-    red = F.sum(F.when(s == 1, 1).otherwise(0))
-    return (_current(wh).groupBy("country_name")
-            .agg(ratio(red, F.count(F.lit(1))).alias("red_share"), F.count(F.lit(1)).alias("responses"))
+    per = with_family(wh, status_counts(_current(wh), "family_id"), "country_name")
+    total = F.sum("_total").cast("long")
+    return (per.groupBy("country_name").agg(ratio(F.sum("_red"), total).alias("red_share"), total.alias("responses"))
             .orderBy(F.col("red_share").desc(), F.col("country_name").asc_nulls_last()))
 
 
@@ -514,7 +542,7 @@ select case when snapshot_number = 1 then 'Baseline' else 'Follow-up' end stage,
             when 3 then 'Green' else 'Unknown' end current_label, count(*) responses
 from responses group by all"""))
 def bq12(wh):
-    return responses(wh).groupBy(survey_type().alias("stage"), current_label().alias("current_label")) \
+    return wh.m("fact_indicators").groupBy(survey_type().alias("stage"), current_label().alias("current_label")) \
         .agg(F.count(F.lit(1)).alias("responses"))
 
 
@@ -522,12 +550,12 @@ def _stage_shares(wh, colour: int, out: str):
     """Per indicator: share of ``colour`` at follow-up minus at baseline, in
     percentage points."""
     s, sn = F.col("current_score"), F.col("snapshot_number")
-    base_hit = F.sum(F.when((sn == 1) & (s == colour), 1).otherwise(0))
-    base_n = F.sum(F.when(sn == 1, 1).otherwise(0))
-    fu_hit = F.sum(F.when((sn > 1) & (s == colour), 1).otherwise(0))
-    fu_n = F.sum(F.when(sn > 1, 1).otherwise(0))
-    g = responses(wh).groupBy("indicator_name").agg(
-        ratio(base_hit, base_n).alias("baseline_share"), ratio(fu_hit, fu_n).alias("followup_share"))
+    one = lambda c: F.sum(F.when(c, 1).otherwise(0))
+    per = wh.m("fact_indicators").groupBy("survey_indicator_id").agg(
+        one((sn == 1) & (s == colour)).alias("bh"), one(sn == 1).alias("bn"),
+        one((sn > 1) & (s == colour)).alias("fh"), one(sn > 1).alias("fn"))
+    g = with_indicator(wh, per, "indicator_name").groupBy("indicator_name").agg(
+        ratio(F.sum("bh"), F.sum("bn")).alias("baseline_share"), ratio(F.sum("fh"), F.sum("fn")).alias("followup_share"))
     return g.select("indicator_name", "baseline_share", "followup_share",
                     ((F.col("followup_share") - F.col("baseline_share")) * 100).alias(out)) \
             .orderBy(F.col(out).desc_nulls_last(), F.col("indicator_name").asc_nulls_last())
@@ -558,7 +586,7 @@ def bq14(wh):
 select snapshot_number, count(distinct family_id) families, {status_sql()}
 from responses group by all"""))
 def bq15(wh):
-    return responses(wh).groupBy("snapshot_number").agg(
+    return wh.m("fact_indicators").groupBy("snapshot_number").agg(
         F.countDistinct("family_id").alias("families"), *status_aggs())
 
 
@@ -593,7 +621,7 @@ def bq18(wh):
 @register("bq19_status_date_range", _sql(f"""
 select {status_sql()} from responses where date_key between {DATE_FROM} and {DATE_TO}"""))
 def bq19(wh):
-    return responses(wh).filter(F.col("date_key").between(DATE_FROM, DATE_TO)).agg(*status_aggs())
+    return wh.m("fact_indicators").filter(F.col("date_key").between(DATE_FROM, DATE_TO)).agg(*status_aggs())
 
 
 @register("bq20_cohort_compare", f"""
@@ -632,7 +660,7 @@ from family_snapshot_metrics
 window w as (partition by family_id, survey_definition_id order by snapshot_number, snapshot_id)""")
 def pct_point_change(wh):
     m = family_snapshot_metrics(wh)
-    seq = sequence(m, ["family_id", "survey_definition_id"],
+    seq = window_sequence(m, ["family_id", "survey_definition_id"],
                    [F.col("snapshot_number").asc_nulls_last(), F.col("snapshot_id").asc_nulls_last()],
                    lag={f"_prev_{k}": f"pct_{k}" for k in SCORE})
     return seq.select("family_id", "survey_definition_id", "snapshot_number", *[
@@ -678,11 +706,13 @@ select cast(latitude as double) latitude, cast(longitude as double) longitude,
        count(distinct family_id) families, count(distinct snapshot_id) surveys, {status_sql()}
 from responses where latitude is not null and longitude is not null group by all"""))
 def geo_metrics(wh):
-    r = responses(wh).filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-    return r.groupBy(F.col("latitude").cast("double").alias("latitude"),
-                     F.col("longitude").cast("double").alias("longitude")).agg(
-        F.countDistinct("family_id").alias("families"), F.countDistinct("snapshot_id").alias("surveys"),
-        *status_aggs())
+    # one row a snapshot, then one a family, meet the family's place
+    per = status_counts(wh.m("fact_indicators"), "family_id", "snapshot_id").groupBy("family_id").agg(
+        F.count(F.lit(1)).alias("_surveys"), *[F.sum(f"_{k}").alias(f"_{k}") for k in [*SCORE, "total"]])
+    place = wh.m("dim_family").where("latitude is not null and longitude is not null").select(
+        "family_id", F.col("latitude").cast("double").alias("latitude"), F.col("longitude").cast("double").alias("longitude"))
+    return per.join(place, "family_id").groupBy("latitude", "longitude").agg(
+        F.count(F.lit(1)).alias("families"), F.sum("_surveys").alias("surveys"), *status_sums())
 
 
 @register("completion_cohorts", f"""
@@ -698,12 +728,13 @@ select case when surveys = 1 then 'Baseline Only'
 from per_family group by all""")
 def completion_cohorts(wh, recent_days: int = RECENT_DAYS):
     fs = wh.m("fact_snapshots")
-    # the as-of date is one scalar aggregate (a single row to the driver)
-    as_of = fs.agg(F.max("snapshot_date")).first()[0]
     per = fs.groupBy("family_id").agg(
         F.count(F.lit(1)).alias("surveys"),
         F.max(F.when(F.col("snapshot_number") > 1, F.col("snapshot_date"))).alias("last_followup"))
-    recent = F.col("last_followup") >= (F.lit(as_of) - F.expr(f"INTERVAL {recent_days} DAYS"))
+    # the as-of date is one row, joined on a constant as a broadcast of that row
+    as_of = fs.agg(F.max("snapshot_date").alias("as_of")).withColumn("_one", F.lit(1))
+    per = per.withColumn("_one", F.lit(1)).join(F.broadcast(as_of), "_one")
+    recent = F.col("last_followup") >= (F.col("as_of") - F.expr(f"INTERVAL {recent_days} DAYS"))
     cohort = (F.when(F.col("surveys") == 1, "Baseline Only")
               .when(recent, "Active in Follow-up").otherwise("Has Follow-up"))
     return per.groupBy(cohort.alias("cohort")).agg(F.count(F.lit(1)).alias("families"))
@@ -717,7 +748,7 @@ from stg_family_members""")
 def doc_family_birth_country(wh):
     """Documented variant: the family's first member's birth country."""
     m = wh.m("stg_family_members")
-    seq = sequence(m, ["family_id"], [F.col("family_member_created_at").asc_nulls_last(),
+    seq = window_sequence(m, ["family_id"], [F.col("family_member_created_at").asc_nulls_last(),
                                       F.col("family_member_id").asc_nulls_last()],
                    first={"first_birth_country": "birth_country"})
     return seq.select("family_id", "first_birth_country", "family_member_id")

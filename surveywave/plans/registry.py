@@ -47,7 +47,7 @@ for _m in ["stg_applications", "stg_organizations", "stg_projects", "stg_countri
            "stg_survey_definitions", "stg_survey_stoplight", "stg_survey_stoplight_indicator",
            "stg_survey_stoplight_dimension", "stg_survey_stoplight_color", "stg_translations",
            "stg_survey_economic", "stg_snapshot_economic",
-           "dim_date", "dim_organization", "dim_family", "dim_survey_definition",
+           "dim_organization", "dim_family", "dim_survey_definition",
            "dim_economic_questions", "color_criteria_pivot", "indicator_templates_translated",
            "dim_indicator_questions", "fact_snapshots", "fact_indicators", "mart_indicators",
            "mart_surveys", "flow_aggregate"]:
@@ -87,8 +87,8 @@ for _key, _col in [("win_baseline_score", "baseline_score"), ("win_previous_scor
 def _resolve(wh):
     from surveywave.plans.facts import resolve_indicator
     snaps = wh.m("fact_snapshots").select("snapshot_id", "survey_definition_id")
-    return resolve_indicator(wh.m("stg_snapshot_stoplight"), snaps, wh.m("stg_survey_stoplight"),
-                             wh.small).select("snapshot_stoplight_id", "snapshot_id", "survey_indicator_id")
+    return resolve_indicator(wh.m("stg_snapshot_stoplight"), snaps, wh.m("stg_survey_stoplight")).select(
+        "snapshot_stoplight_id", "snapshot_id", "survey_indicator_id")
 
 
 @register("fact_existence_filter", """
@@ -180,8 +180,7 @@ from mart_indicators m join scope s on m.application_id = s.application_id
 group by all""")
 def _scoped(wh):
     scope = semantic.scope_table(wh.m("stg_applications"))
-    return semantic.metric_query(semantic.scoped(wh.m("mart_indicators"), scope), "Indicators",
-                                 ["count", "pct_green"], ["user_name"])
+    return semantic.scoped_metrics(wh.m("mart_indicators"), scope, ["count", "pct_green"])
 
 
 # -- charts, benchmarks, business questions, quality, economic ---------------
@@ -191,15 +190,18 @@ from surveywave.plans import economic, questions, quality  # noqa: E402,F401
 # -- incremental refresh and late-arriving parents ------------------------------
 from surveywave.streaming import incremental, late_parents  # noqa: E402
 
-# Fixed parameter: surveys from 2001 on arrive as the new batch.
-REFRESH_CUTOFF_EPOCH = 978307200   # 2001-01-01T00:00:00Z
+# Fixed parameters: surveys from 2000 on arrive as the new batch, with the late
+# responses of the two years before.
+REFRESH_CUTOFF_EPOCH = 946684800   # 2000-01-01T00:00:00Z
+REFRESH_LATE_EPOCH = 883612800     # 1998-01-01T00:00:00Z
 
 
 @register("incremental_refresh", "select * from fact_indicators")
 def _incremental_refresh(wh):
-    """Previous facts (before the cutoff) + the later batch, refreshed for the
-    affected families only; must equal the full rebuild (the oracle)."""
-    return incremental.demo_refresh(wh, REFRESH_CUTOFF_EPOCH)
+    """Facts as they were + a batch of new snapshots, late responses and moved
+    or newly told families, refreshed for the affected families only; must
+    equal the full rebuild (the oracle)."""
+    return incremental.demo_refresh(wh, REFRESH_CUTOFF_EPOCH, REFRESH_LATE_EPOCH)
 
 
 @register("late_parent_resolution", """

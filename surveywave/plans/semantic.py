@@ -187,3 +187,21 @@ def scoped(df: DataFrame, scope: DataFrame, user: str | None = None) -> DataFram
     """Rows a user may see: a join on application_id with the (small) scope."""
     s = scope if user is None else scope.filter(F.col("user_name") == user)
     return df.join(s, "application_id", "inner")
+
+
+# What the metrics of the Indicators table are computed from.
+_INDICATOR_PARTS = ["baseline_label", "previous_label", "current_label", "is_priority", "has_achievement", "was_priority_in_previous"]
+
+
+def scoped_metrics(mart_indicators: DataFrame, scope: DataFrame, metrics: Sequence[str],
+                   group_by: Sequence[str] = ("user_name",)) -> DataFrame:
+    """Indicator metrics for every user over what that user may see.
+
+    The table is summed up to one row for each hub and combination of labels and
+    flags (and other group columns) before it meets the users: what is repeated
+    for each user is a few hundred rows a hub, not the table."""
+    own = [g for g in group_by if g not in scope.columns]
+    keys = dict.fromkeys(["application_id", *_INDICATOR_PARTS, *own])
+    small = mart_indicators.groupBy(*keys).agg(
+        F.sum("family_count").cast("long").alias("family_count"), F.sum("net_change_numeric").alias("net_change_numeric"))
+    return metric_query(scoped(small, scope), "Indicators", metrics, group_by)

@@ -186,6 +186,7 @@ def stg_snapshot_economic(src: DataFrame) -> DataFrame:
         norm_key("code_name").alias("code_name"),
         F.coalesce(F.when(t == "string", "text").otherwise(t), F.lit("text")).alias("answer_type"),
         F.col("value").alias("answer_value"), F.col("multiple_value").alias("answer_multiple_value"),
+        F.col("other_text").alias("answer_other_text"),
         F.col("created_date").alias("snapshot_economic_created_at"),
         F.col("last_modified_date").alias("snapshot_economic_updated_at"))
 

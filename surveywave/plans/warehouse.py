@@ -1,17 +1,18 @@
 """Model registry: each model is built once per Warehouse as a lazy DataFrame.
 
-``Warehouse(spark, source)`` wires staging → dimensions → facts → marts the
-way the model DAG does; ``materialize`` writes the mart layer (SNK-02/03/04)
+``Warehouse(spark, source)`` wires staging → dimensions → facts → marts as the
+model graph does; ``materialize`` writes the mart layer (SNK-02/03/04)
 so dashboards and metric queries read stored Parquet instead of rebuilding.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
-from surveywave.operators.relational import BroadcastPolicy
 from surveywave.session import checkpoint_dir
 from surveywave.plans import dims, facts, marts
 from surveywave.plans.staging import STAGING
@@ -26,11 +27,17 @@ CORE_MODELS = ["dim_date", "dim_organization", "dim_family", "dim_survey_definit
                "dim_economic_questions", "dim_indicator_questions", "fact_snapshots",
                "fact_indicators"]
 DASHBOARD_MODELS = ["mart_indicators", "mart_surveys"]
-# Selective columns of the dashboard tables (their index columns in the
-# source system); sorting on them makes Parquet min/max statistics prune.
+# Layout of the stored tables: partition columns (few values, filtered on) and
+# the columns that files are sorted by, so Parquet min/max statistics skip row
+# groups.  They are the index columns of the source system's tables.
+PARTITION_COLUMNS = {"mart_indicators": ["is_last"], "mart_surveys": ["is_last"], "mart_indicators_wide": ["dimension_name"]}
 CLUSTER_COLUMNS = {
-    "mart_indicators": ["hub_name", "organization_name", "indicator_name", "snapshot_number"],
-    "mart_surveys": ["application_id", "organization_name", "snapshot_date"],
+    "mart_indicators": ["application_id", "dimension_name", "indicator_name", "current_label", "baseline_label", "hub_name",
+                        "organization_name", "project_name", "snapshot_number"],
+    "mart_surveys": ["application_id", "country_name", "organization_name", "snapshot_date"],
+    "mart_indicators_wide": ["has_followup_data", "application_id", "indicator_name", "baseline_label", "latest_followup_label"],
+    "fact_snapshots": ["organization_id", "survey_definition_id", "snapshot_date"],
+    "fact_indicators": ["survey_indicator_id", "organization_id", "snapshot_number"],
 }
 
 
@@ -51,46 +58,43 @@ def output_name(model: str) -> str:
 
 class Warehouse:
     def __init__(self, spark: SparkSession, source, *, epoch_unit: str = "s",
-                 broadcast_rows: int = 2_000_000, broadcast_mode: str = "planner",
                  pg_padding: bool = False, stage_facts: bool = True):
         self.spark = spark
         self.source = source
         self.epoch_unit = epoch_unit
         self.pg_padding = pg_padding
-        self.policy = BroadcastPolicy(broadcast_rows, broadcast_mode)
         self.stage_facts = stage_facts
         self._materializing = False
-        if stage_facts:
-            checkpoint_dir(spark)
+        checkpoint_dir(spark)
+        self._pinned: set[str] = set()
         self._models: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "dim_date": lambda: dims.dim_date(self.spark, pg_padding=self.pg_padding),
             "dim_organization": lambda: dims.dim_organization(
-                self.m("stg_organizations"), self.m("stg_applications"), self.m("stg_countries"), self.small),
-            "dim_family": lambda: dims.dim_family(self.m("stg_families"), self.m("stg_countries"), self.small),
+                self.m("stg_organizations"), self.m("stg_applications"), self.m("stg_countries")),
+            "dim_family": lambda: dims.dim_family(self.m("stg_families"), self.m("stg_countries")),
             "dim_survey_definition": lambda: dims.dim_survey_definition(
-                self.m("stg_survey_definitions"), self.m("stg_countries"), self.small),
+                self.m("stg_survey_definitions"), self.m("stg_countries")),
             "dim_economic_questions": lambda: dims.dim_economic_questions(
-                self.m("stg_survey_economic"), self.m("stg_survey_definitions"), self.small),
+                self.m("stg_survey_economic"), self.m("stg_survey_definitions")),
             "color_criteria_pivot": lambda: dims.color_criteria_pivot(self.m("stg_survey_stoplight_color")),
             "indicator_templates_translated": lambda: dims.indicator_templates_translated(
-                self.m("stg_survey_stoplight_indicator"), self.m("stg_translations"), self.small),
+                self.m("stg_survey_stoplight_indicator"), self.m("stg_translations")),
             "dim_indicator_questions": lambda: dims.dim_indicator_questions(
                 self.m("stg_survey_stoplight"), self.m("stg_survey_stoplight_indicator"),
                 self.m("stg_survey_stoplight_color"), self.m("stg_survey_stoplight_dimension"),
-                self.m("stg_translations"), self.small),
+                self.m("stg_translations")),
             "fact_snapshots": lambda: self.stage_output(facts.fact_snapshots(self.m("stg_snapshots"))),
             "fact_indicators": lambda: self.stage_output(facts.fact_indicators(
                 self.m("fact_snapshots"), self.m("stg_snapshot_stoplight"), self.m("stg_survey_stoplight"),
                 self.m("dim_family"), self.m("dim_organization"), self.m("dim_survey_definition"),
-                self.m("stg_snapshot_stoplight_priority"), self.m("stg_snapshot_stoplight_achievement"),
-                self.small, self.stage)),
+                self.m("stg_snapshot_stoplight_priority"), self.m("stg_snapshot_stoplight_achievement"))),
             "mart_indicators": lambda: marts.mart_indicators(
                 self.m("fact_indicators"), self.m("dim_organization"), self.m("dim_indicator_questions"),
-                self.m("dim_survey_definition"), self.m("stg_projects"), self.small),
+                self.m("dim_survey_definition"), self.m("stg_projects")),
             "mart_surveys": lambda: marts.mart_surveys(
                 self.m("fact_snapshots"), self.m("dim_family"), self.m("dim_organization"),
-                self.m("dim_survey_definition"), self.m("stg_projects"), self.small),
+                self.m("dim_survey_definition"), self.m("stg_projects")),
         }
 
     # -- registry ---------------------------------------------------------
@@ -101,8 +105,9 @@ class Warehouse:
         return name in self._builders or name in self._models
 
     def use(self, name: str, df: DataFrame) -> None:
-        """Pin a model to a given DataFrame (e.g. a stored table)."""
+        """Pin a model to a given DataFrame; ``materialize`` keeps the pin."""
         self._models[name] = df
+        self._pinned.add(name)
 
     def raw(self, name: str) -> DataFrame:
         return self.source.table(name)
@@ -121,9 +126,6 @@ class Warehouse:
 
     model = m
 
-    def small(self, name: str, df: DataFrame) -> DataFrame:
-        return self.policy.bounded(name, df)
-
     def stage(self, df: DataFrame) -> DataFrame:
         """Cut lineage at a fact boundary: a reliable checkpoint into the shared
         ``spark.checkpoint.dir`` (survives executor loss, unlike a local
@@ -138,40 +140,57 @@ class Warehouse:
     # -- sinks ------------------------------------------------------------
     def materialize(self, out_root: str, models=None, target: str = "dev",
                     default_schema: str = "analytics") -> dict[str, str]:
-        """Write marts as Parquet (drop and recreate) and pin them, so later
-        models and queries read the stored tables.  Dashboard tables are
-        clustered on their selective columns so Parquet min/max statistics
-        prune row groups (the index columns of the source system)."""
-        written = {}
+        """Drop and recreate the marts as Parquet under ``out_root``.
+
+        Every call rebuilds from the raw tables (or from models pinned with
+        ``use``), never from what an earlier call stored.  A table is written
+        beside the old one and takes its place when it is whole.  Later models
+        and queries of this Warehouse read the stored tables."""
+        self._models = {k: v for k, v in self._models.items() if k in self._pinned}
+        written: dict[str, str] = {}
         self._materializing = True
         try:
-            self._write_models(out_root, models or CORE_MODELS + DASHBOARD_MODELS, target,
-                               default_schema, written)
+            for name in models or CORE_MODELS + DASHBOARD_MODELS:
+                layer = "dashboards" if name in DASHBOARD_MODELS else "core"
+                out_schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
+                written[name] = f"{out_root.rstrip('/')}/{out_schema}/{output_name(name)}"
+                self._models[name] = self._store(name, written[name])
         finally:
             self._materializing = False
         return written
 
-    def _write_models(self, out_root, models, target, default_schema, written) -> None:
-        for name in models:
-            layer = "dashboards" if name in DASHBOARD_MODELS else "core"
-            out_schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
-            path = f"{out_root.rstrip('/')}/{out_schema}/{output_name(name)}"
-            df = self.m(name)
-            columns, schema = df.columns, df.schema
-            cluster = CLUSTER_COLUMNS.get(name)
-            if cluster:
-                # no repartition: every task writes its own sorted files, so the
-                # write stays parallel however few is_last values there are
-                df.sortWithinPartitions("is_last", *cluster).write.mode("overwrite") \
-                  .partitionBy("is_last").parquet(path)
-            else:
-                df.write.mode("overwrite").parquet(path)
-            # read back with the declared schema (partition values are typed too)
-            self._models[name] = self.spark.read.schema(schema).parquet(path).select(*columns)
-            written[name] = path
-
-
-_WAREHOUSES: dict[tuple, Warehouse] = {}
+    def _store(self, name: str, path: str) -> DataFrame:
+        df = self.m(name)
+        by, cluster = PARTITION_COLUMNS.get(name, []), CLUSTER_COLUMNS.get(name)
+        columns, schema = df.columns, df.schema
+        fresh = f"{path}__{uuid.uuid4().hex}"
+        if cluster:
+            # no shuffle: every task writes sorted files of its own, however few
+            # values the partition columns have
+            df = df.sortWithinPartitions(*by, *cluster)
+        writer = df.write.partitionBy(*by) if by else df.write
+        writer.parquet(fresh)
+        replace_folder(self.spark, fresh, path)
+        # read with the declared schema (partition values are typed too)
+        return self.spark.read.schema(schema).parquet(path).select(*columns)
+
+
+def replace_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``; the old one goes last."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    old = jvm.Path(f"{path}__old_{uuid.uuid4().hex}")
+    fs = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    there = fs.exists(jvm.Path(path))
+    if there and not fs.rename(jvm.Path(path), old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(jvm.Path(fresh), jvm.Path(path)):
+        raise OSError(f"cannot move {fresh} to {path}")
+    if there:
+        fs.delete(old, True)
+
+
+# Sessions as weak keys: a new session never meets frames of one that is gone.
+_WAREHOUSES: WeakKeyDictionary[SparkSession, dict[tuple, Warehouse]] = WeakKeyDictionary()
 
 
 def warehouse_for(spark: SparkSession, root: str, **kwargs) -> Warehouse:
@@ -179,7 +198,8 @@ def warehouse_for(spark: SparkSession, root: str, **kwargs) -> Warehouse:
     reused by every query of that session."""
     from surveywave.sources import open_source
 
-    key = (id(spark), root.rstrip("/"), tuple(sorted(kwargs.items())))
-    if key not in _WAREHOUSES:
-        _WAREHOUSES[key] = Warehouse(spark, open_source(spark, root), **kwargs)
-    return _WAREHOUSES[key]
+    known = _WAREHOUSES.setdefault(spark, {})
+    key = (root.rstrip("/"), tuple(sorted(kwargs.items())))
+    if key not in known or known[key].spark.sparkContext._jsc is None:
+        known[key] = Warehouse(spark, open_source(spark, root), **kwargs)
+    return known[key]

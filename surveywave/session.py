@@ -66,11 +66,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is read from the session.  Only when it is unset (local tests) a scratch
-    folder is created.
+    and is read from the session.  Only a local master may go without it (tests):
+    a scratch folder is made then.  Anywhere else a machine-local folder would
+    lose data, so it is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="surveywave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

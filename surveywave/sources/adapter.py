@@ -58,7 +58,8 @@ def _brand_no(brand: Column) -> Column:
 
 
 def _survey_no(priority: Column) -> Column:
-    return F.substring(priority, 1, 1).cast("long")
+    """The whole number in front of the order priority."""
+    return F.regexp_extract(priority, r"^[0-9]+", 0).try_cast("long")
 
 
 def _epoch(ts_ntz: Column) -> Column:
@@ -193,13 +194,15 @@ class DriverAdapter:
             F.concat("p_brand", F.lit(".description")).alias("met_description"),
             (b % 7).cast("long").alias("survey_dimension_id")).distinct())
 
+    def _each(self, rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        """rows with every one of the few ids: the ids as one array, exploded."""
+        held = ids.agg(F.collect_set(name).alias("_ids")).withColumn("_one", F.lit(1))
+        return (rows.withColumn("_one", F.lit(1)).join(F.broadcast(held), "_one")
+                .withColumn(name, F.explode("_ids")).drop("_ids", "_one"))
+
     def _survey_indicator_pairs(self) -> DataFrame:
-        """Survey × template pairs.  A survey code is the first digit of the
-        order priority, so the candidate surveys are the ten digits, kept only
-        where the survey exists (semi join): no cartesian product of tables."""
-        pairs = (self._brand_ids()
-                 .select("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(9).cast("long"))).alias("sd"))
-                 .join(self._survey_ids(), "sd", "left_semi"))
+        """Every template in every survey that exists, but for the left-out ones."""
+        pairs = self._each(self._brand_ids(), self._survey_ids(), "sd").select("b", "sd")
         return pairs.filter((F.col("b") % 12) != F.col("sd"))
 
     def _survey_stoplight(self) -> DataFrame:
@@ -221,10 +224,7 @@ class DriverAdapter:
     def _survey_stoplight_color(self) -> DataFrame:
         b, sd, k = F.col("b"), F.col("sd"), F.col("k")
         levels = self.driver("region").select(F.col("r_regionkey").cast("long").alias("k"))
-        # colour levels are the region keys (0..4): expand per pair, keep existing ones
-        rows = (self._survey_indicator_pairs()
-                .select("b", "sd", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("k"))
-                .join(levels, "k", "left_semi")
+        rows = (self._each(self._survey_indicator_pairs(), levels, "k").select("b", "sd", "k")
                 .filter(~((b == 6) & (k == 2))))
         return rows.select(
             ((sd * 100 + b) * 10 + k).alias("id"), (sd * 100 + b).alias("survey_stoplight_id"),
@@ -320,10 +320,7 @@ class DriverAdapter:
         q, sd = F.col("q"), F.col("sd")
         questions = self.driver("region").filter(F.col("r_regionkey") < 4).select(
             F.col("r_regionkey").cast("long").alias("q"))
-        rows = (self._survey_ids()
-                .select("sd", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("q"))
-                .join(questions, "q", "left_semi")
-                .filter(sd * 10 + q != 52))
+        rows = self._each(self._survey_ids(), questions, "q").select("sd", "q").filter(sd * 10 + q != 52)
         return rows.select(
             (sd * 10 + q).alias("id"), sd.alias("survey_definition_id"),
             _case(q, {i: c for i, (c, _) in enumerate(ECON_QUESTIONS)}).alias("code_name"),
@@ -344,9 +341,10 @@ class DriverAdapter:
         housing = o.filter(k % 5 == 0).select(
             (k * 10 + 2).alias("id"), k.alias("snapshot_id"), F.lit("housingSituation").alias("code_name"),
             F.lit("checkbox").alias("answer_type"),
-            F.concat("o_orderstatus", F.lit("|"), "o_orderpriority").alias("value"))
+            F.concat("o_orderstatus", F.lit("|"), "o_orderpriority").alias("value"),
+            F.when(k % 10 == 0, F.concat(F.lit("other "), "o_orderstatus")).alias("other_text"))
         visit = o.filter(k % 7 == 0).select(
             (k * 10 + 3).alias("id"), k.alias("snapshot_id"), F.lit("visitDate").alias("code_name"),
             F.lit("date").alias("answer_type"),
             (_epoch(F.col("o_orderdate")) * 1000).cast("string").alias("value"))
-        return reduce(DataFrame.unionByName, [income, currency, housing, visit])
+        return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), [housing, income, currency, visit])

@@ -11,14 +11,18 @@ Two interchangeable sources expose ``table(name) -> DataFrame``:
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from surveywave.sources.adapter import DriverAdapter
 from surveywave.sources.schemas import RAW_SCHEMAS
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Asked of the path's own file system, so object stores and HDFS work."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 class ParquetRawSource:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -28,7 +32,7 @@ class ParquetRawSource:
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
             path = f"{self.root}/{name}"
-            if not os.path.exists(path) and os.path.exists(path + ".parquet"):
+            if not path_exists(self.spark, path) and path_exists(self.spark, path + ".parquet"):
                 path += ".parquet"
             self._cache[name] = self.spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
         return self._cache[name]
@@ -46,12 +50,12 @@ class FrameSource:
 
 def open_source(spark: SparkSession, root: str):
     """Pick the reader for a directory: driver files or a raw export."""
-    if os.path.exists(os.path.join(root, "lineitem.parquet")):
+    if path_exists(spark, f"{root.rstrip('/')}/lineitem.parquet"):
         return DriverAdapter(spark, root)
     return ParquetRawSource(spark, root)
 
 
 def write_raw(source, out_root: str, tables=None) -> None:
-    """Export raw tables as Parquet (used to stage a raw copy once)."""
+    """Export raw tables as Parquet, in the layout that ParquetRawSource reads."""
     for name in tables or RAW_SCHEMAS:
         source.table(name).write.mode("overwrite").parquet(f"{out_root.rstrip('/')}/{name}")

@@ -71,7 +71,7 @@ RAW_SCHEMAS: dict[str, T.StructType] = {
         ("created_date", TS), ("last_modified_date", TS)),
     "snapshot_economic": _struct(
         ("id", L), ("snapshot_id", L), ("code_name", S), ("answer_type", S), ("value", S),
-        ("multiple_value", S), ("created_date", TS), ("last_modified_date", TS)),
+        ("multiple_value", S), ("other_text", S), ("created_date", TS), ("last_modified_date", TS)),
 }
 
 RAW_TABLES = tuple(RAW_SCHEMAS)

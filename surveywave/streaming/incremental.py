@@ -2,19 +2,25 @@
 
 Every window of the facts is partitioned by family (is_last per family; the
 sequence per family × survey; scores per family × indicator), so a family's
-rows depend on that family's snapshots only.  Given the previous facts and a
-batch of new or changed snapshots:
+rows depend on that family's snapshots, responses, priorities and achievements
+only.  A batch may hold new or changed rows of all four tables.  Affected are
 
-    kept     = previous facts  ⋉̸ affected families      (left_anti)
-    rebuilt  = facts over all snapshots ⋉ affected      (left_semi)
+* the old and the new family of every snapshot in it,
+* the family of every response in it, now and where it was stored before,
+* the family of the response that a priority or achievement in it belongs to.
+
+    kept      = previous facts  ⋉̸ affected families      (anti join)
+    rebuilt   = facts over the raw rows of the affected families
     refreshed = kept ∪ rebuilt
 
-which equals a full rebuild.  The affected-family set is the distinct family
-keys of the batch (one shuffle of a key column; AQE broadcasts it when small).
+which equals a full rebuild.  A NULL family is a family like any other: all
+joins by family match NULL with NULL.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,36 +57,84 @@ def restrict_to_snapshots(source, snapshots: DataFrame) -> OverrideSource:
     })
 
 
-def affected_families(batch_snapshots: DataFrame) -> DataFrame:
-    return batch_snapshots.select("family_id").filter(F.col("family_id").isNotNull()).distinct()
+def _by_family(df: DataFrame, families: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join on family_id in which NULL matches NULL."""
+    f = families.select(F.col("family_id").alias("_family"))
+    return df.join(f, df["family_id"].eqNullSafe(f["_family"]), how)
+
+
+def affected_families(wh_full: Warehouse, previous: dict[str, DataFrame], batch: dict[str, DataFrame]) -> DataFrame:
+    """Distinct families (NULL included) that a batch of raw rows touches.
 
+    batch: raw table name → its new or changed rows, any of ``snapshot``,
+    ``snapshot_stoplight``, ``snapshot_stoplight_priority`` and
+    ``snapshot_stoplight_achievement``."""
+    now = wh_full.raw("snapshot").select(F.col("id").alias("snapshot_id"), "family_id")
+    before = previous["fact_snapshots"].select("snapshot_id", "family_id")
+    parts: list[DataFrame] = []
 
-def refresh(previous: DataFrame, rebuilt_for_affected: DataFrame, affected: DataFrame) -> DataFrame:
-    kept = previous.join(affected, "family_id", "left_anti")
-    return kept.unionByName(rebuilt_for_affected.join(affected, "family_id", "left_semi"))
+    def of_snapshots(ids: DataFrame) -> None:
+        parts.extend([t.join(ids, "snapshot_id", "left_semi").select("family_id") for t in (now, before)])
 
+    def of_responses(ids: DataFrame) -> None:
+        held = wh_full.raw("snapshot_stoplight").select(F.col("id").alias("snapshot_stoplight_id"), "snapshot_id")
+        of_snapshots(held.join(ids, "snapshot_stoplight_id", "left_semi").select("snapshot_id"))
+        parts.append(previous["fact_indicators"].select("snapshot_stoplight_id", "family_id")
+                     .join(ids, "snapshot_stoplight_id", "left_semi").select("family_id"))
 
-def refresh_facts(wh_full: Warehouse, previous: dict[str, DataFrame], batch_snapshots: DataFrame,
+    if "snapshot" in batch:
+        parts.append(batch["snapshot"].select("family_id"))
+        of_snapshots(batch["snapshot"].select(F.col("id").alias("snapshot_id")))
+    if "snapshot_stoplight" in batch:
+        of_snapshots(batch["snapshot_stoplight"].select("snapshot_id"))
+        of_responses(batch["snapshot_stoplight"].select(F.col("id").alias("snapshot_stoplight_id")))
+    for name in ("snapshot_stoplight_priority", "snapshot_stoplight_achievement"):
+        if name in batch:
+            of_responses(batch[name].select("snapshot_stoplight_id"))
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
+def refresh_facts(wh_full: Warehouse, previous: dict[str, DataFrame], batch: dict[str, DataFrame],
                   models=("fact_snapshots", "fact_indicators")) -> dict[str, DataFrame]:
-    """Refresh stored facts after ``batch_snapshots`` (raw snapshot rows) arrived.
+    """Refresh stored facts after the rows of ``batch`` arrived.
 
-    ``wh_full`` sees the complete raw data (previous + batch); only the
-    affected families are recomputed from it."""
-    affected = affected_families(batch_snapshots)
-    all_snaps = wh_full.raw("snapshot")
-    scoped = restrict_to_snapshots(wh_full.source, all_snaps.join(affected, "family_id", "left_semi"))
+    ``previous`` holds both facts as they were; ``wh_full`` sees the complete
+    raw data (previous + batch).  Only affected families are recomputed."""
+    affected = wh_full.stage(affected_families(wh_full, previous, batch))
+    scoped = restrict_to_snapshots(wh_full.source, _by_family(wh_full.raw("snapshot"), affected, "left_semi"))
     wh_aff = Warehouse(wh_full.spark, scoped, epoch_unit=wh_full.epoch_unit)
     for dim in ("dim_family", "dim_organization", "dim_survey_definition", "stg_survey_stoplight"):
         wh_aff.use(dim, wh_full.m(dim))   # dimensions are unchanged by the batch
-    return {m: refresh(previous[m], wh_aff.m(m), affected) for m in models}
-
-
-def demo_refresh(wh: Warehouse, cutoff_epoch: int) -> DataFrame:
-    """Facts as of before ``cutoff_epoch`` (snapshot_date seconds), then the
-    later snapshots arrive as one batch; returns the refreshed fact_indicators."""
-    snaps = wh.raw("snapshot")
-    old = snaps.filter(F.col("snapshot_date") < cutoff_epoch)
-    batch = snaps.filter(F.col("snapshot_date") >= cutoff_epoch)
-    wh_prev = Warehouse(wh.spark, restrict_to_snapshots(wh.source, old), epoch_unit=wh.epoch_unit)
-    previous = {"fact_snapshots": wh_prev.m("fact_snapshots"), "fact_indicators": wh_prev.m("fact_indicators")}
+    return {m: _by_family(previous[m], affected, "left_anti").unionByName(wh_aff.m(m)) for m in models}
+
+
+def demo_refresh(wh: Warehouse, cutoff_epoch: int, late_from_epoch: int) -> DataFrame:
+    """The refreshed fact_indicators after one batch that holds
+
+    * every snapshot from ``cutoff_epoch`` on, with its responses,
+    * the responses of the snapshots from ``late_from_epoch`` up to the cutoff,
+      which come late, and all priorities and achievements on them,
+    * the snapshots before ``late_from_epoch`` whose family is told only now
+      (odd organizations) or has moved (even ones).
+    """
+    snaps, responses = wh.raw("snapshot"), wh.raw("snapshot_stoplight")
+    date = F.col("snapshot_date")
+    new, late = date >= cutoff_epoch, (date >= late_from_epoch) & (date < cutoff_epoch)
+    moved = (date < late_from_epoch) & (F.coalesce("project_id", F.lit(0)) == F.coalesce(F.col("organization_id"), F.lit(0)))
+    untold = moved & (F.col("organization_id") % 2 == 1)
+    old = snaps.where(~F.coalesce(new, F.lit(False))).withColumn(
+        "family_id", F.when(untold, F.lit(None)).when(moved, F.col("family_id") + 1).otherwise(F.col("family_id")))
+    late_ids = snaps.where(late).select(F.col("id").alias("snapshot_id"))
+    before = restrict_to_snapshots(wh.source, old)
+    before.overrides["snapshot_stoplight"] = before.table("snapshot_stoplight").join(late_ids, "snapshot_id", "left_anti")
+    wh_prev = Warehouse(wh.spark, before, epoch_unit=wh.epoch_unit)
+    previous = {m: wh_prev.m(m) for m in ("fact_snapshots", "fact_indicators")}
+
+    changed = snaps.where(F.coalesce(new | moved, F.lit(False)))
+    come = snaps.where(F.coalesce(new | late, F.lit(False))).select(F.col("id").alias("snapshot_id"))
+    arrived = responses.join(come, "snapshot_id", "left_semi")
+    rid = arrived.select(F.col("id").alias("snapshot_stoplight_id"))
+    batch = {"snapshot": changed, "snapshot_stoplight": arrived,
+             **{t: wh.raw(t).join(rid, "snapshot_stoplight_id", "left_semi")
+                for t in ("snapshot_stoplight_priority", "snapshot_stoplight_achievement")}}
     return refresh_facts(wh, previous, batch)["fact_indicators"]

@@ -7,31 +7,51 @@ import pytest
 from pyspark.sql import functions as F
 
 from surveywave.functions.columns import ratio, snapshot_type
-from surveywave.operators.sequence import sequence
+from surveywave.operators.sequence import sequence, window_sequence
 from surveywave.plans.warehouse import output_schema
 
+ALL = dict(number="n", size="sz", lag={"pv": "v"}, first={"fv": "v"})
 
-def _data(spark, n=400, seed=7):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        g = 1 if i % 3 else rnd.randint(2, 9)        # group 1 is hot (two thirds of rows)
-        h = None if i % 17 == 0 else rnd.randint(0, 1)  # includes a NULL group key
-        rows.append((g, h, rnd.choice([None] + list(range(20))), i, rnd.choice([None, 1, 2, 3])))
-    return spark.createDataFrame(rows, "g long, h long, t long, id long, v int")
 
+def _order():
+    return [F.col("t").desc_nulls_first(), F.col("id").asc_nulls_last()]
 
-def test_hot_group_chunks_match_plain_window(spark):
-    df = _data(spark)
-    order = [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    kw = dict(number="n", size="sz", lag={"pv": "v"}, first={"fv": "v"},
-              group_max={"mx": F.when(F.col("t") < 5, F.col("v"))})
-    plain = sequence(df, ["g", "h"], order, hot_rows=0, **kw)
-    split = sequence(df, ["g", "h"], order, hot_rows=20, **kw)
-    cols = ["id", "n", "sz", "pv", "fv", "mx"]
-    a = sorted(tuple(r) for r in plain.select(*cols).collect())
-    b = sorted(tuple(r) for r in split.select(*cols).collect())
-    assert a == b and len(a) == 400
+
+def _same(a, b, cols=("id", "n", "sz", "pv", "fv", "mx")):
+    """Rows that differ, both ways, and the two row counts."""
+    a, b = a.select(*cols), b.select(*cols)
+    return a.exceptAll(b).count() + b.exceptAll(a).count(), a.count(), b.count()
+
+
+def test_sequence_equals_the_window_on_large_groups(spark):
+    """Three groups and a NULL group of 150,000 rows and more, wide rows, many input partitions."""
+    i = F.col("id")
+    df = spark.range(0, 640_000, numPartitions=13).select(
+        "id", F.when(i % 4 < 3, i % 4).alias("g"), F.lit(None).cast("string").alias("h"),
+        F.when(F.xxhash64(i) % 50 != 0, F.xxhash64(i) % 5000).alias("t"),
+        F.when(i % 7 != 0, (F.xxhash64(i) % 4).cast("int")).alias("v"), F.repeat(i.cast("string"), 30).alias("wide"))
+    top = {"mx": F.when(F.col("t") < 5, F.col("id"))}
+    got = sequence(df, ["g", "h"], _order(), group_max=top, chunks=16, **ALL)
+    assert got.columns == [*df.columns, "n", "sz", "pv", "fv", "mx"]
+    assert _same(got, window_sequence(df, ["g", "h"], _order(), group_max=top, **ALL)) == (0, 640_000, 640_000)
+    chunks = got.groupBy("g").agg(F.max("n").alias("n"), F.max("sz").alias("sz")).collect()
+    assert {(r.g, r.n, r.sz) for r in chunks} == {(g, 160_000, 160_000) for g in (None, 0, 1, 2)}
+
+
+@pytest.mark.parametrize("chunks", [1, 5, 40])
+def test_sequence_equals_the_window_on_small_and_mixed_groups(spark, chunks):
+    rnd = random.Random(7)
+    rows = [(1 if k % 3 else rnd.randint(2, 90), None if k % 17 == 0 else rnd.randint(0, 1),
+             rnd.choice([None, *range(20)]), k, rnd.choice([None, 1, 2, 3])) for k in range(400)]
+    df = spark.createDataFrame(rows, "g long, h long, t long, id long, v int").repartition(3)
+    top = {"mx": F.when(F.col("t") < 5, F.col("v"))}
+    got = sequence(df, ["g", "h"], _order(), group_max=top, chunks=chunks, **ALL)
+    assert _same(got, window_sequence(df, ["g", "h"], _order(), group_max=top, **ALL)) == (0, 400, 400)
+
+
+def test_sequence_of_no_rows(spark):
+    df = spark.createDataFrame([], "g long, t long, id long, v int")
+    assert sequence(df, ["g"], _order(), **ALL).count() == 0
 
 
 def test_snapshot_type_labels(spark):
@@ -86,3 +106,33 @@ def test_quality_report_statuses(wh_small):
     assert report[("relationships", "fact_snapshots", "date_key")].status == "fail"
     with pytest.raises(QualityError):
         run_report(wh_small)
+
+
+def test_not_null_tests_of_a_model_are_one_scan(spark, tmp_path):
+    from surveywave.plans.quality import CHECKS, _row_checks
+    checks = [c for c in CHECKS if c.model == "fact_indicators" and c.test == "not_null"]
+    path = f"file://{tmp_path}/t"
+    spark.range(5).select(*[F.when(F.col("id") > k, 1).alias(c.column) for k, c in enumerate(checks)]).write.parquet(path)
+    report = _row_checks(spark.read.parquet(path), checks)
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["column"]: r.failures for r in report.collect()} == {c.column: min(5, k + 1) for k, c in enumerate(checks)}
+
+
+def test_shares_that_miss_100_are_reported(spark):
+    from surveywave.plans import quality
+
+    # one row sums to 99, one to 100.4, one has no answers
+    rows = [("a", "o", "PY", None, 40.0, 30.0, 20.0, 9.0), ("b", "o", "PY", None, 40.0, 30.0, 20.0, 10.4), ("c", "o", "PY", None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "k string, o string, c string, d date, green_pct double, yellow_pct double, red_pct double, skipped_pct double")
+    failing = quality.sum_failures(table, "dimension_metrics", "k").collect()
+    assert [(r.table_name, r.identifier, r.total_pct) for r in failing] == [("dimension_metrics", "a", 99.0)]
+
+
+def test_numbers_too_large_for_the_fact_are_counted(spark):
+    from surveywave.plans.economic import dq_number_overflow
+
+    class Answers:
+        def m(self, name):
+            return spark.createDataFrame([("income", "12345678901234.5"), ("income", "9999999999999.99"), ("income", "x"), ("rent", "1")],
+                                         "code_name string, answer_value string")
+    assert {(r.code_name, r.numeric_answers, r.too_large) for r in dq_number_overflow(Answers()).collect()} == {("income", 2, 1), ("rent", 1, 0)}

@@ -19,3 +19,61 @@ def test_materialize_layout_and_roundtrip(spark):
     stored = wh.m("mart_surveys")
     assert dict(stored.dtypes)["is_last"] == "boolean"
     assert sorted(tuple(r) for r in stored.collect()) == before
+
+
+def _rows(spark, path):
+    return sorted(map(str, spark.read.parquet(path).collect()))
+
+
+def test_materialize_again_rebuilds_the_same_tables(spark):
+    models = ["dim_family", "dim_organization", "dim_survey_definition", "fact_snapshots", "mart_surveys"]
+    out = tempfile.mkdtemp(prefix="surveywave-sink-")
+    wh = Warehouse(spark, open_source(spark, SF_SMALL))
+    paths = wh.materialize(out, models)
+    first = {m: _rows(spark, p) for m, p in paths.items()}
+    assert all(first.values())
+    for again in (wh, wh, Warehouse(spark, open_source(spark, SF_SMALL))):
+        assert again.materialize(out, models) == paths
+        spark.catalog.clearCache()
+        assert {m: _rows(spark, p) for m, p in paths.items()} == first
+        assert again.m("fact_snapshots").count() == len(first["fact_snapshots"])
+    assert not [d for d in os.listdir(os.path.dirname(paths["fact_snapshots"])) if "__" in d]
+
+
+def test_a_failed_write_leaves_the_old_table(spark):
+    out = tempfile.mkdtemp(prefix="surveywave-sink-")
+    wh = Warehouse(spark, open_source(spark, SF_SMALL))
+    path = wh.materialize(out, ["dim_family"])["dim_family"]
+    before = _rows(spark, path)
+    broken = Warehouse(spark, open_source(spark, SF_SMALL))
+    broken.use("dim_family", spark.range(5).selectExpr("raise_error('broken') family_id"))
+    try:
+        broken.materialize(out, ["dim_family"])
+        raise AssertionError("the write should have failed")
+    except Exception as error:  # noqa: BLE001
+        assert "broken" in str(error)
+    assert _rows(spark, path) == before
+
+
+def test_raw_export_reads_back(spark):
+    from surveywave.sources.reader import ParquetRawSource, write_raw
+    from surveywave.sources.schemas import RAW_SCHEMAS
+    out = tempfile.mkdtemp(prefix="surveywave-raw-")
+    driver = open_source(spark, SF_SMALL)
+    write_raw(driver, out)
+    raw = open_source(spark, f"file://{out}")
+    assert isinstance(raw, ParquetRawSource)
+    for name in RAW_SCHEMAS:
+        a, b = driver.table(name), raw.table(name)
+        assert a.columns == b.columns and a.exceptAll(b).count() + b.exceptAll(a).count() == 0
+    one, two = Warehouse(spark, driver), Warehouse(spark, raw)
+    assert one.m("fact_indicators").exceptAll(two.m("fact_indicators")).count() == 0
+
+
+def test_dimension_filter_reads_its_partition_only(spark):
+    from surveywave.plans.questions import wide
+    wh = Warehouse(spark, open_source(spark, SF_SMALL))
+    wide(wh)
+    wh.materialize(tempfile.mkdtemp(prefix="surveywave-wide-"), ["mart_indicators_wide"])
+    plan = wh.m("mart_indicators_wide").where("dimension_name = 'Income' and has_followup_data")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dimension_name" in plan and "PushedFilters: [IsNotNull(has_followup_data), EqualTo(has_followup_data,true)]" in plan
