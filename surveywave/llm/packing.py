@@ -15,12 +15,12 @@ The text is read once and not shuffled; what moves is the open windows.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,40 +36,86 @@ FAN_IN = 32
 CACHE_WORDS = 1_000_000
 BATCH_CHARS = 8 << 20
 
-# An ASCII letter, then punctuation up to white space: two pre-tokens always.
-_PUNCTUATION = re.compile(rb"(?<=[a-z])([!-/:-@\[-`{-~]+)(?=[ \t\n\r\x0b\x0c]|$)")
+ASCII_PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+JOINED_WORDS = 200
+
+
+def _slices(values: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """values[start:start + size] of every pair, end to end."""
+    end = np.cumsum(size)
+    return values[np.repeat(start - end + size, size) + np.arange(end[-1] if len(end) else 0)]
 
 
 class WordEncoder:
     """Ids of texts by a word-level BPE file, remembered word by word.
 
     The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its words; ASCII letters are lower-cased beforehand as
-    the tokenizer does.  Texts that may hold a special token's string are given
-    to the tokenizer whole.
+    text are those of its words; Arrow cuts the texts and numbers the words of
+    a batch, and only words not met before are tokenized.  ASCII letters are
+    lower-cased first, as the tokenizer does.  Punctuation after an ASCII
+    letter, up to the word's end, is always a token of its own.  Words of
+    letters are one unit to the tokenizer, so many are given to it in one text
+    and told apart by the end-of-word mark.  Texts that may hold a special
+    token's string are given to the tokenizer whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place: dict[str, int] = {"": 0}
         self.ids = np.empty(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
-        self.used, self.known = 0, 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32)
+        self.used, self.known = 0, 1
+
+    def _tokens(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words and punctuation runs, end to end, and how many each has."""
+        plain = np.fromiter((u.isalpha() for u in units), bool, len(units))
+        letters = [u for u, p in zip(units, plain) if p]
+        groups = [letters[k:k + JOINED_WORDS] for k in range(0, len(letters), JOINED_WORDS)]
+        flat, size = [], []
+        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, np.uint32)
+            last = np.flatnonzero(self.ends_word[ids])
+            if len(last) != len(group):  # normalising has made more than letters of some word
+                own = [e.ids for e in self.tokenizer.encode_batch(group, add_special_tokens=False)]
+                ids, last = np.array([i for x in own for i in x], np.uint32), np.cumsum([len(x) for x in own]) - 1
+            flat.append(ids)
+            size.append(np.diff(last, prepend=-1))
+        others = [e.ids for e in self.tokenizer.encode_batch([u for u, p in zip(units, plain) if not p], add_special_tokens=False)]
+        flat.append(np.array([i for x in others for i in x], np.uint32))
+        size.append(np.array([len(x) for x in others], np.int64))
+        # back into the order of the units
+        ids, size = np.concatenate(flat), np.concatenate(size)
+        order = np.argsort(np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain))))
+        start = np.cumsum(size) - size
+        return _slices(ids, start[order], size[order]), size[order]
+
+    def _learn(self, words: list[str]) -> None:
+        """A word is its letters' ids and those of the punctuation after them."""
+        number: dict[str, int] = {"": 0}
+        parts = np.empty((len(words), 2), np.int64)
+        for k, word in enumerate(words):
+            stem = word.rstrip(ASCII_PUNCTUATION)
+            if stem == word or not (stem[-1:].isascii() and stem[-1:].isalpha()):
+                parts[k] = number.setdefault(word, len(number)), 0
+            else:
+                parts[k] = number.setdefault(stem, len(number)), number.setdefault(word[len(stem):], len(number))
+        ids, length = self._tokens(list(number)[1:])
+        length = np.concatenate(([0], length))
+        pieces = parts.ravel()
+        flat = _slices(ids, (np.cumsum(length) - length)[pieces], length[pieces])
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
         while self.known + len(words) + 1 > len(self.start):
             self.start = np.concatenate((self.start, np.zeros_like(self.start)))
         self.ids[self.used:self.used + len(flat)] = flat
-        ends = self.used + np.cumsum([len(x) for x in found])
-        self.start[self.known + 1:self.known + 1 + len(words)] = ends
+        self.start[self.known + 1:self.known + 1 + len(words)] = self.used + np.cumsum(length[parts].sum(axis=1))
         self.place.update(zip(words, range(self.known, self.known + len(words))))
         self.known += len(words)
         self.used += len(flat)
@@ -77,28 +123,23 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         if self.known > CACHE_WORDS:
             self._clear()
-        words: list[bytes] = []
-        counts, special = [], {}
-        for n, text in enumerate(texts):
-            data = (text or "").encode("utf-8", "replace")
-            if b"<|" in data:
-                special[n] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-                counts.append(0)
-                continue
-            own = _PUNCTUATION.sub(rb" \1", data.lower()).split()
-            counts.append(len(own))
-            words += own
-        get = self.place.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        missing = np.flatnonzero(at < 0)
+        special = {n: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
+                   for n, t in enumerate(texts) if t and "<|" in t}
+        plain = pa.array(["" if n in special else t or "" for n, t in enumerate(texts)], pa.string())
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        words = cut.flatten().dictionary_encode()
+        own = words.dictionary.to_pylist()
+        place = np.fromiter((self.place.get(w, -1) for w in own), np.int64, len(own))
+        missing = np.flatnonzero(place < 0)
         if len(missing):
-            self._learn(list(dict.fromkeys(words[k] for k in missing)))
-            at[missing] = [get(words[k]) for k in missing]
+            self._learn([own[k] for k in missing])
+            place[missing] = [self.place[own[k]] for k in missing]
+        at = place[words.indices.to_numpy()]
         low = self.start[at]
         size = self.start[at + 1] - low
         end = np.cumsum(size)
-        flat = self.ids[np.repeat(low - end + size, size) + np.arange(end[-1] if len(end) else 0)]
-        cuts = np.concatenate(([0], end))[np.cumsum([0, *counts])]
+        flat = _slices(self.ids, low, size)
+        cuts = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(pc.list_value_length(cut).to_numpy())))]
         return [special.get(n, flat[a:b]) for n, (a, b) in enumerate(zip(cuts[:-1], cuts[1:]))]
 
 
