@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash128
+
 END = "\r\n\r\n"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2024-01-01T00:00:00Z"
@@ -85,11 +87,12 @@ def archive_records(pages: DataFrame, scratch, min_bytes: int = 0, id_col: str =
     mine = F.col("page_id").eqNullSafe(F.col("o_page")) & F.col("url").eqNullSafe(F.col("o_url"))
     one = F.lit(0)
 
-    # the payloads of responses: each row meets its own original
-    whole = [*same, "page_id", "url"]
-    keyed = first.select(*same, F.col("o_page").alias("page_id"), F.col("o_url").alias("url"))
-    found = (rows.alias("r").join(keyed.alias("k"), [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in whole])
-             .select("r.*").dropDuplicates(whole))
+    # the payloads of responses: each row meets its own original.  The key has no
+    # NULLs, so one exchange of the payloads serves the join and the distinct
+    whole = [*same, "k1", "k2"]
+    named = lambda df, page, url: df.withColumns(dict(zip(("k1", "k2"), hash128(F.col(page), F.col(url)))))
+    keyed = named(first, "o_page", "o_url").select(*whole)
+    found = named(rows, "page_id", "url").join(keyed.hint("merge"), whole).dropDuplicates(whole).drop("k1", "k2")
     found = found.withColumn("record_id", _record_id(F.col("digest"), F.col("page_id"), F.col("url"), one))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("bytes").cast("string"), F.lit(END))
