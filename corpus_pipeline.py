@@ -21,7 +21,7 @@ from surveywave.llm.packing import pack_documents
 
 # A text is rejected when its best language scores under this many times the
 # score that all languages would share.
-CLEAR_LANGUAGE = 1.2
+CLEAR_LANGUAGE = 1.05
 
 # Language ID, MinHash and the drawing of a mix have no SQL form.
 ORACLE_SQL = None
