@@ -19,22 +19,16 @@ from surveywave.llm.minhash_dedup import minhash_dedup
 from surveywave.llm.mixing import mix_documents
 from surveywave.llm.packing import pack_documents
 
-# A text is rejected when its best language scores under this many times the
-# score that all languages would share.
-CLEAR_LANGUAGE = 1.05
-
 # Language ID, MinHash and the drawing of a mix have no SQL form.
 ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a determined language; texts without a letter, NULL texts
-    and texts in which no language stands out go."""
-    model = train(docs)
+    """Documents with a determined language; NULL texts and texts without a
+    letter go.  Short texts have low scores, so a score alone rejects nothing."""
     known = identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                                 F.col("doc_id"), F.col("text")), model, carry=["doc", "doc_id"])
-    clear = CLEAR_LANGUAGE / max(1, len(model["names"]))
-    return known.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= clear)).select("doc.*")
+                                 F.col("doc_id"), F.col("text")), train(docs), carry=["doc", "doc_id"])
+    return known.where(F.col("lang_pred") != UNDETERMINED).select("doc.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
