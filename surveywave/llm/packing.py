@@ -33,8 +33,8 @@ WINDOW = 4096
 END_ID = 2
 OPEN_WINDOWS = 64
 FAN_IN = 32
-CACHE_WORDS = 1_000_000
-BATCH_CHARS = 8 << 20
+CACHE_WORDS = 900_000
+BATCH_BYTES = 4 << 20
 
 ASCII_PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 JOINED_WORDS = 200
@@ -120,12 +120,14 @@ class WordEncoder:
         self.known += len(words)
         self.used += len(flat)
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array | list[str | None]) -> list[np.ndarray]:
         if self.known > CACHE_WORDS:
             self._clear()
-        special = {n: np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32)
-                   for n, t in enumerate(texts) if t and "<|" in t}
-        plain = pa.array(["" if n in special else t or "" for n, t in enumerate(texts)], pa.string())
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        marked = pc.match_substring(texts, "<|")
+        special = {n: np.array(self.tokenizer.encode(texts[n].as_py(), add_special_tokens=False).ids, np.uint32)
+                   for n in np.flatnonzero(marked.to_numpy(zero_copy_only=False)).tolist()}
+        plain = pc.if_else(marked, "", texts) if special else texts
         cut = pc.ascii_split_whitespace(pc.ascii_lower(plain))
         words = cut.flatten().dictionary_encode()
         own = words.dictionary.to_pylist()
@@ -239,19 +241,19 @@ def _first_pass(path: str, window: int, end_id: int, most_open: int, with_ids: b
         encode, kind = encoder(path).encode, pa.int64()
         for batch in batches:
             kind = batch.column("doc_id").type
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("_t").to_pylist()
+            size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("_t")), 0).to_numpy())
             low = 0
-            while low < len(texts):
-                high, chars = low, 0
-                while high < len(texts) and (high == low or chars < BATCH_CHARS):
-                    chars += len(texts[high] or "")
-                    high += 1
-                for doc, ids in zip(docs[low:high], encode(texts[low:high])):
+            while low < batch.num_rows:  # texts of BATCH_BYTES together, or one longer text
+                done = size[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(size, done + BATCH_BYTES, "right")))
+                part = batch.slice(low, high - low)
+                for doc, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("_t"))):
                     ids = np.append(ids, np.uint32(end_id))
                     packer.add(doc, 0, ids, len(ids))
                 low = high
                 if packer.rows:
                     yield packer.batch(kind)
+            pa.default_memory_pool().release_unused()
         packer.leave_open()
         if packer.rows:
             yield packer.batch(kind)
