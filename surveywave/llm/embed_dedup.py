@@ -10,8 +10,9 @@ of children unless their bounding boxes on the leading axes are more than
 epsilon apart, which proves that they hold no link.
 
 Pairs of blocks are compared in double precision as one matrix product inside a
-task, which returns counts of links and a spanning forest, never pairs.  Each
-block's partners are dealt evenly between the two blocks and split when there
+task, which returns counts of links and a spanning forest, never pairs.  Where
+vectors have no structure that boxes could use, that is what remains: a block
+matrix product that moves each block once a partner block.  Each block's partners are dealt evenly between the two blocks and split when there
 are many.  Equal vectors are one row with a multiplicity.
 """
 
@@ -30,10 +31,10 @@ from .common import Scratch
 from .components import connected_components
 
 AXES = 8
-BLOCK = 512
+BLOCK = 2048
 FAN = 8
 SAMPLE_VALUES = 500_000  # numbers that the fit of the axes may gather
-PARTNERS = 256  # blocks that one stream compares with its own block
+PARTNERS = 64  # blocks that one stream compares with its own block
 SLACK = 1e-9
 
 
@@ -82,7 +83,7 @@ def _project(axes: np.ndarray, epsilon: float):
     return run
 
 
-def _blocks(size: int):
+def _blocks(size: int, kind: str):
     """Sorted rows to blocks of `size` with their bounding boxes; a block holds
     vectors of one dimension."""
     names = ["part", "no", "d", "nodes", "copies", "low", "high", "data"]
@@ -98,7 +99,7 @@ def _blocks(size: int):
             nonlocal no, held, count
             rows = pa.Table.from_batches(held)
             at = np.array(rows.column("at").to_pylist())
-            data = np.array(rows.column("x").to_pylist(), dtype="<f8")
+            data = np.array(rows.column("x").to_pylist(), dtype=kind)
             row = (part, no, d, rows.column("node").to_pylist(), rows.column("copies").to_pylist(),
                    at.min(axis=0).tolist(), at.max(axis=0).tolist(), data.tobytes())
             no, held, count = no + 1, [], 0
@@ -150,7 +151,7 @@ def block_pairs(boxes: DataFrame, scratch: Scratch, p: int, epsilon: float, fan:
     return pairs
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, kind: str):
     """A stream sorted by stream key: first a block, then its partners."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, own, nodes, weight, count = None, None, None, None, None
@@ -171,7 +172,7 @@ def _compare(threshold: float):
 
         for frame in frames:
             for row in frame.itertuples(index=False):
-                block = np.frombuffer(row.data, "<f8").reshape(-1, row.d)
+                block = np.frombuffer(row.data, kind).astype(np.float64).reshape(-1, row.d)
                 ids, copies = np.asarray(row.nodes), np.asarray(row.copies)
                 if row.first:
                     done = counted()
@@ -223,6 +224,9 @@ def embedding_dedup(vectors: DataFrame, scratch: Scratch, id_col: str = "vec_id"
     component and are kept.  An empty table gives an empty result.
     """
     epsilon = float(np.sqrt(2 - 2 * threshold))
+    # single precision input travels as it is; all sums are in double precision
+    single = vectors.schema[vector_col].dataType.elementType.typeName() == "float"
+    kind = "<f4" if single else "<f8"
     rows = scratch.table(valid_vectors(vectors, id_col, vector_col).withColumns(
         {"h1": F.xxhash64("x"), "h2": F.xxhash64(F.lit(1), "x"), "d": F.size("x")}), "vectors")
     # equal vectors are one node; grouping by the vector itself keeps it exact
@@ -236,7 +240,7 @@ def embedding_dedup(vectors: DataFrame, scratch: Scratch, id_col: str = "vec_id"
     placed = scratch.table(placed, "cells")
     order = ["d", "cell", "node"]
     cut = placed.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        _blocks(block), "part long, no long, d int, nodes array<long>, copies array<long>, low array<double>, high array<double>, data binary")
+        _blocks(block, kind), "part long, no long, d int, nodes array<long>, copies array<long>, low array<double>, high array<double>, data binary")
     cut = scratch.table(cut, "blocks")
     # number the blocks along the whole sequence: one row a partition passes the window
     parts = cut.groupBy("part").agg(F.count("*").alias("n"))
@@ -257,7 +261,7 @@ def embedding_dedup(vectors: DataFrame, scratch: Scratch, id_col: str = "vec_id"
         "stream", "owner", F.col("owner").alias("partner"), F.lit(True).alias("first"), *shape)
     others = tasks.join(blocks, F.col("partner") == F.col("seq")).select("stream", "owner", "partner", F.lit(False).alias("first"), *shape)
     stream = heads.unionByName(others).repartition("stream").sortWithinPartitions("stream", "owner", F.desc("first"), "partner")
-    found = scratch.table(stream.mapInPandas(_compare(threshold), "node long, links long, root long"), "links")
+    found = scratch.table(stream.mapInPandas(_compare(threshold, kind), "node long, links long, root long"), "links")
 
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     together = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")), scratch)
