@@ -15,6 +15,7 @@ The text is read once and not shuffled; what moves is the open windows.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ END_ID = 2
 OPEN_WINDOWS = 64
 FAN_IN = 32
 CACHE_WORDS = 900_000
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 ASCII_PUNCTUATION = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 JOINED_WORDS = 200
@@ -60,6 +61,7 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab()
@@ -79,8 +81,8 @@ class WordEncoder:
         letters = [u for u, p in zip(units, plain) if p]
         groups = [letters[k:k + JOINED_WORDS] for k in range(0, len(letters), JOINED_WORDS)]
         flat, size = [], []
-        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
-            ids = np.array(found.ids, np.uint32)
+        for group in groups:  # one at a time: what the tokenizer returns is many times the ids
+            ids = np.array(self.tokenizer.encode(" ".join(group), add_special_tokens=False).ids, np.uint32)
             last = np.flatnonzero(self.ends_word[ids])
             if len(last) != len(group):  # normalising has made more than letters of some word
                 own = [e.ids for e in self.tokenizer.encode_batch(group, add_special_tokens=False)]

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 
 def groups(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
     """Consecutive rows with an equal key, across batch borders.  Holds one
     group at a time; the caller bounds how large a group is."""
+    import pandas as pd  # only here: a worker of an Arrow stage does without
     held: list[pd.DataFrame] = []
     for frame in frames:
         if not len(frame):
