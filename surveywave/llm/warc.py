@@ -140,7 +140,8 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if want is not None or b"".join(parts) not in (b"", end):
             raise ValueError(f"{file} ends inside a record")
 
-    for batch in batches:
+    # a batch may hold 64 MB: some rows at a time
+    for batch in (b.slice(low, 128) for b in batches for low in range(0, b.num_rows, 128)):
         rows: list[tuple] = []
         for piece, name in zip(batch.column("value").to_pylist(), batch.column("file").to_pylist()):
             if name != file:
@@ -170,6 +171,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 want, parts, held = None, [rest], len(rest)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        pa.default_memory_pool().release_unused()
     close()
 
 
