@@ -253,7 +253,8 @@ def main_text(page: str | None) -> str:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    # a batch may hold 64 MB: some pages at a time
+    for batch in (b.slice(low, 128) for b in batches for low in range(0, b.num_rows, 128)):
         texts = [main_text(page) for page in batch.column("_html").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())], ["_row", "text", "n_chars"])
