@@ -48,7 +48,7 @@ DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner menu nav navbar navigation "
     "breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent notice notices popup modal overlay newsletter "
     "subscribe signup social share sharing related recommended comment comments commentlist disqus respond replies widget "
-    "toolbar pagination pager login".split())
+    "toolbar pagination pager login alert disclaimer discussion topnav subnav sidenav submenu topbar leftbar rightbar adbox adslot".split())
 NEVER_BY_WORD = frozenset("html body main article".split())
 
 _TAG = re.compile(

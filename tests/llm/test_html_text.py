@@ -21,6 +21,9 @@ PAGES = {
     "a wrapper named after its surroundings": (f"<div class='has-sidebar'><p>{LONG}</p><p>y</p></div>", [LONG, "y"]),
     "header inside and outside": (f"<header><p>site</p></header><article><header><h1>T</h1></header><p>{LONG}</p></article>", ["T", LONG]),
     "attributes with brackets": (f"<article><p title='a > b' data-x=\"</p>\">{LONG}</p></article>", [LONG]),
+    "boilerplate inside the article": (
+        f"<article><p>{LONG}</p><div class=notice>{LONG}</div><aside>{LONG}</aside><div class='alert warning'>{LONG}</div>"
+        f"<div class='ad'>{LONG}</div><ul class='reader-comments'><li>{LONG}</li></ul><p>end</p></article>", [LONG, "end"]),
     "hidden": (f"<article><p>{LONG}</p><p hidden>no</p><p style='display: none'>no</p></article>", [LONG]),
     "table": (f"<article><p>{LONG}</p><table><tr><td>1<td>2<tr><td>3</table></article>", [LONG, "1", "2", "3"]),
 }
