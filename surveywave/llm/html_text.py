@@ -2,8 +2,12 @@
 
 A small parser builds the element tree (void and raw-text elements, implied
 end tags, stray and missing tags).  Subtrees that are boilerplate by element or
-by a whole word of their class, id or role are taken out.  For every element
-left, with C characters, T tags, LC characters in links, LT link tags, and the
+role are taken out.  A class or id names a container, never a heading, a
+paragraph or text markup: a name that is a topic as well (TOPIC_WORDS) takes it
+out only if half of its text is links or, outside an article, its density is
+below the threshold; any other name on the list does unless the container holds
+an <article> or <main>, or most of the page's text with no such element beside
+it (comments go in any case).  For every element left, with C characters, T tags, LC characters in links, LT link tags, and the
 body's C_b, LC_b, the composite text density is
 
     C / T * log(C / LC * T / LT) / log(log(C / (C - LC) * LC + LC_b / C_b * C + e))
@@ -49,45 +53,56 @@ DROPPED_WORDS = frozenset(
     "breadcrumb breadcrumbs sidebar aside footer masthead cookie cookies consent notice notices popup modal overlay newsletter "
     "subscribe signup social share sharing related recommended comment comments commentlist disqus respond replies widget "
     "toolbar pagination pager login alert disclaimer discussion topnav subnav sidenav submenu topbar leftbar rightbar adbox adslot".split())
-NEVER_BY_WORD = frozenset("html body main article".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus".split())
+TOPIC_WORDS = frozenset("aside discussion disclaimer login overlay promotion recommended related replies respond share sharing social".split())
+AROUND = frozenset("has with no without".split())
+NEVER_BY_WORD = frozenset(
+    "html body main article h1 h2 h3 h4 h5 h6 p pre blockquote figure figcaption table thead tbody tfoot tr td th caption dt dd span b i em strong u s "
+    "small mark sub sup code kbd samp var q cite abbr time font".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>?|"
     r"<(/?)([a-zA-Z][^\s/>]*+)((?:=\s*+\"[^\"]*+\"|=\s*+'[^']*+'|[^>])*+)>?", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|style|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]++)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?|\"[^\"]*\"|'[^']*'")
 _WORD_CUT = re.compile(r"[^a-zA-Z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "drop", "chars", "tags", "link_chars", "link_tags", "own", "first", "last", "density", "total")
+    __slots__ = ("tag", "parent", "children", "drop", "chars", "tags", "link_chars", "link_tags", "own", "first", "last", "density", "total", "named", "in_article")
 
-    def __init__(self, tag: str, parent: "_Node | None", drop: bool):
+    def __init__(self, tag: str, parent: "_Node | None", drop: bool, named: str = "", in_article: bool = False):
         self.tag, self.parent, self.drop, self.children = tag, parent, drop, []
+        self.named, self.in_article = named, in_article
+        self.clear()
+
+    def clear(self) -> None:
         self.chars = self.tags = self.link_chars = self.link_tags = self.own = 0
         self.density = self.total = 0.0
 
 
-def _boilerplate(tag: str, attributes: str, inside_article: bool) -> bool:
+def _boilerplate(tag: str, attributes: str, inside_article: bool) -> tuple[bool, str]:
+    """Whether an element is boilerplate, and else the word that names it as such."""
     if tag in DROPPED or tag == "header" and not inside_article:
-        return True
-    if not attributes or attributes.isspace():
-        return False
-    found = {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(attributes)}
-    if tag in NEVER_BY_WORD:
-        return False
-    if found.get("role", "").lower() in DROPPED_ROLES or found.get("aria-hidden", "").lower() == "true":
-        return True
+        return True, ""
+    if not attributes or attributes.isspace() or tag in ("html", "body", "main", "article"):
+        return False, ""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        found.setdefault(name.lower(), a or b or c)
+    if found.get("role", "").lower() in DROPPED_ROLES or found.get("aria-hidden", "").lower() == "true" or "hidden" in found:
+        return True, ""
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
-    if _HIDDEN.search(re.sub(r"=\s*(?:\"[^\"]*\"|'[^']*'|\S+)", " ", attributes)):
-        return True
-    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        return True, ""
+    named = ""
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split() if tag not in NEVER_BY_WORD else ():
         words = [w.lower() for w in _WORD_CUT.split(name) if w]
-        # the first or last word names what an element is; has-sidebar, with-ads and no-comments name its surroundings
-        if words and words[0] not in ("has", "with", "no", "without", "is", "js") and (words[0] in DROPPED_WORDS or words[-1] in DROPPED_WORDS):
-            return True
-    return False
+        # the first or last word names what an element is; has-sidebar, page-with-ads and no-comments name its surroundings
+        words = words[:next((k for k, w in enumerate(words) if w in AROUND), None)]
+        if words and words[0] not in ("is", "js"):
+            for word in (words[0], words[-1]):
+                if word in DROPPED_WORDS and (not named or named in TOPIC_WORDS):
+                    named = word
+    return False, named
 
 
 def _parse(page: str) -> tuple[_Node, list[tuple[_Node, str | None]]]:
@@ -162,7 +177,8 @@ def _parse(page: str) -> tuple[_Node, list[tuple[_Node, str | None]]]:
             while len(stack) > 1:
                 pop()
         parent = stack[-1]
-        node = _Node(tag, parent, parent.drop or _boilerplate(tag, found[3], article > 0))
+        drop, named = (True, "") if parent.drop else _boilerplate(tag, found[3], article > 0)
+        node = _Node(tag, parent, drop, named, article > 0)
         parent.children.append(node)
         if tag in BLOCK:
             events.append((node, None))
@@ -181,15 +197,17 @@ def _parse(page: str) -> tuple[_Node, list[tuple[_Node, str | None]]]:
 
 def _measure(root: _Node, events: list[tuple[_Node, str | None]]) -> list[_Node]:
     """Counts and densities; the nodes that stay, parents first."""
-    for node, value in events:
-        if value is not None and not node.drop:
-            node.own += sum(map(len, value.split()))
     order, walk = [], [root]
     while walk:
         node = walk.pop()
+        node.drop = node.drop or node.parent is not None and node.parent.drop
+        node.clear()
         if not node.drop:
             order.append(node)
-            walk += reversed(node.children)
+        walk += reversed(node.children)
+    for node, value in events:
+        if value is not None and not node.drop:
+            node.own += sum(map(len, value.split()))
     for node in reversed(order):
         node.chars += node.own
         if node.tag == "a":
@@ -217,19 +235,51 @@ def _measure(root: _Node, events: list[tuple[_Node, str | None]]) -> list[_Node]
     return order
 
 
+def _body_path(order: list[_Node]) -> tuple[list[_Node], float]:
+    """The main subtree with the elements above it, and the least density there."""
+    path = [max(order, key=lambda n: n.total)]
+    while path[-1].parent:
+        path.append(path[-1].parent)
+    return path, min(n.density for n in path if n.chars)
+
+
+def _drop_named(root: _Node, events: list[tuple[_Node, str | None]], order: list[_Node]) -> list[_Node]:
+    """Takes out what is boilerplate by name and measures what is left: first
+    the names that say so alone, then topics by their links and density."""
+    articles = [n for n in order if n.tag in ("article", "main")]
+    above: dict[int, int] = {}  # articles in a node
+    for node in articles:
+        up = node.parent
+        while up:
+            above[id(up)] = above.get(id(up), 0) + 1
+            up = up.parent
+    for node in order:
+        if node.named and node.named not in TOPIC_WORDS:
+            wrapper = above.get(id(node), 0) or node.chars * 2 > root.chars and (node.in_article or not articles)
+            node.drop = node.named in COMMENT_WORDS or not wrapper
+    order = _measure(root, events)
+    if not root.chars or not any(n.named in TOPIC_WORDS for n in order):
+        return order
+    path, threshold = _body_path(order)
+    on_path = set(map(id, path))
+    for node in order:
+        if node.named in TOPIC_WORDS and id(node) not in on_path:
+            node.drop = node.link_chars * 2 >= node.chars or not node.in_article and node.density < threshold
+    return _measure(root, events)
+
+
 def main_text(page: str | None) -> str:
     """The main text; empty for NULL, empty and all-boilerplate pages."""
     if not page:
         return ""
     root, events = _parse(page)
     order = _measure(root, events)
+    if any(n.named for n in order):
+        order = _drop_named(root, events, order)
     if not root.chars:
         return ""
-    best = max(order, key=lambda n: n.total)
-    path = [best]
-    while path[-1].parent:
-        path.append(path[-1].parent)
-    threshold = min(n.density for n in path if n.chars)
+    path, threshold = _body_path(order)
+    best = path[0]
     semantic = next((n for n in reversed(path) if n.tag in ("article", "main")), None)
     if semantic is not None:
         best = semantic

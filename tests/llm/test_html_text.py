@@ -64,3 +64,23 @@ def test_rows_and_columns(spark):
     assert out.columns == ["page_id", "url", "_row", "text", "n_chars"]
     assert sorted(map(str, ((r.page_id, r.text, r.n_chars) for r in out.collect()))) == sorted(map(str, [(1, LONG, len(LONG))] * 2 + [(None, "", 0)]))
     assert extract_main_text(spark.createDataFrame([], schema)).count() == 0
+
+
+NAMED = {
+    "headings and paragraphs": (f"<article><h2 id=discussion>D</h2><p class=share-price>{LONG}</p><p id=social>x</p></article>", ["D", LONG, "x"]),
+    "sections of a paper": (f"<article><p>{LONG}</p><section id=related-work><h2>R</h2><p>{LONG}</p></section><div id=social-impact><p>short</p></div>"
+                            f"<section id='discussion'><p>{LONG}</p></section></article>", [LONG, "R", LONG, "short", LONG]),
+    "sections without an article": (f"<body><div><h1>T</h1><p>{LONG}</p><section id=discussion><h2>D</h2><p>{LONG}</p></section></div></body>", ["T", LONG, "D", LONG]),
+    "a wrapper": (f"<div class=page-with-sidebar><p>{LONG}</p><p>{LONG}</p></div>", [LONG, LONG]),
+    "a wrapper that holds most": (f"<div class=layout-sidebar><p>{LONG}</p><p>{LONG}</p></div><div>x</div>", [LONG, LONG]),
+    "other attributes": (f"<article><div data-id=comments data-role=navigation title='a id=ad b'><p>{LONG}</p></div></article>", [LONG]),
+    "link lists by topic": (f"<article><p>{LONG}</p><div class=related><a href=1>one</a> <a href=2>two</a></div></article>", [LONG]),
+    "comments beside an article": (f"<article><p>{LONG}</p></article><div id=comments><p>{LONG}</p><p>{LONG}</p></div>", [LONG]),
+    "long comments inside": (f"<article><p>{LONG}</p><div id=comments><p>{LONG}</p><p>{LONG}</p></div></article>", [LONG]),
+}
+
+
+@pytest.mark.parametrize("name", NAMED)
+def test_names_are_evidence_only(name):
+    page, blocks = NAMED[name]
+    assert main_text(page) == "\n".join(blocks)
