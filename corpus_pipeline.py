@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from surveywave.llm.common import Scratch, keep_rows
 from surveywave.llm.exact_dedup import exact_dedup
-from surveywave.llm.langid import UNDETERMINED, identify, train
+from surveywave.llm.langid import identify, train
 from surveywave.llm.minhash_dedup import minhash_dedup
 from surveywave.llm.mixing import mix_documents
 from surveywave.llm.packing import pack_documents
@@ -24,11 +24,14 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a determined language; NULL texts and texts without a
-    letter go.  Short texts have low scores, so a score alone rejects nothing."""
+    """Documents that read like one of the labelled languages: the share of
+    their grams that the fitted model knows is at least half of what is usual in
+    its sample.  Letter noise, texts in other scripts, NULL texts and texts
+    without a letter go.  Short texts have low scores, so a score rejects
+    nothing.  Where no row could be learned from, every text with a letter stays."""
     known = identify(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                                 F.col("doc_id"), F.col("text")), train(docs), carry=["doc", "doc_id"])
-    return known.where(F.col("lang_pred") != UNDETERMINED).select("doc.*")
+                                 F.col("doc_id"), F.col("text")), train(docs), carry=["doc", "doc_id"], decide=True)
+    return known.where("recognised").select("doc.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,7 @@ LANDMARKS = 64
 RIDGE = 1e-3
 SHARPNESS = 8.0
 UNDETERMINED = "und"
+KNOWN_PART = 0.5  # a recognised text has this part of the known grams usual for a learned language
 PIECE = 1 << 20
 
 _symbol = np.full(0x110000, 255, dtype=np.uint8)
@@ -90,12 +91,20 @@ def _shared(sets: list[np.ndarray], landmarks: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def known_shares(codes: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """The share of each set's grams that are among codes (sorted), of as many
+    as there are codes at most: a very long text has more grams than that."""
+    known = np.zeros(CODES, dtype=bool)
+    known[codes] = True
+    return np.array([known[s].sum() / max(1, min(len(s), len(codes))) for s in sets])
+
+
 def fit(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> dict:
     """One-versus-rest kernel ridge regression on Nystroem features.  The first
     `landmarks` texts of each language are the landmarks."""
     names = sorted(set(labels))
     if not names:
-        return {"names": [], "codes": np.empty(0, np.int32), "weights": np.empty((0, 0), np.float32), "bias": np.empty(0)}
+        return {"names": [], "codes": np.empty(0, np.int32), "weights": np.empty((0, 0), np.float32), "bias": np.empty(0), "least_known": KNOWN_PART}
     rank: dict[str, int] = {}
     chosen = []
     for k, name in enumerate(labels):
@@ -117,17 +126,23 @@ def fit(sets: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, r
     bias = bias - centre @ beta
     by_mark = whiten @ beta  # a landmark's share in each language's function
     codes = np.unique(np.concatenate(marks))
+    # what the landmarks know of the sample's other texts tells what to ask of a text in a learned language
+    others = known_shares(codes, [sets[k] for k in sorted(set(range(len(sets))) - set(chosen))])
+    least = KNOWN_PART * (float(np.quantile(others, 0.01)) if len(others) else 1.0)
     weights = np.zeros((len(codes), len(names)))
     for grams, share in zip(marks, by_mark):
         weights[np.searchsorted(codes, grams)] += share / np.sqrt(len(grams))
-    return {"names": names, "codes": codes.astype(np.int32), "weights": weights.astype(np.float32), "bias": bias}
+    return {"names": names, "codes": codes.astype(np.int32), "weights": weights.astype(np.float32), "bias": bias, "least_known": least}
 
 
 def predict(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
     """Language and score (0 to 1, a softmax of the margins) of each text."""
-    sets = gram_sets(texts)
+    return _predict(model, gram_sets(texts))
+
+
+def _predict(model: dict, sets: list[np.ndarray]) -> tuple[list[str], np.ndarray]:
     known = [k for k, s in enumerate(sets) if len(s)] if model["names"] else []
-    names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    names, scores = [UNDETERMINED] * len(sets), np.zeros(len(sets))
     if not known:
         return names, scores
     if "table" not in model:
@@ -145,6 +160,13 @@ def predict(model: dict, texts: list[str | None]) -> tuple[list[str], np.ndarray
     return names, scores
 
 
+def recognised(model: dict, sets: list[np.ndarray]) -> np.ndarray:
+    """Whether each text has a letter and reads like one of the learned
+    languages; every text with a letter if no language was learned."""
+    letters = np.array([len(s) > 0 for s in sets], dtype=bool)
+    return letters & (known_shares(model["codes"], sets) >= model["least_known"]) if model["names"] else letters
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = gram_sets(batch.column("_t").to_pylist())
@@ -152,18 +174,22 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(sets, pa.list_(pa.int32()))], ["lang", "rank", "_key1", "_key2", "grams"])
 
 
-def _scored(shared):
+def _scored(shared, decide: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = dict(shared.value)
         for batch in batches:
-            names, scores = [], []
+            names, scores, reads = [], [], []
             for low in range(0, batch.num_rows, 256):
-                a, b = predict(model, batch.slice(low, 256).column("_t").to_pylist())
+                sets = gram_sets(batch.slice(low, 256).column("_t").to_pylist())
+                a, b = _predict(model, sets)
                 names += a
                 scores.append(b)
+                if decide:
+                    reads += recognised(model, sets).tolist()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_row"), pa.array(names, pa.string()),
-                 pa.array(np.concatenate(scores) if scores else np.empty(0))], ["_row", "lang_pred", "score"])
+                 pa.array(np.concatenate(scores) if scores else np.empty(0)), *([pa.array(reads, pa.bool_())] if decide else [])],
+                ["_row", "lang_pred", "score", *(["recognised"] if decide else [])])
             pa.default_memory_pool().release_unused()
     return run
 
@@ -192,16 +218,18 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 
 def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text",
-             carry: list[str] | None = None) -> DataFrame:
+             carry: list[str] | None = None, decide: bool = False) -> DataFrame:
     """The columns `carry` of docs (all if not given; the id is one) with lang_pred, score and held_out; the prediction sees the text only.
 
     NULL texts and texts without a letter are `und` with score 0.  Extra
-    columns pass through, those named like a result are replaced.
+    columns pass through, those named like a result are replaced.  With `decide`
+    there is a column recognised as well.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # grams of the landmarks x languages
-    taken = ("lang_pred", "score", "held_out")
+    taken = ("lang_pred", "score", "held_out", *(["recognised"] if decide else []))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry or docs.columns if c not in taken]).alias("_row"),
                          F.col(text_col).cast("string").alias("_t"))
-    schema = T.StructType([packed.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    out = packed.mapInArrow(_scored(shared), schema)
-    return out.select("_row.*", "lang_pred", "score").withColumn("held_out", held_out(id_col))
+    schema = T.StructType([packed.schema["_row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+                           *([T.StructField("recognised", T.BooleanType())] if decide else [])])
+    out = packed.mapInArrow(_scored(shared, decide), schema)
+    return out.select("_row.*", *schema.names[1:]).withColumn("held_out", held_out(id_col))

@@ -109,3 +109,17 @@ def test_all_operators_are_registered():
     assert [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10 and "pipeline" in names
     assert "op10_exact_dedup" in __spark_entry__.oracle_sql()
     assert len(P.STAGES) == 5 and held_out is not None
+
+
+def test_language_rejects_what_is_in_no_learned_language(spark, rows, docs):
+    rng = random.Random(4)
+    noise = [(300, " ".join("".join(rng.choice("bcfgjkpqvxyz") for _ in range(7)) for _ in range(60))), (301, "xqzjvk" * 30), (302, "привет как дела " * 9)]
+    bad = spark.createDataFrame([(i, t, None, "s0", len(t), 7, "clash") for i, t in noise], SCHEMA)
+    clean = ids(P.language_stage(spark, docs, ""))
+    assert ids(P.language_stage(spark, docs.unionByName(bad), "")) == clean and len(clean) == len(rows) - 4
+
+
+@pytest.mark.parametrize("label", ["NULL", "if(crc32(cast(coalesce(cast(doc_id as string), '') as binary)) % 4 = 2, lang, NULL)"])
+def test_language_keeps_texts_where_nothing_could_be_learned(spark, rows, docs, label):
+    blank = docs.selectExpr("doc_id", "text", f"cast({label} as string) lang", "source", "n_chars", "_row", "shard")
+    assert ids(P.language_stage(spark, blank, "")) == sorted((r[0] for r in rows if r[0] not in (203, 204, 205, 206)), key=str)
