@@ -193,7 +193,12 @@ def minhash_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
     rows share a component and are all marked by doc_id = component_id.  NULL
     doc_ids come last; a component of such rows alone has a NULL id and keeps
     them.  An empty table gives an empty result.
+
+    percent is 80 at least: the size bands and the parts of the Tensor are made
+    for that, and a lower one would lose links.
     """
+    if percent < 80:
+        raise ValueError(f"percent {percent}: the size bands and the minhash tables find links from 80 on only")
     source = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_t")), "doc_id", "_t")
     long = T.LongType()
     schema = T.StructType([T.StructField("doc_id", source.schema["doc_id"].dataType), *(

@@ -116,3 +116,8 @@ def test_tensor_meets_similar_texts():
 
 def test_empty_table(spark):
     assert got(M.minhash_dedup(spark.createDataFrame([], SCHEMA), Scratch(spark, "t"))) == []
+
+
+def test_lower_thresholds_are_refused(spark):
+    with pytest.raises(ValueError, match="percent 60"):
+        M.minhash_dedup(spark.createDataFrame([], SCHEMA), Scratch(spark, "t"), percent=60)
