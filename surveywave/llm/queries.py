@@ -4,8 +4,10 @@ production parameters, to its whole table and returns the digest columns."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import Scratch
+from .oracle import OP10_SQL, OP11_SQL, OP12_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,20 +79,26 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(_table(spark, sf_dir, "pages"), carry=["page_id", "url"])
 
 
-OP10_SQL = r"""
-WITH d AS (
-  SELECT doc_id, coalesce(text, '') AS t,
-         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS n
-  FROM documents),
-k AS (
-  SELECT doc_id, n,
-         first_value(doc_id) OVER w AS keep_id,
-         row_number() OVER w AS place,
-         count(*) OVER (PARTITION BY n) AS group_size
-  FROM d
-  WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id NULLS LAST))
-SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(n) AS text_sha256 FROM k
-"""
-
-QUERIES = {"op6_lm_score": op6_lm_score, "op1_embedding_dedup": op1_embedding_dedup, "op7_chat": op7_chat, "op9_html_text": op9_html_text, "op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup}
-ORACLE = {"op10_exact_dedup": OP10_SQL}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .merkle import as_hex, build_manifest, leaf_digest, proof_text, proofs, verify
+    scratch = Scratch(spark, "op11")
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = docs.select("doc_id", "source", leaf_digest([F.col(f) for f in fields]).alias("leaf"),
+                       leaf_digest([*[F.col(f) for f in fields[:-1]], tampered]).alias("seen"))
+    found = verify(proofs(build_manifest(scratch.table(rows, "rows"), scratch), scratch), scratch, "seen")
+    return found.select("doc_id", *[as_hex(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")],
+                        F.sha2(proof_text(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+                        as_hex(F.col("folded_root")).alias("folded_root"), "verified")
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_rules
+    out = quality_rules(_table(spark, sf_dir, "documents"), Scratch(spark, "op12"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+QUERIES = {"op6_lm_score": op6_lm_score, "op1_embedding_dedup": op1_embedding_dedup, "op7_chat": op7_chat, "op9_html_text": op9_html_text, "op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup,
+           "op11_merkle_manifest": op11_merkle_manifest, "op12_quality_rules": op12_quality_rules}
+ORACLE = {"op10_exact_dedup": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op12_quality_rules": OP12_SQL}
