@@ -126,3 +126,76 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND failed.rid IS NULL AS kept
 FROM base LEFT JOIN failed USING (rid)
 """
+
+_ROLES = ["user", "user", "assistant", "user"]
+_NEXT = [2, 2, 3, 2]
+_KEPT = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+
+
+def _edit(cost: str, initial: str, state: str, line: str | None) -> str:
+    turns = f"{state}.o" if line is None else f"list_prepend({line}, {state}.o)"
+    return f"{{'c': {cost} + {state}.c, 'a': '{initial}' || {state}.a, 'o': {turns}}}"
+
+
+def _consumed(q: int) -> str:
+    """The best of the edits that consume a row in state q, by cost, then initials."""
+    gone = _edit("2", "D", f"s{q}", None)
+    named = _edit("1 + extra", "R", f"s{_NEXT[q]}", f"'{_ROLES[q]}:' || text")
+    kept = " ".join(f"WHEN initial = '{i}' THEN " + f"[{_edit('extra', 'K', f's{to}', chr(39).join(['role || ', ':', ' || text']))}]"
+                    for i, to in _KEPT[q].items())
+    return f"list_sort([{gone}] || CASE WHEN must_go THEN [] ELSE [{named}] || CASE {kept} ELSE [] END END)[1]"
+
+
+def _inserted(q: int) -> str:
+    """The best of going on at once, after one insertion, or after two."""
+    one = _edit("5", "I", f"b{_NEXT[q]}", f"'{_ROLES[q]}:'")
+    then = _NEXT[_NEXT[q]]
+    two = f"{{'c': 10 + b{then}.c, 'a': 'II' || b{then}.a, 'o': ['{_ROLES[q]}:', '{_ROLES[_NEXT[q]]}:'] || b{then}.o}}"
+    return f"list_sort([b{q}, {one}, {two}])[1]"
+
+
+OP13_SQL = rf"""
+WITH RECURSIVE
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_CRC32.format("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS k
+  FROM conversations),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM raw WHERE k <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, left(text, 64), sha256(text), copy) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n, left(role, 1) AS initial
+  FROM hurt),
+faults AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'ok' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM placed),
+seen AS (
+  SELECT *, fault IN ('blank', 'duplicate') AS must_go, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM faults),
+back AS (
+  SELECT DISTINCT conv_id, n + 1 AS i, {{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}} AS s0,
+         {{'c': 10::BIGINT, 'a': 'II', 'o': ['user:', 'assistant:']}} AS s1,
+         {{'c': 5::BIGINT, 'a': 'I', 'o': ['assistant:']}} AS s2, {{'c': 0::BIGINT, 'a': '', 'o': []::VARCHAR[]}} AS s3
+  FROM seen
+  UNION ALL
+  SELECT conv_id, i, {', '.join(_inserted(q) for q in range(4))}
+  FROM (SELECT r.conv_id, r.i, {', '.join(f'{_consumed(q)} AS b{q}' for q in range(4))}
+        FROM back JOIN seen r ON r.conv_id IS NOT DISTINCT FROM back.conv_id AND r.i = back.i - 1)),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM seen GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(s0.c, 0) AS cost, coalesce(s0.a, '') AS audit,
+       sha256(coalesce(array_to_string(s0.o, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) e
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+LEFT JOIN back b ON b.conv_id IS NOT DISTINCT FROM e.conv_id AND b.i = 1
+"""

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Scratch
-from .oracle import OP10_SQL, OP11_SQL, OP12_SQL
+from .oracle import OP10_SQL, OP11_SQL, OP12_SQL, OP13_SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +99,19 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .repair import damaged, repair_report
+    scratch = Scratch(spark, "op13")
+    turns = _table(spark, sf_dir, "conversations")
+    found = repair_report(damaged(turns), scratch)
+    every = turns.select(F.col("conv_id").alias("_id")).distinct()
+    # conversations that lost all their rows have nothing to report
+    out = every.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return out.select(F.col("_id").alias("conv_id"), *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {"op6_lm_score": op6_lm_score, "op1_embedding_dedup": op1_embedding_dedup, "op7_chat": op7_chat, "op9_html_text": op9_html_text, "op8_warc": op8_warc, "op4_language_id": op4_language_id, "op5_packing": op5_packing, "op2_mixing": op2_mixing, "op3_minhash_dedup": op3_minhash_dedup, "op10_exact_dedup": op10_exact_dedup,
-           "op11_merkle_manifest": op11_merkle_manifest, "op12_quality_rules": op12_quality_rules}
-ORACLE = {"op10_exact_dedup": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op12_quality_rules": OP12_SQL}
+           "op11_merkle_manifest": op11_merkle_manifest, "op12_quality_rules": op12_quality_rules, "op13_structure_repair": op13_structure_repair}
+ORACLE = {"op10_exact_dedup": OP10_SQL, "op11_merkle_manifest": OP11_SQL, "op12_quality_rules": OP12_SQL, "op13_structure_repair": OP13_SQL}
