@@ -207,9 +207,9 @@ def proofs(manifest: Manifest, scratch: Scratch, requests: DataFrame | None = No
     segment = _segment(F.col("children"), F.expr(f"cast(rank % {FANOUT} as int)"))
     path = F.when(F.col("lone"), F.col("path")).otherwise(F.array_append("path", segment))
     found = keyed.join(ends, ["group_rank", "up", "lone"]).withColumn("proof", F.reverse(path)).drop("up", "lone", "path", "children")
-    # a row a group, and one row
-    top = manifest.groups.select("group_rank", "subroot").crossJoin(F.broadcast(manifest.root.select(F.col("digest").alias("root"))))
-    return found.join(top, "group_rank")
+    one = manifest.root.first()
+    root = F.lit(None).cast("binary") if one is None else F.lit(bytes(one.digest))
+    return found.join(manifest.groups.select("group_rank", "subroot"), "group_rank").withColumn("root", root)
 
 
 def folded(leaf: Column, proof: Column) -> Column:

@@ -198,11 +198,10 @@ def group_fences(measured: DataFrame, scratch: Scratch, reach: int = 4, least_do
     levels = [(["lang", "source"], finest), (["lang"], by_lang), ([], merge(by_lang, []))]
     own, of_lang, of_all = [fences(quartiles(s, keys), keys, reach, least_docs, rules) for keys, s in levels]
     names = [c for c in own.columns if c not in ("lang", "source")]
-    rows = (own.alias("o").join(of_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
-            # one row, as it is grouped by nothing
-            .crossJoin(F.broadcast(of_all.alias("a"))))
+    rows = own.alias("o").join(of_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")), "left")
+    corpus = of_all.first()  # one row: it is grouped by nothing
     return scratch.table(rows.select("o.lang", "o.source", *[
-        F.coalesce(f"o.{c}", f"l.{c}", f"a.{c}").alias(c) for c in names]), "fences")
+        F.coalesce(F.col(f"o.{c}"), F.col(f"l.{c}"), F.lit(corpus[c]).cast("long")).alias(c) for c in names]), "fences")
 
 
 # --- the filter ----------------------------------------------------------------
