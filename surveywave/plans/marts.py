@@ -42,7 +42,15 @@ def mart_indicators(fact_indicators: DataFrame, dim_organization: DataFrame,
     (semi join on the small indicator dimension) so the shuffle carries less."""
     diq = dim_indicator_questions
     core_ids = diq.filter(F.col("is_core_dimension") == F.lit(True)).select("survey_indicator_id")
-    agg = flow_aggregate(fact_indicators.join(core_ids.distinct(), "survey_indicator_id", "left_semi")).alias("g")
+    agg = flow_aggregate(fact_indicators.join(core_ids.distinct(), "survey_indicator_id", "left_semi"))
+    return decorate_flow(agg, dim_organization, diq, dim_survey_definition, projects)
+
+
+def decorate_flow(flow: DataFrame, dim_organization: DataFrame, dim_indicator_questions: DataFrame,
+                  dim_survey_definition: DataFrame, projects: DataFrame) -> DataFrame:
+    """The flow aggregate with names and labels, core dimensions only."""
+    agg = flow.alias("g")
+    diq = dim_indicator_questions
     org = dim_organization.alias("o")
     ind = diq.alias("i")
     sdef = dim_survey_definition.alias("s")

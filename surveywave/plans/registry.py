@@ -188,7 +188,7 @@ from surveywave.plans import economic, questions, quality  # noqa: E402,F401
 
 
 # -- incremental refresh and late-arriving parents ------------------------------
-from surveywave.streaming import incremental, late_parents  # noqa: E402
+from surveywave.streaming import incremental, late_parents, maintain  # noqa: E402
 
 # Fixed parameters: surveys from 2000 on arrive as the new batch, with the late
 # responses of the two years before.
@@ -204,8 +204,27 @@ def _incremental_refresh(wh):
     return incremental.demo_refresh(wh, REFRESH_CUTOFF_EPOCH, REFRESH_LATE_EPOCH)
 
 
+@register("refresh_in_place", "select * from fact_indicators")
+def _refresh_in_place(wh):
+    """The published fact after the same rows came as three batches, each of
+    which replaced the buckets of its families only."""
+    return maintain.replayed(wh, REFRESH_CUTOFF_EPOCH, REFRESH_LATE_EPOCH).fact("fact_indicators")
+
+
+@register("delta_flow_aggregate", "select * from flow_aggregate")
+def _delta_flow_aggregate(wh):
+    """The flow aggregate kept by signed deltas through the three batches."""
+    return maintain.replayed(wh, REFRESH_CUTOFF_EPOCH, REFRESH_LATE_EPOCH).flow_aggregate()
+
+
+@register("delta_mart_indicators", "select * from mart_indicators")
+def _delta_mart_indicators(wh):
+    """The dashboard table from the state that the deltas keep."""
+    return maintain.replayed(wh, REFRESH_CUTOFF_EPOCH, REFRESH_LATE_EPOCH).mart_indicators(wh)
+
+
 @register("late_parent_resolution", """
-select p.id priority_id, p.snapshot_stoplight_id, r.snapshot_id
-from raw_snapshot_stoplight_priority p join raw_snapshot_stoplight r on p.snapshot_stoplight_id = r.id""")
+select p.id priority_id, p.snapshot_stoplight_id, r.snapshot_id, r.id is null is_orphan
+from raw_snapshot_stoplight_priority p left join raw_snapshot_stoplight r on p.snapshot_stoplight_id = r.id""")
 def _late_parent_resolution(wh):
     return late_parents.late_parent_resolution(wh)

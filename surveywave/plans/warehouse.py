@@ -65,6 +65,7 @@ class Warehouse:
         self.pg_padding = pg_padding
         self.stage_facts = stage_facts
         self._materializing = False
+        self.replayed = None  # streaming.maintain keeps its replay of this source here
         checkpoint_dir(spark)
         self._pinned: set[str] = set()
         self._models: dict[str, DataFrame] = {}

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surveywave.plans.warehouse import Warehouse
@@ -57,7 +57,7 @@ def restrict_to_snapshots(source, snapshots: DataFrame) -> OverrideSource:
     })
 
 
-def _by_family(df: DataFrame, families: DataFrame, how: str) -> DataFrame:
+def by_family(df: DataFrame, families: DataFrame, how: str) -> DataFrame:
     """Semi or anti join on family_id in which NULL matches NULL."""
     f = families.select(F.col("family_id").alias("_family"))
     return df.join(f, df["family_id"].eqNullSafe(f["_family"]), how)
@@ -101,40 +101,66 @@ def refresh_facts(wh_full: Warehouse, previous: dict[str, DataFrame], batch: dic
     ``previous`` holds both facts as they were; ``wh_full`` sees the complete
     raw data (previous + batch).  Only affected families are recomputed."""
     affected = wh_full.stage(affected_families(wh_full, previous, batch))
-    scoped = restrict_to_snapshots(wh_full.source, _by_family(wh_full.raw("snapshot"), affected, "left_semi"))
+    fresh = rebuilt_facts(wh_full, affected)
+    return {m: by_family(previous[m], affected, "left_anti").unionByName(fresh[m]) for m in models}
+
+
+def rebuilt_facts(wh_full: Warehouse, affected: DataFrame) -> dict[str, DataFrame]:
+    """Both facts over the raw rows of the affected families.  Dimensions are
+    read as ``wh_full`` sees them now; a batch does not restate them."""
+    scoped = restrict_to_snapshots(wh_full.source, by_family(wh_full.raw("snapshot"), affected, "left_semi"))
     wh_aff = Warehouse(wh_full.spark, scoped, epoch_unit=wh_full.epoch_unit)
     for dim in ("dim_family", "dim_organization", "dim_survey_definition", "stg_survey_stoplight"):
-        wh_aff.use(dim, wh_full.m(dim))   # dimensions are unchanged by the batch
-    return {m: _by_family(previous[m], affected, "left_anti").unionByName(wh_aff.m(m)) for m in models}
+        wh_aff.use(dim, wh_full.m(dim))
+    return {m: wh_aff.m(m) for m in ("fact_snapshots", "fact_indicators")}
 
 
-def demo_refresh(wh: Warehouse, cutoff_epoch: int, late_from_epoch: int) -> DataFrame:
-    """The refreshed fact_indicators after one batch that holds
+def replay(wh: Warehouse, cutoff_epoch: int, late_from_epoch: int) -> tuple[Warehouse, list[tuple[Warehouse, dict[str, DataFrame]]]]:
+    """The raw tables as three batches that came one after the other: the
+    Warehouse before them, and for each batch the Warehouse that sees the raw
+    rows with it, and its rows.
 
-    * every snapshot from ``cutoff_epoch`` on, with its responses,
-    * the responses of the snapshots from ``late_from_epoch`` up to the cutoff,
-      which come late, and all priorities and achievements on them,
-    * the snapshots before ``late_from_epoch`` whose family is told only now
-      (odd organizations) or has moved (even ones).
+    1. every snapshot from ``cutoff_epoch`` on, with its responses;
+    2. the responses of the snapshots from ``late_from_epoch`` up to the cutoff,
+       which come late, and all priorities and achievements on them;
+    3. the snapshots before ``late_from_epoch`` whose family is told only now
+       (odd organizations) or has moved (even ones).
     """
     snaps, responses = wh.raw("snapshot"), wh.raw("snapshot_stoplight")
     date = F.col("snapshot_date")
     new, late = date >= cutoff_epoch, (date >= late_from_epoch) & (date < cutoff_epoch)
     moved = (date < late_from_epoch) & (F.coalesce("project_id", F.lit(0)) == F.coalesce(F.col("organization_id"), F.lit(0)))
     untold = moved & (F.col("organization_id") % 2 == 1)
-    old = snaps.where(~F.coalesce(new, F.lit(False))).withColumn(
+    unmoved = snaps.withColumn(
         "family_id", F.when(untold, F.lit(None)).when(moved, F.col("family_id") + 1).otherwise(F.col("family_id")))
     late_ids = snaps.where(late).select(F.col("id").alias("snapshot_id"))
-    before = restrict_to_snapshots(wh.source, old)
-    before.overrides["snapshot_stoplight"] = before.table("snapshot_stoplight").join(late_ids, "snapshot_id", "left_anti")
-    wh_prev = Warehouse(wh.spark, before, epoch_unit=wh.epoch_unit)
-    previous = {m: wh_prev.m(m) for m in ("fact_snapshots", "fact_indicators")}
-
-    changed = snaps.where(F.coalesce(new | moved, F.lit(False)))
-    come = snaps.where(F.coalesce(new | late, F.lit(False))).select(F.col("id").alias("snapshot_id"))
-    arrived = responses.join(come, "snapshot_id", "left_semi")
-    rid = arrived.select(F.col("id").alias("snapshot_stoplight_id"))
-    batch = {"snapshot": changed, "snapshot_stoplight": arrived,
-             **{t: wh.raw(t).join(rid, "snapshot_stoplight_id", "left_semi")
-                for t in ("snapshot_stoplight_priority", "snapshot_stoplight_achievement")}}
-    return refresh_facts(wh, previous, batch)["fact_indicators"]
+
+    def seen(snapshots: DataFrame, with_late: bool) -> Warehouse:
+        source = restrict_to_snapshots(wh.source, snapshots)
+        if not with_late:
+            source.overrides["snapshot_stoplight"] = source.table("snapshot_stoplight").join(late_ids, "snapshot_id", "left_anti")
+        return Warehouse(wh.spark, source, epoch_unit=wh.epoch_unit)
+
+    def batch(of: Column) -> dict[str, DataFrame]:
+        ids = snaps.where(F.coalesce(of, F.lit(False))).select(F.col("id").alias("snapshot_id"))
+        arrived = responses.join(ids, "snapshot_id", "left_semi")
+        rid = arrived.select(F.col("id").alias("snapshot_stoplight_id"))
+        return {"snapshot_stoplight": arrived, **{t: wh.raw(t).join(rid, "snapshot_stoplight_id", "left_semi")
+                                                  for t in ("snapshot_stoplight_priority", "snapshot_stoplight_achievement")}}
+
+    before = seen(unmoved.where(~F.coalesce(new, F.lit(False))), False)
+    return before, [
+        (seen(unmoved, False), {"snapshot": snaps.where(F.coalesce(new, F.lit(False))), **batch(new)}),
+        (seen(unmoved, True), batch(late)),
+        (wh, {"snapshot": snaps.where(F.coalesce(moved, F.lit(False)))})]
+
+
+def demo_refresh(wh: Warehouse, cutoff_epoch: int, late_from_epoch: int) -> DataFrame:
+    """The refreshed fact_indicators after the three batches of ``replay`` as one."""
+    before, batches = replay(wh, cutoff_epoch, late_from_epoch)
+    whole: dict[str, DataFrame] = {}
+    for _, rows in batches:
+        for name, df in rows.items():
+            whole[name] = whole[name].unionByName(df) if name in whole else df
+    previous = {m: before.m(m) for m in ("fact_snapshots", "fact_indicators")}
+    return refresh_facts(wh, previous, whole)["fact_indicators"]

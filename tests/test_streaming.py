@@ -1,5 +1,6 @@
 """Incremental refresh against the full rebuild; late parents as a stream."""
 
+import os
 import tempfile
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from surveywave.plans.warehouse import Warehouse
 from surveywave.sources import open_source
 from surveywave.streaming.incremental import OverrideSource, refresh_facts, restrict_to_snapshots
-from surveywave.streaming.late_parents import RESOLVED_SCHEMA, resolve_late_parents
+from surveywave.streaming.late_parents import RESOLVED_SCHEMA, close, resolve_late_parents, stage_arrivals
 from tests.conftest import SF_SMALL
 
 MODELS = ("fact_snapshots", "fact_indicators")
@@ -72,20 +73,65 @@ def test_families_that_become_known_or_unknown(spark, now, full):
     _check(spark, full, restrict_to_snapshots(now, before), {"snapshot": snaps.where(turned)})
 
 
-def test_late_parents_batch_by_batch(spark):
-    """Ten arrivals; each priority's response comes two arrivals later.  A batch
-    reads the rows of its own arrival, however much has come before."""
+def _rows(spark, low, high, day, kind):
+    at = f"timestamp'2025-01-01' + make_interval(0, 0, 0, {day}) created_date"
+    if kind == "priority":
+        return spark.range(low, high).where("id >= 0").selectExpr("id", "id snapshot_stoplight_id", at)
+    return spark.range(low, high).where("id >= 0").selectExpr("id", "id * 10 snapshot_id", at)
+
+
+def test_late_parents_with_orphans_batch_by_batch(spark):
+    """Twelve days; the responses of a day's 100 priorities are synced two days
+    later, a tenth of them never.  Orphans come out once, when the watermark has
+    passed them, and the state stays as large as a few days."""
+    work = tempfile.mkdtemp(prefix="surveywave-late-")
+    arrivals, state, read = f"{work}/arrivals", [], []
+    for n in range(12):
+        parents = _rows(spark, (n - 2) * 100, (n - 1) * 100, n - 2, "response").where("id % 10 <> 0")
+        stage_arrivals(spark, arrivals, _rows(spark, n * 100, n * 100 + 100, n, "priority").coalesce(1), parents.coalesce(1))
+        query = resolve_late_parents(spark, arrivals, work, late="2 days", apart="1 hour")
+        state.append(query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"])
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+        assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 0
+    out = spark.read.schema(RESOLVED_SCHEMA).parquet(f"{work}/resolved")
+    assert max(state[5:]) <= state[4] and max(read) <= 200  # neither state nor reading grows with history
+    assert out.where("is_orphan and priority_id < 500").count() == 50  # before the stream is closed
+    close(spark, arrivals, "2 days", "1 hour")
+    last = resolve_late_parents(spark, arrivals, work, late="2 days", apart="1 hour")
+    assert last.recentProgress[-1]["stateOperators"][0]["numRowsTotal"] <= 1  # the tick itself
+    out = spark.read.schema(RESOLVED_SCHEMA).parquet(f"{work}/resolved")
+    got = {tuple(r) for r in out.collect()}
+    assert out.count() == len(got) == 1200
+    assert got == {(i, i, None, True) if i % 10 == 0 or i >= 1000 else (i, i, i * 10, False) for i in range(1200)}
+
+
+def test_a_replayed_batch_writes_once(spark):
+    work = tempfile.mkdtemp(prefix="surveywave-late-")
+    arrivals = f"{work}/arrivals"
+    stage_arrivals(spark, arrivals, _rows(spark, 0, 50, 0, "priority"), _rows(spark, 0, 40, 0, "response"))
+    resolve_late_parents(spark, arrivals, work)
+    close(spark, arrivals)
+    resolve_late_parents(spark, arrivals, work)
+    read = lambda: sorted(map(str, spark.read.schema(RESOLVED_SCHEMA).parquet(f"{work}/resolved").collect()))
+    before = read()
+    assert len(before) == 50
+    commits = [f for f in os.listdir(f"{work}/_checkpoint/commits") if f.isdigit()]
+    last = max(commits, key=int)  # as if the run had failed before its last commit
+    for f in (last, f".{last}.crc"):
+        os.path.exists(f"{work}/_checkpoint/commits/{f}") and os.remove(f"{work}/_checkpoint/commits/{f}")
+    resolve_late_parents(spark, arrivals, work)
+    assert read() == before
+
+
+def test_responses_before_priorities_and_rows_without_a_key(spark):
     work = tempfile.mkdtemp(prefix="surveywave-late-")
-    seen = []
-    for n in range(10):
-        arrived = spark.range(n * 100, n * 100 + 100).selectExpr("'priority' kind", "id", "id snapshot_stoplight_id", "cast(null as long) snapshot_id",
-                                                                 "current_timestamp() arrived_at")
-        parents = spark.range((n - 2) * 100, (n - 2) * 100 + 100).where("id >= 0").selectExpr(
-            "'response' kind", "id", "id snapshot_stoplight_id", "id * 10 snapshot_id", "current_timestamp() arrived_at")
-        arrived.unionByName(parents).coalesce(1).write.mode("append").parquet(f"{work}/arrivals")
-        query = resolve_late_parents(spark, f"{work}/arrivals", work)
-        seen.append(sum(p["numInputRows"] for p in query.recentProgress))
-        out = spark.read.schema(RESOLVED_SCHEMA).parquet(f"{work}/resolved")
-        assert out.count() == max(0, n - 1) * 100 and out.where("snapshot_id <> snapshot_stoplight_id * 10").count() == 0
-        assert out.select("priority_id").distinct().count() == out.count()
-    assert max(seen[3:]) <= 400  # both sides read the arrival's 200 rows, no history
+    arrivals = f"{work}/arrivals"
+    stage_arrivals(spark, arrivals, responses=_rows(spark, 0, 5, 0, "response"))
+    resolve_late_parents(spark, arrivals, work, apart="2000 days")
+    keyless = spark.createDataFrame([(100, None), (101, 3)], "id long, snapshot_stoplight_id long").withColumn("created_date", F.lit(None).cast("timestamp"))
+    stage_arrivals(spark, arrivals, priorities=_rows(spark, 0, 6, 1, "priority").unionByName(keyless))
+    resolve_late_parents(spark, arrivals, work, apart="2000 days")
+    close(spark, arrivals, apart="2000 days")
+    resolve_late_parents(spark, arrivals, work, apart="2000 days")
+    got = {r.priority_id: (r.snapshot_id, r.is_orphan) for r in spark.read.schema(RESOLVED_SCHEMA).parquet(f"{work}/resolved").collect()}
+    assert got == {**{i: (i * 10, False) for i in range(5)}, 5: (None, True), 100: (None, True), 101: (30, False)}
