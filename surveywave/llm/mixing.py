@@ -1,19 +1,32 @@
 """Mixing sources to target weights with a multivariate-hypergeometric tree.
 
 A block is one document.  Each source's target in words is turned into draws:
-whole passes over its blocks, each in a new permuted order, and a last pass
-that stops at the target (its last block is cut at a word, so the words taken
-equal the rounded target).  The number of draws of each source is its exact
-quota.  The quotas are split over the output shards by a binary tree: a node
-hands half of its draws to its left child, the counts by source following a
-multivariate hypergeometric law, until each leaf (shard) has an exact quota of
-every source.  Shard k takes the next quota of each source's permuted draws, so
-draws are disjoint by construction, and shuffles them locally.
-
-Scale: the permuted order is a hash, cut into buckets of about BUCKET_ROWS
-rows.  Prefix sums run over buckets first and over the rows of one bucket then,
-so no source, however hot, is sorted in one task.  What is gathered in one
-place has a row for each source, or for each source and bucket.
+whole passes over its blocks, each in a new permuted order, and a last pass that
+takes blocks as long as they fit.  What is then missing is filled by the one block
+left whose size comes nearest, or by none if that is nearer.  Only where the
+source is so small that this misses the target by more than `tolerance` is a
+block cut, after a word and with its white space as it is (never with
+tolerance=None).
+
+The number of draws of each source is its exact quota.  The quotas are split over
+the output shards by a binary tree: a node hands half of its draws to its left
+child, the counts by source following a multivariate hypergeometric law, until
+each leaf (shard) has an exact quota of every source and the place in the source's
+permuted draws where it starts.  A shard draws the blocks from there on, so draws
+are disjoint by construction, and shuffles them locally.
+
+Scale: there are as many shards as the words of the mix fill, of SHARD_WORDS
+each.  The permuted order is a hash, cut into buckets of about BUCKET_ROWS rows.
+Prefix sums run over buckets first and over the rows of one bucket then, so no
+source, however hot, is sorted in one task.  What is gathered in one place has a
+row for each source, or for each source and bucket.  A draw finds its shard by a
+join on cells of CELL draws, which hold the starts inside them.
+
+Edge cases.  NULL texts and texts without words have size 0 and are never drawn; a
+NULL source is a source of its own.  Very long texts are blocks like others.
+Repeated rows are blocks of their own; ties in the permuted order go by row.  An
+empty table gives an empty mix.  Columns of the input with the names used here do
+not clash.
 """
 
 from __future__ import annotations
@@ -26,8 +39,11 @@ from pyspark.sql import functions as F
 from .common import WORD, Scratch, hash128, with_row_key
 
 BUCKET_ROWS = 4096
-SHARD_LEVELS = 6
+SHARD_WORDS = 1 << 24  # about 100 MB of text
+LEAST_LEVELS = 3
+CELL = 256
 MOST_REPEATS = 3
+TOLERANCE = 0.001
 
 
 def n_words(text) -> F.Column:
@@ -76,25 +92,54 @@ def _halves(seed: int, level: int):
                 sd = np.sqrt(mean * (1 - have / total) * (total - draws) / max(1, total - 1))
                 got = int(min(high, max(low, round(rng.normal(mean, sd)))))
             left[k], total, draws = got, total - have, draws - got
-        return pd.DataFrame({"node": np.repeat([2 * node, 2 * node + 1], len(quota)),
-                             "sid": np.tile(frame["sid"].to_numpy(), 2), "quota": np.concatenate((left, quota - left))})
+        start = frame["start"].to_numpy(np.int64)
+        return pd.DataFrame({"node": np.repeat([2 * node, 2 * node + 1], len(quota)), "sid": np.tile(frame["sid"].to_numpy(), 2),
+                             "quota": np.concatenate((left, quota - left)), "start": np.concatenate((start, start + left))})
     return split
 
 
 def shard_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
-    """(sid, starts): where each shard's draws start in the source's order."""
-    tree = quotas.select(F.lit(0).cast("long").alias("node"), "sid", "quota")
+    """(node, sid, quota, start) of every shard that draws from a source: how
+    many draws, and where they start in the source's order."""
+    tree = quotas.select(F.lit(0).cast("long").alias("node"), "sid", "quota", F.lit(0).cast("long").alias("start"))
     for level in range(levels):
-        tree = tree.groupBy("node").applyInPandas(_halves(seed, level), "node long, sid long, quota long")
-    leaf = tree.groupBy("sid").agg(F.sort_array(F.collect_list(F.struct("node", "quota"))).alias("leaf"))
-    total = F.aggregate("leaf", F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(
-        acc, F.array(F.element_at(acc, -1) + x["quota"])))
-    return leaf.select("sid", total.alias("starts"))
-
-
-def mix_plan(base: DataFrame, scratch: Scratch, levels: int = SHARD_LEVELS, seed: int = 17,
-             most: int = MOST_REPEATS) -> tuple[DataFrame, DataFrame]:
-    """The draws (2**levels shards, levels of 1 or more) of base(_row, _key1, _key2, source, size), and its sources.
+        tree = tree.groupBy("node").applyInPandas(_halves(seed, level), "node long, sid long, quota long, start long").where("quota > 0")
+    return tree
+
+
+def _shards(drawn: DataFrame, leaves: DataFrame) -> DataFrame:
+    """drawn(sid, rank, ...) with the shard that each draw goes to."""
+    cells = F.sequence(F.expr(f"start div {CELL}"), F.expr(f"(start + quota - 1) div {CELL}"))
+    starts = leaves.select("sid", F.explode(cells).alias("cell"), F.struct("start", "node").alias("s")).groupBy("sid", "cell").agg(
+        F.collect_list("s").alias("starts"))
+    met = drawn.withColumn("cell", F.expr(f"rank div {CELL}")).join(starts, ["sid", "cell"])
+    latest = F.array_max(F.filter("starts", lambda s: s["start"] <= F.col("rank")))
+    return met.withColumn("shard", latest["node"]).drop("cell", "starts")
+
+
+def _last_picks(last: DataFrame, sources: DataFrame, scratch: Scratch, tolerance: float | None) -> DataFrame:
+    """The block of each source that fills up its last pass: sid, _row, rank and
+    words.  last: the draws of the last passes with part and before."""
+    fits = F.col("before") + F.col("size") <= F.col("part")
+    # the first block that does not fit has the rank of the draw that is missing
+    gaps = last.groupBy("sid").agg(
+        (F.first("part") - F.coalesce(F.max(F.when(fits, F.col("before") + F.col("size"))), F.lit(0))).alias("gap"),
+        F.min(F.when(~fits, F.struct("rank", "_row"))).alias("next"))
+    gaps = scratch.table(gaps.where("gap > 0"), "gaps")
+    rest = last.where(~fits).join(gaps, "sid")
+    best = rest.groupBy("sid").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")).alias("off"), "h", "_row", "size")).alias("best"))
+    picks = best.join(gaps, "sid").join(sources.select("sid", "target"), "sid")
+    off = F.least(F.col("best.off"), F.col("gap"))
+    whole = F.lit(True) if tolerance is None else off <= F.col("target") * tolerance
+    return picks.select(
+        "sid", F.when(whole, F.col("best._row")).otherwise(F.col("next._row")).alias("_row"), F.col("next.rank").alias("rank"),
+        F.when(~whole, F.col("gap")).when(F.col("best.off") < F.col("gap"), F.col("best.size")).alias("words")).where("words > 0")
+
+
+def mix_plan(base: DataFrame, scratch: Scratch, shard_words: int = SHARD_WORDS, seed: int = 17, most: int = MOST_REPEATS,
+             tolerance: float | None = TOLERANCE) -> tuple[DataFrame, DataFrame, int]:
+    """The draws of base(_row, _key1, _key2, source, size), its sources, and the
+    number of shards.
 
     Draws: _row, epoch, size, words (taken of this draw), shard, place (in the
     shard's shuffled order).  They depend on content, not on partitioning.
@@ -105,7 +150,8 @@ def mix_plan(base: DataFrame, scratch: Scratch, levels: int = SHARD_LEVELS, seed
     sources = scratch.table(sources.withColumns({
         "passes": F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(0).cast("long"),
         "part": F.when(F.col("source_size") > 0, words % F.col("source_size")).otherwise(0).cast("long")}), "sources")
-    blocks = sources.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
+    blocks, total = sources.agg(F.coalesce(F.sum("blocks"), F.lit(0)), F.coalesce(F.sum("target"), F.lit(0.0))).first()
+    levels = max(LEAST_LEVELS, int(total // shard_words).bit_length())
     bits = max(1, int(blocks // BUCKET_ROWS).bit_length())
 
     draws = (base.where("size > 0").join(sources.withColumnRenamed("source", "_s").select("_s", "sid", "passes", "part"),
@@ -127,20 +173,18 @@ def mix_plan(base: DataFrame, scratch: Scratch, levels: int = SHARD_LEVELS, seed
     drawn = draws.join(sums, cell).select(
         "_row", "epoch", "size", "sid", "h", "passes", "part", (F.col("c0") + F.row_number().over(inside) - 1).alias("rank"),
         (F.col("w0") + F.coalesce(F.sum("size").over(earlier), F.lit(0))).alias("before"))
-    whole = F.col("epoch") < F.col("passes")
-    drawn = drawn.where(whole | (F.col("before") < F.col("part"))).select(
-        "_row", "epoch", "size", "sid", "h", "rank",
-        F.when(whole, F.col("size")).otherwise(F.least("size", F.col("part") - F.col("before"))).alias("words"))
-    drawn = scratch.table(drawn, "drawn")
-
-    quotas = drawn.groupBy("sid").agg(F.count("*").alias("quota"))
-    starts = scratch.table(shard_quotas(quotas, levels, seed), "quotas")
-    steps = F.array(*[F.lit(1 << k) for k in reversed(range(levels))])
-    shard = F.aggregate(steps, F.lit(0), lambda low, step: F.when(  # binary search in the starts
-        F.element_at("starts", low + step + 1) <= F.col("rank"), low + step).otherwise(low))
-    placed = drawn.join(starts, "sid").select("_row", "epoch", "size", "words", shard.alias("shard"), "h")
+    drawn = scratch.table(drawn, "ranked")
+    last = drawn.where("epoch = passes")
+    picks = scratch.table(_last_picks(last, sources, scratch, tolerance), "picks")
+    columns = ["_row", "epoch", "size", "sid", "h", "rank"]
+    picked = last.drop("rank").join(picks, ["sid", "_row"]).select(*columns, "words")
+    whole = drawn.where("epoch < passes OR before + size <= part").select(*columns, F.col("size").alias("words"))
+    drawn = scratch.table(whole.unionByName(picked), "drawn")
+
+    leaves = scratch.table(shard_quotas(drawn.groupBy("sid").agg(F.count("*").alias("quota")), levels, seed), "quotas")
     local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), "h"), "_row", "epoch")
-    return placed.withColumn("place", F.row_number().over(local)).drop("h"), sources
+    placed = _shards(drawn, leaves).select("_row", "epoch", "size", "words", "shard", F.row_number().over(local).alias("place"))
+    return scratch.table(placed, "placed"), sources, 1 << levels
 
 
 def _base(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -149,40 +193,45 @@ def _base(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataF
                         F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
 
 
-def mix_report(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-               source_col: str = "source", levels: int = SHARD_LEVELS, seed: int = 17) -> DataFrame:
-    """One row per input row: doc_id, source, size, source_size, target, taken, draws.
-
-    NULL texts and texts without words have size 0 and are never drawn; a NULL
-    source is a source of its own.  Repeated rows are blocks of their own.
-    """
+def mix_report(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+               shard_words: int = SHARD_WORDS, seed: int = 17, tolerance: float | None = TOLERANCE) -> DataFrame:
+    """One row per input row: doc_id, source, size, source_size, target, taken
+    (words of all its draws) and draws (epoch, shard, place, words)."""
     base = scratch.table(_base(docs, id_col, text_col, source_col), "base")
-    draws, sources = mix_plan(base, scratch, levels, seed)
-    taken = draws.groupBy("_row").agg(F.sum("words").alias("taken"), F.count("*").alias("draws"))
+    draws, sources, _ = mix_plan(base, scratch, shard_words, seed, tolerance=tolerance)
+    draws = draws.groupBy("_row").agg(F.sum("words").alias("taken"), F.sort_array(F.collect_list(F.struct("epoch", "shard", "place", "words"))).alias("draws"))
     sources = sources.select(F.col("source").alias("_s"), "source_size", "target")
-    return (base.join(sources, F.col("source").eqNullSafe(F.col("_s"))).join(taken, "_row", "left")
+    return (base.join(sources, F.col("source").eqNullSafe(F.col("_s"))).join(draws, "_row", "left")
             .select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"),
-                    F.coalesce("draws", F.lit(0)).cast("long").alias("draws")))
+                    F.coalesce("draws", F.expr("array()")).alias("draws")))
+
+
+def _leading_words(text: F.Column, n: F.Column) -> F.Column:
+    """The text up to the end of its n-th word, white space as it is."""
+    words, spaces = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD)
+    return F.array_join(F.zip_with(F.slice(spaces, 1, n), F.slice(words, 1, n), F.concat), "")
 
 
-def mix_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text",
-                  source_col: str = "source", levels: int = SHARD_LEVELS, seed: int = 17) -> DataFrame:
+def mix_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                  shard_words: int = SHARD_WORDS, seed: int = 17, tolerance: float | None = None) -> DataFrame:
     """The mixed corpus: the columns of docs, a row for each draw, shard by
-    shard in the shard's shuffled order.  The one draw of a source that the
-    target cuts keeps its leading words joined by single spaces (n_chars, if
-    there is one, follows).  Documents without words are not drawn.
+    shard in the shard's shuffled order.  Documents are drawn whole, unless a
+    tolerance is given (n_chars, if there is one, follows a cut).
     """
     # a struct, as docs may have columns named like those of the draws
     stored = scratch.table(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")), "stored")
     k1, k2 = hash128(F.col("_doc")[id_col], F.col("_doc")[text_col])
     keyed = stored.select("_row", k1.alias("_key1"), k2.alias("_key2"), F.col("_doc")[source_col].alias("source"),
                           n_words(F.col("_doc")[text_col]).alias("size"))
-    draws, _ = mix_plan(scratch.table(keyed, "base"), scratch, levels, seed)
+    draws, _, shards = mix_plan(scratch.table(keyed, "base"), scratch, shard_words, seed, tolerance=tolerance)
     rows = stored.join(draws.hint("merge"), "_row")
-    rows = rows.repartition(F.col("shard")).sortWithinPartitions("shard", "place")
+    # by range, so shards follow each other and a partition is about one shard, with long texts or short ones
+    rows = rows.repartitionByRange(shards, "shard", "place").sortWithinPartitions("shard", "place")
+    if tolerance is None:
+        return rows.select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
     cut = F.col("words") < F.col("size")
     text = F.col("_doc")[text_col]
-    short = F.when(cut, F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), 1, F.col("words").cast("int")), " ")).otherwise(text)
+    short = F.when(cut, _leading_words(text, F.col("words").cast("int"))).otherwise(text)
     out = [short.alias(c) if c == text_col else
            F.when(cut, F.length(short)).otherwise(F.col("_doc")[c]).cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else
            F.col("_doc")[c].alias(c) for c in docs.columns]

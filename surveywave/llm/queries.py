@@ -28,7 +28,7 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .mixing import mix_report
     out = mix_report(_table(spark, sf_dir, "documents"), Scratch(spark, "op2"))
-    return out.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return out.select("doc_id", "size", "source_size", "target", "taken", "source", "draws")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
