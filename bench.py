@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from surveywave import build_session  # noqa: E402
 from surveywave.plans.registry import QUERIES  # noqa: E402
-from surveywave.plans.questions import wide  # noqa: E402
+from surveywave.plans.questions import store_wide_rollups, wide  # noqa: E402
 from surveywave.plans.warehouse import CORE_MODELS, DASHBOARD_MODELS, Warehouse  # noqa: E402
 from surveywave.sources import open_source  # noqa: E402
 
@@ -42,6 +42,7 @@ def main() -> None:
     wide(wh)  # register the wide follow-up mart as a model
     t0 = time.perf_counter()
     wh.materialize(out_root, CORE_MODELS + DASHBOARD_MODELS + ["mart_indicators_wide"])
+    store_wide_rollups(wh, f"{out_root}/rollups")
     times["build_marts"] = time.perf_counter() - t0
 
     for key in HEADLINE:

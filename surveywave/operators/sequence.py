@@ -5,23 +5,29 @@ Every ordered window of the survey model is one of: a running number
 the group size, or a whole-group max.  ``sequence`` computes them together, in
 the same way at every size:
 
-1. the rows are range-partitioned on (group, order) and stored with the number
-   of their partition, so every group lies in consecutive *chunks* and a group
-   that holds a third of all rows is cut into many;
+1. the rows are range-partitioned on (group, order), sorted and stored with the
+   number of their partition and their place in the order, so every group lies
+   in consecutive *chunks* and a group that holds a third of all rows is cut into
+   many;
 2. one window per (chunk, group) numbers the rows of a chunk;
 3. only the first and the last group of a chunk can go on in another one.  For
-   those, at most two a chunk, a summary of each piece gives the rows before it,
-   the value that precedes it and the group's first value, size and max.  It is
-   broadcast: two rows for each partition of the input are its bound.
-
-The store (a reliable checkpoint) is what makes a chunk mean the same rows in
-steps 2 and 3; range partitioning samples its borders anew for each plan.  The
-result equals the single window; no row is dropped or sampled, and nothing is
-counted or collected while the plan is built.
+   those, at most two a chunk, an aggregate over the stored rows gives the size,
+   ends and max of each piece (summed up before it is shuffled, so no row of a
+   hot group moves for it), and a prefix scan over the pieces the rows before
+   them, the value that precedes them and the group's first value, size and max.
+
+The store is a table in the shared folder, read by column: steps 2 and 3 see the
+same chunks, since range partitioning samples its borders anew for each plan.
+``store`` lets the caller own the table and remove it once the result is stored.
+The border groups and their pieces are two rows for each partition of the input;
+they are broadcast as long as that is at most BROADCAST_ROWS, and joined by a
+shuffle beyond.  The result equals the single window; no row is dropped or
+sampled, and nothing is counted or collected while the plan is built.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,9 +36,15 @@ from pyspark.sql import functions as F
 from surveywave.session import checkpoint_dir
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+BROADCAST_ROWS = 200_000
+
+
+def stored_table(df: DataFrame, path: str | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder: reliable, and read by column."""
+    spark = df.sparkSession
+    path = path or f"{checkpoint_dir(spark).rstrip('/')}/sequence-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _windows(df: DataFrame, keys, order, number, size, lag, first, group_max) -> list[Column]:
@@ -78,28 +90,28 @@ def sequence(
     first      out → source column: value on the first row of the group
     group_max  out → Column: max of that expression over the whole group
     ``order`` must be a total order (spell NULL placement explicitly).
-    ``store`` makes the ranged rows durable (a reliable checkpoint if not
-    given); ``chunks`` is the number of range partitions (the shuffle setting
+    ``store`` makes the ranged rows durable (a table in the shared folder if
+    not given); ``chunks`` is the number of range partitions (the shuffle setting
     if not given).
     """
     lag, first, group_max = lag or {}, first or {}, group_max or {}
     by = [*[F.col(g).asc_nulls_first() for g in group], *order]
     ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
-    ranged = (store or _stored)(ranged.withColumn("_chunk", F.spark_partition_id()))
+    ranged = ranged.sortWithinPartitions(*by).withColumns({"_chunk": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    ranged = (store or stored_table)(ranged)
 
     key = F.struct(*group)  # structs order like the range: NULL first
     ends = ranged.groupBy("_chunk").agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
-    border = ends.select(F.explode(F.array("_lo", "_hi")).alias("_g")).select("_g.*").distinct()
-    # two groups a chunk at most
-    pieces = _join(ranged, F.broadcast(border), group, "left_semi")
-
-    wall = Window.partitionBy("_chunk", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    facts = [F.count(F.lit(1)).over(wall).alias("_n")]
-    facts += [F.last(src).over(wall).alias(f"_last_{o}") for o, src in lag.items()]
-    facts += [F.first(src).over(wall).alias(f"_first_{o}") for o, src in first.items()]
-    facts += [F.max(expr).over(wall).alias(f"_max_{o}") for o, expr in group_max.items()]
-    names = ["_n", *[f"_last_{o}" for o in lag], *[f"_first_{o}" for o in first], *[f"_max_{o}" for o in group_max]]
-    pieces = pieces.select("_chunk", *group, *facts).groupBy("_chunk", *group).agg(*[F.first(n).alias(n) for n in names])
+    border = ends.select("_chunk", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_g"))
+    # the pieces of border groups, those in chunks that they only pass through too
+    border = border.select("_g.*").distinct()
+    count = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = F.broadcast if 2 * count <= BROADCAST_ROWS else lambda side: side  # two rows a chunk
+    pieces = _join(ranged, small(border), group, "left_semi").groupBy("_chunk", *group).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.max_by(src, "_at").alias(f"_last_{o}") for o, src in lag.items()],
+        *[F.min_by(src, "_at").alias(f"_first_{o}") for o, src in first.items()],
+        *[F.max(expr).alias(f"_max_{o}") for o, expr in group_max.items()])
 
     along = Window.partitionBy(*group).orderBy("_chunk")
     every = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -110,10 +122,10 @@ def sequence(
         *[F.first(f"_first_{o}").over(every).alias(f"_first_{o}") for o in first],
         *[F.max(f"_max_{o}").over(every).alias(f"_max_{o}") for o in group_max])
 
-    local = ranged.select("*", *_windows(ranged, ["_chunk", *group], order, "_l_number", size and "_l_size",
+    local = ranged.select("*", *_windows(ranged, ["_chunk", *group], [F.col("_at")], "_l_number", size and "_l_size",
                                          {f"_l_{o}": s for o, s in lag.items()}, {f"_l_{o}": s for o, s in first.items()},
                                          {f"_l_{o}": e for o, e in group_max.items()}))
-    joined = _join(local, F.broadcast(pieces), ["_chunk", *group], "left")
+    joined = _join(local, small(pieces), ["_chunk", *group], "left")
     cut = F.col("_before").isNotNull()
     outs = []
     if number:

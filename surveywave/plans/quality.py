@@ -245,6 +245,13 @@ for _key, _tests in [("dq_unique", {"unique"}), ("dq_not_null", {"not_null"}),
     register(_key, report_sql(_tests))((lambda t: lambda wh: run_checks(wh, t))(_tests))
 
 
+@register("dq_incremental_report", report_sql())
+def dq_incremental_report(wh):
+    """The report of ``dq_severity``, kept by counts through three batches."""
+    from surveywave.plans.quality_state import replayed_report
+    return replayed_report(wh)
+
+
 # -- percentage tables and the sum-to-100 test ----------------------------------
 def _pct_cols(score: str = "current_score") -> list[Column]:
     s = F.col(score)

@@ -7,6 +7,7 @@ where the operator is not expressible as one SQL statement.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from surveywave.oracle.models import oracle
 from surveywave.plans.warehouse import Warehouse
+from surveywave.session import checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -158,16 +160,33 @@ def _c_survey_type(wh):
                                  ["count", "avg_days_since_baseline"], ["survey_type"])
 
 
-@register("metric_query", f"""
+METRIC_QUERY_SQL = f"""
 select dimension_name, {INDICATOR_SQL['count']} count, {INDICATOR_SQL['pct_green']} pct_green,
        {INDICATOR_SQL['pct_red']} pct_red, {INDICATOR_SQL['avg_improvement_steps']} avg_improvement_steps
-from mart_indicators where is_last = true and snapshot_number > 1 group by all""")
+from mart_indicators where is_last = true and snapshot_number > 1 group by all"""
+# A request that groups, filters and orders: metrics, group columns, filters, order.
+METRIC_REQUEST = (["count", "pct_green", "pct_red", "avg_improvement_steps"], ["dimension_name"],
+                  [("is_last", "==", True), ("snapshot_number", ">", 1)], [("count", "desc"), ("dimension_name", "asc")])
+
+
+@register("metric_query", METRIC_QUERY_SQL)
 def _metric_query(wh):
-    return semantic.metric_query(
-        wh.m("mart_indicators"), "Indicators",
-        ["count", "pct_green", "pct_red", "avg_improvement_steps"], ["dimension_name"],
-        filters=[("is_last", "==", True), ("snapshot_number", ">", 1)],
-        order_by=[("count", "desc"), ("dimension_name", "asc")])
+    return semantic.metric_query(wh.m("mart_indicators"), "Indicators", *METRIC_REQUEST)
+
+
+# Fixed parameters: the requests of a dashboard page that rollups are chosen for.
+PAGE_REQUESTS = [METRIC_REQUEST[:3], (["count_green", "count_red"], ["hub_name"], [("is_last", "==", True)]),
+                 (["count", "achievement_rate"], ["hub_name", "dimension_name"], []), (["pct_green_baseline"], ["survey_title"], [])]
+
+
+@register("rollup_metric_query", METRIC_QUERY_SQL)
+def _rollup_metric_query(wh):
+    """The request of ``metric_query``, answered from the smallest of the rollups
+    that a dashboard page's requests are worth."""
+    rollups = semantic.indicator_rollups(wh.stage(wh.m("mart_indicators")))
+    root = f"{checkpoint_dir(wh.spark).rstrip('/')}/rollups-{uuid.uuid4().hex}"
+    rollups.store(root, rollups.choose([sorted(semantic.request_columns(*r)) for r in PAGE_REQUESTS], share=0.5))
+    return semantic.rollup_query(rollups, *METRIC_REQUEST)
 
 
 @register("scoped_metrics", f"""

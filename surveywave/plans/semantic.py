@@ -205,3 +205,40 @@ def scoped_metrics(mart_indicators: DataFrame, scope: DataFrame, metrics: Sequen
     small = mart_indicators.groupBy(*keys).agg(
         F.sum("family_count").cast("long").alias("family_count"), F.sum("net_change_numeric").alias("net_change_numeric"))
     return metric_query(scoped(small, scope), "Indicators", metrics, group_by)
+
+
+def metric_columns(metric: str) -> set[str]:
+    """The columns of the Indicators table, besides the sums, that a metric looks at."""
+    if metric == "priority_success_rate":
+        return {"is_priority", "current_label"}
+    if metric == "achievement_rate":
+        return {"has_achievement", "was_priority_in_previous"}
+    if metric in ("count", "avg_improvement_steps"):
+        return set()
+    flags = {"count_priorities": "is_priority", "count_achieved": "has_achievement"}
+    if metric in flags:
+        return {flags[metric]}
+    stage = metric.rsplit("_", 1)[-1]
+    return {f"{stage}_label" if stage in ("baseline", "previous") else "current_label"}
+
+
+_CALCULATED_FROM = {f"{stage}_label_ordered": f"{stage}_label" for stage in ("current", "baseline", "previous")}
+
+
+def request_columns(metrics: Sequence[str], group_by: Sequence[str] = (), filters: Sequence[tuple] = ()) -> set[str]:
+    """All columns that an Indicators request needs of a rollup."""
+    named = {_CALCULATED_FROM.get(c, c) for c in [*group_by, *[f[0] for f in filters]]}
+    return named.union(*[metric_columns(m) for m in metrics])
+
+
+def indicator_rollups(mart_indicators: DataFrame):
+    """Rollups of the dashboard table; its measures are sums already."""
+    from surveywave.plans.rollups import Rollups
+    return Rollups(mart_indicators, {c: (lambda c=c: F.col(c)) for c in ("family_count", "net_change_numeric")})
+
+
+def rollup_query(rollups, metrics: Sequence[str], group_by: Sequence[str] = (), filters: Sequence[tuple] = (),
+                 order_by: Sequence[tuple[str, str]] = (), limit: int | None = None) -> DataFrame:
+    """``metric_query`` on the smallest rollup that covers the request."""
+    rows = rollups.table(request_columns(metrics, group_by, filters))
+    return metric_query(rows, "Indicators", metrics, group_by, filters, order_by, limit)

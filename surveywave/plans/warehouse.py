@@ -66,6 +66,7 @@ class Warehouse:
         self.stage_facts = stage_facts
         self._materializing = False
         self.replayed = None  # streaming.maintain keeps its replay of this source here
+        self.wide_rollups = None  # and questions the rollups of the wide mart
         checkpoint_dir(spark)
         self._pinned: set[str] = set()
         self._models: dict[str, DataFrame] = {}
@@ -148,6 +149,7 @@ class Warehouse:
         beside the old one and takes its place when it is whole.  Later models
         and queries of this Warehouse read the stored tables."""
         self._models = {k: v for k, v in self._models.items() if k in self._pinned}
+        self.wide_rollups = None
         written: dict[str, str] = {}
         self._materializing = True
         try:
