@@ -209,7 +209,7 @@ def mix_report(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_c
 def _leading_words(text: F.Column, n: F.Column) -> F.Column:
     """The text up to the end of its n-th word, white space as it is."""
     words, spaces = F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.split(text, WORD)
-    return F.array_join(F.zip_with(F.slice(spaces, 1, n), F.slice(words, 1, n), F.concat), "")
+    return F.array_join(F.zip_with(F.slice(spaces, 1, n), F.slice(words, 1, n), lambda a, b: F.concat(a, b)), "")
 
 
 def mix_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
