@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from surveywave.functions.columns import date_key, mask_anonymous, surrogate_key
 from surveywave.plans.registry import register
 from surveywave.plans.warehouse import Warehouse
+from surveywave.streaming.incremental import OverrideSource
 
 # Question codes (normalised) and answer-type routing.
 INCOME_CODE = "householdmonthlyincome"
@@ -25,9 +26,18 @@ TEXT_TYPES = ["text", "select", "radio"]
 NUMBER_PATTERN = r"^[0-9]+\.?[0-9]*\z"
 
 
+def checkbox_options(c: Column) -> Column:
+    """The options of a checkbox answer, which the raw documents give as a JSON
+    array or as text with bars.  The value is read as a VARIANT; what is no JSON
+    array is text, a JSON number, string or object too.  NULL items are dropped
+    like empty ones."""
+    listed = F.try_variant_get(F.try_parse_json(c), "$", "array<string>")
+    return F.coalesce(F.when(c.rlike(r"^\s*\["), listed), F.split(c, r"\|"))
+
+
 def pipe_join(c: Column) -> Column:
     """Checkbox options → trimmed, de-duplicated, sorted, '|'-joined."""
-    opts = F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
+    opts = F.filter(F.transform(checkbox_options(c), lambda x: F.trim(x)), lambda x: x != "")
     return F.array_join(F.array_sort(F.array_distinct(opts)), "|")
 
 
@@ -144,6 +154,20 @@ def econ_checkbox_join(wh):
         "snapshot_economic_id", "snapshot_id", "value_text")
 
 
+@register("econ_checkbox_forms", FACT_ECON_SQL + """
+select snapshot_economic_id, snapshot_id, value_text from fact_economic where answer_type = 'checkbox'""")
+def econ_checkbox_forms(wh):
+    """The checkbox answers with every other one given as a JSON array, read
+    through the whole model: one result for both forms."""
+    raw = wh.raw("snapshot_economic")
+    given = F.coalesce("multiple_value", "value")
+    as_array = F.when((F.col("answer_type") == "checkbox") & (F.col("id") % 2 == 0), F.to_json(F.split(given, r"\|"))).otherwise(F.col("multiple_value"))
+    source = OverrideSource(wh.source, {"snapshot_economic": raw.withColumn("multiple_value", as_array)})
+    mixed = Warehouse(wh.spark, source, epoch_unit=wh.epoch_unit)
+    mixed.use("fact_snapshots", wh.m("fact_snapshots"))
+    return fact_economic(mixed).filter(F.col("answer_type") == "checkbox").select("snapshot_economic_id", "snapshot_id", "value_text")
+
+
 @register("econ_currency_attach", FACT_ECON_SQL + f"""
 select snapshot_id, family_id, cast(value_number as double) income, currency_code
 from fact_economic where code_name = '{INCOME_CODE}'""")

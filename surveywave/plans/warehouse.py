@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from surveywave.session import checkpoint_dir
 from surveywave.plans import dims, facts, marts
 from surveywave.plans.staging import STAGING
+from surveywave.plans.store import TableStore
 
 
 # Mart output names (aliases of the dashboard tables).
@@ -162,6 +163,28 @@ class Warehouse:
             self._materializing = False
         return written
 
+    def create_views(self, prefix: str = "", models=None) -> list[str]:
+        """Temporary views over models (the staging layer if none are named), for
+        SQL users: ``<prefix><model>``.  A view reads what the model reads, so
+        nothing is computed here; models stored since are views of their tables."""
+        names = list(STAGING) if models is None else list(models)
+        for name in names:
+            self.m(name).createOrReplaceTempView(f"{prefix}{name}")
+        return [f"{prefix}{name}" for name in names]
+
+    def publish(self, root: str, models=None, target: str = "dev", default_schema: str = "analytics") -> dict[str, TableStore]:
+        """Publish models as versions (``plans.store``): readers see whole tables
+        at any time, and one of two writers wins.  Paths are those of
+        ``materialize``; a table is replaced by a new version, never in place."""
+        done: dict[str, TableStore] = {}
+        for name in models or CORE_MODELS + DASHBOARD_MODELS:
+            layer = "dashboards" if name in DASHBOARD_MODELS else "core"
+            path = f"{root.rstrip('/')}/{output_schema(MODEL_SCHEMAS[layer], default_schema, target)}/{output_name(name)}"
+            done[name] = TableStore(self.spark, path)
+            start = (done[name].versions() or [0])[-1]  # before the model is computed
+            done[name].replace(self.m(name), start, by=PARTITION_COLUMNS.get(name, []), sort=CLUSTER_COLUMNS.get(name, []))
+        return done
+
     def _store(self, name: str, path: str) -> DataFrame:
         df = self.m(name)
         by, cluster = PARTITION_COLUMNS.get(name, []), CLUSTER_COLUMNS.get(name)

@@ -12,11 +12,17 @@ Two interchangeable sources expose ``table(name) -> DataFrame``:
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surveywave.sources.adapter import DriverAdapter
 from surveywave.sources.schemas import RAW_SCHEMAS
 
 
+# Text columns that raw documents also hold as arrays of text.
+ARRAY_OR_TEXT = [("snapshot_economic", "multiple_value")]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Asked of the path's own file system, so object stores and HDFS work."""
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -34,9 +40,22 @@ class ParquetRawSource:
             path = f"{self.root}/{name}"
             if not path_exists(self.spark, path) and path_exists(self.spark, path + ".parquet"):
                 path += ".parquet"
-            self._cache[name] = self.spark.read.schema(RAW_SCHEMAS[name]).parquet(path)
+            self._cache[name] = self._read(name, path)
         return self._cache[name]
 
+    def _read(self, name: str, path: str) -> DataFrame:
+        """With the declared schema.  A text column that the export has as an
+        array (checkbox answers) is read as such and given as JSON text."""
+        schema = RAW_SCHEMAS[name]
+        maybe = [c for t, c in ARRAY_OR_TEXT if t == name]
+        if not maybe:
+            return self.spark.read.schema(schema).parquet(path)
+        found = self.spark.read.parquet(path).schema  # a footer
+        arrays = [c for c in maybe if c in found.names and isinstance(found[c].dataType, T.ArrayType)]
+        fields = [T.StructField(f.name, found[f.name].dataType) if f.name in arrays else f for f in schema.fields]
+        df = self.spark.read.schema(T.StructType(fields)).parquet(path)
+        return df.withColumns({c: F.to_json(c) for c in arrays}) if arrays else df
+
 
 class FrameSource:
     """In-memory raw tables (tests, incremental batches)."""

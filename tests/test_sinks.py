@@ -77,3 +77,68 @@ def test_dimension_filter_reads_its_partition_only(spark):
     wh.materialize(tempfile.mkdtemp(prefix="surveywave-wide-"), ["mart_indicators_wide"])
     plan = wh.m("mart_indicators_wide").where("dimension_name = 'Income' and has_followup_data")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dimension_name" in plan and "PushedFilters: [IsNotNull(has_followup_data), EqualTo(has_followup_data,true)]" in plan
+
+
+def test_views_for_sql_users(spark):
+    wh = Warehouse(spark, open_source(spark, SF_SMALL))
+    names = wh.create_views("t_views_")
+    assert "t_views_stg_snapshots" in names and len(names) == 18
+    n = spark.sql("select count(*) n from t_views_stg_snapshots s join t_views_stg_families f using (family_id)").first().n
+    assert n == wh.m("stg_snapshots").join(wh.m("stg_families"), "family_id").count() > 0
+    wh.create_views("t_views_", ["dim_family"])
+    assert spark.table("t_views_dim_family").count() == wh.m("dim_family").count()
+
+
+def test_published_marts(spark):
+    wh = Warehouse(spark, open_source(spark, SF_SMALL))
+    out = tempfile.mkdtemp(prefix="surveywave-publish-")
+    models = ["dim_family", "mart_surveys"]
+    stores = wh.publish(out, models)
+    assert stores["mart_surveys"].path.endswith("/superset/Surveys")
+    old = stores["mart_surveys"].read()
+    again = wh.publish(out, models)["mart_surveys"]
+    want = sorted(map(str, wh.m("mart_surveys").collect()))
+    assert again.versions() == [1, 2] and sorted(map(str, old.collect())) == sorted(map(str, again.read().collect())) == want
+    plan = again.read().where("is_last")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+
+
+def test_array_answers_read_back_as_text(spark):
+    from surveywave.sources.reader import ParquetRawSource, write_raw
+    out = tempfile.mkdtemp(prefix="surveywave-raw-")
+    driver = open_source(spark, SF_SMALL)
+    write_raw(driver, out, ["snapshot_economic"])
+    array = spark.read.parquet(f"{out}/snapshot_economic").selectExpr("* except (multiple_value)", "array('a', null, ' b|c') multiple_value")
+    array.write.parquet(f"{out}/arrays/snapshot_economic")
+    got = ParquetRawSource(spark, f"{out}/arrays").table("snapshot_economic")
+    assert got.schema["multiple_value"].dataType.simpleString() == "string"
+    assert got.select("multiple_value").distinct().collect()[0][0] == '["a",null," b|c"]'
+    assert ParquetRawSource(spark, out).table("snapshot_economic").schema["multiple_value"].dataType.simpleString() == "string"
+
+
+def test_checkbox_forms(spark):
+    from pyspark.sql import functions as F
+    from surveywave.plans.economic import pipe_join
+    given = [("B| a |B", "B|a"), ('["B"," a ","B"]', "B|a"), ("[]", ""), ('["x|y", null, ""]', "x|y"), ("[not json", "[not json"),
+             ('{"k":1}', '{"k":1}'), ("", ""), (None, None), ("12", "12"), ('[1, "b"]', "1|b")]
+    df = spark.createDataFrame(given, "given string, want string")
+    assert df.where(~pipe_join(F.col("given")).eqNullSafe(F.col("want"))).collect() == []
+
+
+def test_dictionary_of_values_under_insert_and_delete(spark):
+    from surveywave.plans.dictionary import ValueDictionary
+    known = ValueDictionary(spark, tempfile.mkdtemp(prefix="surveywave-dict-") + "/d", ["a", "b"], buckets=4)
+    rows = [("x", 1), ("x", 2), (None, 2), ("y", None)]
+    df = lambda r: spark.createDataFrame(r, "a string, b long")
+    seen = lambda: sorted(map(str, known.values().collect()))
+    want = lambda r: sorted(map(str, df(r).selectExpr("'a' field", "a value").union(df(r).selectExpr("'b' field", "cast(b as string)")).distinct().collect()))
+    known.apply(df(rows))
+    assert seen() == want(rows)
+    before = known.store.version()
+    known.apply(deleted=df(rows[:1]))
+    assert seen() == want(rows[1:])  # x is still there, 1 is not
+    assert any(known.store.version().folders.get(b) == f for b, f in before.folders.items())
+    known.apply(df([("z", 9)]), df(rows[1:]))
+    assert seen() == want([("z", 9)]) and known.values("a").collect()[0].value == "z"
+    known.apply(deleted=df([("z", 9)]))
+    assert seen() == [] and known.apply() is not None
