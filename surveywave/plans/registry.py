@@ -24,15 +24,14 @@ class Query:
     key: str
     build: Callable[[Warehouse], DataFrame]
     sql: str | None
-    note: str = ""
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def register(key: str, sql: str | None, note: str = ""):
+def register(key: str, sql: str | None):
     def deco(fn: Callable[[Warehouse], DataFrame]):
-        QUERIES[key] = Query(key, fn, oracle(sql) if sql is not None else None, note)
+        QUERIES[key] = Query(key, fn, oracle(sql) if sql is not None else None)
         return fn
     return deco
 

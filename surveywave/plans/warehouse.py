@@ -14,6 +14,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 
 from surveywave.session import checkpoint_dir
+from surveywave.operators.sequence import stored_table
 from surveywave.plans import dims, facts, marts
 from surveywave.plans.staging import STAGING
 from surveywave.plans.store import TableStore
@@ -66,6 +67,7 @@ class Warehouse:
         self.pg_padding = pg_padding
         self.stage_facts = stage_facts
         self._materializing = False
+        self._ranged: list[str] = []  # ranged rows of facts that materialize is about to store
         self.replayed = None  # streaming.maintain keeps its replay of this source here
         self.wide_rollups = None  # and questions the rollups of the wide mart
         checkpoint_dir(spark)
@@ -87,11 +89,11 @@ class Warehouse:
                 self.m("stg_survey_stoplight"), self.m("stg_survey_stoplight_indicator"),
                 self.m("stg_survey_stoplight_color"), self.m("stg_survey_stoplight_dimension"),
                 self.m("stg_translations")),
-            "fact_snapshots": lambda: self.stage_output(facts.fact_snapshots(self.m("stg_snapshots"))),
-            "fact_indicators": lambda: self.stage_output(facts.fact_indicators(
+            "fact_snapshots": lambda: self._fact(lambda store: facts.fact_snapshots(self.m("stg_snapshots"), store)),
+            "fact_indicators": lambda: self._fact(lambda store: facts.fact_indicators(
                 self.m("fact_snapshots"), self.m("stg_snapshot_stoplight"), self.m("stg_survey_stoplight"),
                 self.m("dim_family"), self.m("dim_organization"), self.m("dim_survey_definition"),
-                self.m("stg_snapshot_stoplight_priority"), self.m("stg_snapshot_stoplight_achievement"))),
+                self.m("stg_snapshot_stoplight_priority"), self.m("stg_snapshot_stoplight_achievement"), store)),
             "mart_indicators": lambda: marts.mart_indicators(
                 self.m("fact_indicators"), self.m("dim_organization"), self.m("dim_indicator_questions"),
                 self.m("dim_survey_definition"), self.m("stg_projects")),
@@ -135,10 +137,30 @@ class Warehouse:
         checkpoint).  The source system materialises facts as tables too."""
         return df.checkpoint(eager=True) if self.stage_facts else df
 
-    def stage_output(self, df: DataFrame) -> DataFrame:
-        """A fact's output: checkpointed, unless ``materialize`` is about to
-        write it (the stored table cuts the lineage instead)."""
-        return df if self._materializing else self.stage(df)
+    def _fact(self, build: Callable[[Callable[[DataFrame], DataFrame]], DataFrame]) -> DataFrame:
+        """A fact, checkpointed, unless ``materialize`` is about to write it (the
+        stored table cuts the lineage instead).  The ranged rows that its windows
+        are made from are tables of their own, removed as soon as the fact is
+        stored; without staging they stay, as the fact still reads them."""
+        held: list[str] = []
+
+        def store(df: DataFrame) -> DataFrame:
+            held.append(f"{checkpoint_dir(self.spark).rstrip('/')}/sequence-{uuid.uuid4().hex}")
+            return stored_table(df, held[-1])
+
+        df = build(store)
+        if self._materializing:
+            self._ranged += held
+            return df
+        if self.stage_facts:
+            df = self.stage(df)
+            self._remove(held)
+        return df
+
+    def _remove(self, paths: list[str]) -> None:
+        for p in paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     # -- sinks ------------------------------------------------------------
     def materialize(self, out_root: str, models=None, target: str = "dev",
@@ -152,6 +174,7 @@ class Warehouse:
         self._models = {k: v for k, v in self._models.items() if k in self._pinned}
         self.wide_rollups = None
         written: dict[str, str] = {}
+        stored: set[str] = set()
         self._materializing = True
         try:
             for name in models or CORE_MODELS + DASHBOARD_MODELS:
@@ -159,8 +182,13 @@ class Warehouse:
                 out_schema = output_schema(MODEL_SCHEMAS[layer], default_schema, target)
                 written[name] = f"{out_root.rstrip('/')}/{out_schema}/{output_name(name)}"
                 self._models[name] = self._store(name, written[name])
+                stored.add(name)
         finally:
             self._materializing = False
+            # what was built on the way and not stored is built anew when it is asked for
+            self._models = {k: v for k, v in self._models.items() if k in self._pinned or k in stored}
+            self._remove(self._ranged)
+            self._ranged = []
         return written
 
     def create_views(self, prefix: str = "", models=None) -> list[str]:
