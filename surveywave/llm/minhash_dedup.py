@@ -11,13 +11,22 @@ Scale:
 * a table key is written out only where both its parts are shared, and buckets
   are named so that near copies share names, so a node alone costs 2 * parts
   short rows and one in a group a few keys more;
-* buckets are stars around their least node, never pairs; the nodes that hang
-  together through buckets form clusters, and only there are texts compared;
-* a cluster is compared in tiles of a bounded number of texts and shingles, as
-  an incidence matrix product inside the task; large clusters are cut by size
-  band (texts linked at 0.8 differ by at most one band of ratio 1.25) and by
-  hash into several tiles.  Tiles return a spanning forest of their links, so
-  no list of pairs exists anywhere, and nothing is capped.
+* buckets are stars around their least node, never pairs.  The edges of the
+  stars are verified first, on full shingle sets, and the nodes they link are one
+  part; copies of a text, however many, are linked through their centres.  What
+  moves for it is a set for each end of an edge, a few copies of a text;
+* parts that hang together through buckets form a cluster.  Only there are texts
+  compared further, in tiles of a bounded number
+  of texts and shingles, as an incidence matrix product inside the task.  Tiles
+  are cut by size band (texts linked at 0.8 differ by at most one band of ratio
+  1.25), and blocks of one large part are not compared with each other, so the
+  many near copies of a text meet only what is not linked to them yet.  Tiles
+  return a spanning forest of their links, so no list of pairs exists anywhere,
+  and nothing is capped.
+
+Edge cases.  NULL and empty texts and texts without words have no shingles and
+link with nothing.  Very long texts are read whole.  Of ties the least doc_id
+names a component; repeated rows share one.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,16 +35,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import Scratch, with_row_key
 from .components import connected_components
 from .shingles import mix64, shingle_sets
-from .streams import groups
+from .streams import arrow_groups
 
 TILE_TEXTS = 256
 TILE_SHINGLES = 2_000_000
@@ -90,16 +98,31 @@ def _signatures(size: int, tensor: Tensor):
     return run
 
 
-def _tile_links(size: int, percent: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for tile in groups(frames, "tile"):
-            nodes = tile["node"].to_numpy()
-            if len(nodes) < 2:
+def _sets(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                sets = shingle_sets(part.column("_t").to_pylist(), size)
+                ends = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(_signed(np.concatenate(sets))))], ["node", "shingles"])
+            pa.default_memory_pool().release_unused()
+    return run
+
+
+def _tile_links(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in arrow_groups(batches, "tile"):
+            nodes, part = tile["node"].to_numpy(), tile["part"].to_numpy()
+            if (part == part[0]).all():  # linked already
                 continue
-            label = linked_labels(shingle_sets(tile["_t"].tolist(), size), percent)
+            column = tile["shingles"].combine_chunks()
+            values, ends = column.flatten().to_numpy(), column.value_lengths().to_numpy().cumsum()
+            label = linked_labels(np.split(values, ends[:-1]), percent)
             moved = np.flatnonzero(label != np.arange(len(label)))
             if len(moved):
-                yield pd.DataFrame({"u": nodes[moved], "v": nodes[label[moved]]})
+                yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], ["u", "v"])
     return run
 
 
@@ -133,9 +156,8 @@ def linked_labels(sets: list[np.ndarray], percent: int) -> np.ndarray:
         label = new
 
 
-def candidate_clusters(nodes: DataFrame, scratch: Scratch, tensor: Tensor) -> DataFrame:
-    """(node, cluster): nodes that hang together through tensored tables.
-    Nodes that meet no other are left out.
+def candidate_edges(nodes: DataFrame, scratch: Scratch, tensor: Tensor) -> DataFrame:
+    """(u, v): from each node to the least one of each bucket of a tensored table.
 
     A part's bucket is named by its least node.  Two nodes that share A_i and
     B_j share the names of both buckets, so the table keyed by the two names
@@ -155,31 +177,73 @@ def candidate_clusters(nodes: DataFrame, scratch: Scratch, tensor: Tensor) -> Da
     # a star around the least node of each key: n nodes give n - 1 edges
     least = table.groupBy("a", "b").agg(F.min("node").alias("v"), F.max("node").alias("top")).where("v < top").drop("top")
     edges = table.join(least.hint("merge"), ["a", "b"]).where("node <> v").select(F.col("node").alias("u"), "v")
-    return connected_components(edges, scratch).select("node", F.col("component").alias("cluster"))
+    return scratch.table(edges.distinct(), "edges")
+
+
+def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The edges whose ends link on their full sets."""
+    def end(c: str) -> DataFrame:
+        return sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s_{c}"))
+    # a hot centre is the many side's key of the second join, which AQE may split
+    both = edges.join(end("u").hint("merge"), "u").join(end("v").hint("merge"), "v")
+    common = F.size(F.array_intersect("s_u", "s_v"))
+    return both.where(100 * common >= percent * (F.size("s_u") + F.size("s_v") - common)).select("u", "v")
 
 
 def _tiles(members: DataFrame) -> DataFrame:
-    """One row for each tile that a member (node, cluster, n_shingles) is in."""
+    """One row for each tile that a member (node, cluster, part, n_shingles) is in.
+
+    Small clusters are one tile.  In a large one the members of each size band
+    are cut into blocks, a large part's by themselves and numbered in a row, so
+    that a member leaves out the blocks from the first to the last of its part.
+    """
     half_texts, half_shingles = TILE_TEXTS // 2, TILE_SHINGLES // 2
     members = members.withColumn("band", F.floor(F.log(F.col("n_shingles")) / F.log(F.lit(1.25))))
     whole = members.groupBy("cluster").agg(F.count("*").alias("c_n"), F.sum("n_shingles").alias("c_s"))
-    bands = members.groupBy("cluster", "band").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("s")).select(
-        "cluster", "band", F.ceil(F.greatest(F.col("n") / half_texts, F.col("s") / half_shingles)).alias("cuts"))
     small = (F.col("c_n") <= TILE_TEXTS) & (F.col("c_s") <= TILE_SHINGLES)
     members = members.join(whole, "cluster")
     one = members.where(small).select("node", F.xxhash64("cluster", F.lit(-1)).alias("tile"))
-    big = members.where(~small).select("node", "cluster", "band")
-    near = lambda shift, name: bands.select("cluster", (F.col("band") + shift).alias("band"), F.col("cuts").alias(name))
-    big = (big.join(near(0, "cuts"), ["cluster", "band"])
-           .join(near(1, "below"), ["cluster", "band"], "left").join(near(-1, "above"), ["cluster", "band"], "left")
-           .withColumn("cut", F.pmod(F.xxhash64("node"), F.col("cuts"))))
-    upto = lambda n: F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0).cast("long"), n - 1)).otherwise(
-        F.array().cast("array<bigint>"))
+    big = members.where(~small).select("node", "cluster", "part", "band", "n_shingles")
+
+    cell = ["cluster", "band", "owner"]
+    parts = big.groupBy("cluster", "band", "part").agg(F.count("*").alias("p_n"), F.sum("n_shingles").alias("p_s"))
+    # parts that fill half a tile own their blocks; the others share the cell's pool (-1)
+    owner = F.when((F.col("p_n") >= half_texts) | (F.col("p_s") >= half_shingles), F.col("part")).otherwise(F.lit(-1))
+    parts = parts.withColumn("owner", owner)
+    owners = parts.groupBy(*cell).agg(F.sum("p_n").alias("n"), F.sum("p_s").alias("s")).withColumn(
+        "cuts", F.ceil(F.greatest(F.col("n") / half_texts, F.col("s") / half_shingles)).cast("long"))
+    row = Window.partitionBy("cluster", "band")
+    owners = owners.select(*cell, "cuts", (F.sum("cuts").over(row.orderBy("owner")) - F.col("cuts")).alias("first"), F.sum("cuts").over(row).alias("blocks"))
+    big = big.join(parts.select("cluster", "band", "part", "owner"), ["cluster", "band", "part"]).join(owners, cell)
+    big = big.withColumn("block", F.col("first") + F.pmod(F.xxhash64("node"), F.col("cuts")))
+
+    def beside(shift: int, name: str) -> None:
+        """The blocks of a band and where those of the own part lie in it."""
+        nonlocal big
+        at = (F.col("band") + shift).alias("band")
+        big = big.join(owners.select("cluster", at, F.col("blocks").alias(name)).distinct(), ["cluster", "band"], "left")
+        big = big.join(owners.select("cluster", at, "owner", F.col("first").alias(f"{name}_lo"), (F.col("first") + F.col("cuts")).alias(f"{name}_hi")),
+                       cell, "left")
+
+    for shift, name in ((0, "own"), (1, "below"), (-1, "above")):
+        beside(shift, name)
+    none = F.array().cast("array<bigint>")
+
+    def others(name: str):
+        """Block numbers of a band but for those of the own part, if it owns any."""
+        def upto(low, high):
+            return F.when(low < high, F.sequence(low, high - 1)).otherwise(none)
+        zero = F.lit(0).cast("long")
+        mine = (F.col("owner") >= 0) & F.col(f"{name}_lo").isNotNull()
+        every = upto(zero, F.coalesce(F.col(name), zero))
+        return F.when(mine, F.concat(upto(zero, F.col(f"{name}_lo")), upto(F.col(f"{name}_hi"), F.col(name)))).otherwise(every)
+
     named = lambda kind, band, a, b: F.xxhash64("cluster", F.lit(kind), band, a, b)
+    block = F.col("block")
     tiles = F.concat(
-        F.transform(upto(F.col("cuts")), lambda o: named(0, F.col("band"), F.least("cut", o), F.greatest("cut", o))),
-        F.transform(upto(F.col("below")), lambda o: named(1, F.col("band") - 1, o, F.col("cut"))),
-        F.transform(upto(F.col("above")), lambda o: named(1, F.col("band"), F.col("cut"), o)))
+        F.transform(others("own"), lambda o: named(0, F.col("band"), F.least(block, o), F.greatest(block, o))),
+        F.transform(others("below"), lambda o: named(1, F.col("band") - 1, o, block)),
+        F.transform(others("above"), lambda o: named(1, F.col("band"), block, o)))
     return one.unionByName(big.select("node", F.explode(tiles).alias("tile")))
 
 
@@ -212,14 +276,25 @@ def minhash_dedup(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", tex
         "r.doc_id").alias("least_id"), "r._key1", "r._key2", "r.keys"), "nodes")
 
     # what grows with the documents is joined by shuffle at every size
-    members = nodes.select("node", "n_shingles", "_key1", "_key2").join(
-        candidate_clusters(nodes.select("node", "keys"), scratch, tensor).hint("merge"), "node")
-    members = scratch.table(members, "members")
+    edges = candidate_edges(nodes.select("node", "keys"), scratch, tensor)
+    ends = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    members = scratch.table(nodes.select("node", "n_shingles", "_key1", "_key2").join(ends.hint("merge"), "node"), "members")
     keys = ["_key1", "_key2"]
     texts = source.drop("doc_id").join(members.select("node", *keys).hint("merge"), keys).dropDuplicates(keys).select("node", "_t")
-    tiled = _tiles(members.select("node", "cluster", "n_shingles")).join(texts.hint("merge"), "node").select("tile", "node", "_t")
-    links = tiled.repartition("tile").sortWithinPartitions("tile").mapInPandas(_tile_links(shingle, percent), "u long, v long")
-    found = connected_components(scratch.table(links, "links"), scratch)
+    sets = scratch.table(texts.mapInArrow(_sets(shingle), "node long, shingles array<long>"), "sets")
+    stars = scratch.table(verified(edges, sets, percent), "stars")
+
+    # parts that share a bucket hang together; a part alone is whole already
+    linked = connected_components(stars, scratch).select("node", F.col("component").alias("part"))
+    placed = scratch.table(members.select("node", "n_shingles").join(linked.hint("merge"), "node", "left").withColumn(
+        "part", F.coalesce("part", "node")), "parts")
+    part_of = {c: placed.select(F.col("node").alias(c), F.col("part").alias(f"p_{c}")).hint("merge") for c in ("u", "v")}
+    across = edges.join(part_of["u"], "u").join(part_of["v"], "v").where("p_u <> p_v").select(F.col("p_u").alias("u"), F.col("p_v").alias("v"))
+    clusters = connected_components(across, scratch).select(F.col("node").alias("part"), F.col("component").alias("cluster"))
+    rest = scratch.table(placed.join(clusters.hint("merge"), "part").select("node", "n_shingles", "part", "cluster"), "rest")
+    tiled = _tiles(rest).join(rest.select("node", "part").hint("merge"), "node").join(sets.hint("merge"), "node").select("tile", "node", "part", "shingles")
+    links = tiled.repartition("tile").sortWithinPartitions("tile").mapInArrow(_tile_links(percent), "u long, v long")
+    found = connected_components(scratch.table(stars.unionByName(links), "links"), scratch)
 
     placed = nodes.join(found, "node", "left").select(
         "s1", "s2", "n_shingles", "least_id", F.coalesce("component", "node").alias("component"))
