@@ -14,6 +14,12 @@ each language with the least hash (deterministic, whole texts).  Gram sets are
 made on the executors and only those of the sample reach the driver: at most
 languages * per_language * 266,304 numbers, about 2,000 a text in practice.
 Scoring reads every whole text once, without a shuffle.
+
+Edge cases.  NULL texts and texts without a letter are `und`; so is every text if
+nothing could be learned, as from an empty table.  Very long texts are read whole;
+their gram sets are bounded.  Of languages with equal scores the first by name is
+predicted.  Repeated rows get equal results; rows that tie in the sample's hash
+are told apart by their content, and repeated ones may be in it more than once.
 """
 
 from __future__ import annotations

@@ -11,6 +11,11 @@ few ids as sequences whose lengths are powers of two, which need no padding.
 
 Memory: a batch of texts, the open windows and a bounded cache of word ids.
 The text is read once and not shuffled; what moves is the open windows.
+
+Edge cases.  NULL and empty texts are the end id alone.  A very long text fills
+window after window, and its words are encoded some MB at a time.  Of open
+windows with equal room the one opened first is taken.  Repeated rows are packed
+each.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

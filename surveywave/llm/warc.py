@@ -13,6 +13,10 @@ lines its payload has.  A reader holds one record, not a file.
 
 Only the payload rows move (once, to meet the response headers); revisits and
 the group of copies of a payload are headers.
+
+Edge cases.  A very long payload is one record, held whole in a task.  Of copies
+that tie in page_id the one with the greatest url is the response.  An empty table
+gives archives without records, and reading those gives no rows.
 """
 
 from __future__ import annotations
