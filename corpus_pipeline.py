@@ -45,12 +45,15 @@ def minhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each draw of the mix, up to three of a document, in shuffled order."""
+    """A row for each draw of the mix, up to three of a document, whole and in
+    shuffled order.  NULL texts and texts without words are never drawn; a source
+    that is NULL is a source of its own.  No documents give no rows."""
     return mix_documents(docs, Scratch(spark, "stage-mixing"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed pieces with their token ids; a draw of a document is packed as a document."""
+    """The packed pieces with their token ids; a draw of a document is packed as a
+    document.  A NULL text is its end id alone.  No documents give no pieces."""
     import public_tokenizers
     return pack_documents(docs, Scratch(spark, "stage-packing"), public_tokenizers.path("word_bpe_49k.json"))
 
