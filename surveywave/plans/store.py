@@ -138,6 +138,8 @@ class TableStore:
             # rows of a bucket meet, but a bucket that is too large is split again (AQE)
             df = df.withColumn(BUCKET, bucket_of(keys, buckets)).hint("rebalance", BUCKET)
             parts = [BUCKET, *parts]
+        elif parts:
+            df = df.hint("rebalance", *parts)
         if parts or sort:
             df = df.sortWithinPartitions(*parts, *sort)
         writer = df.write.options(**(options or {}))

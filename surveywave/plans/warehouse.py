@@ -113,6 +113,7 @@ class Warehouse:
         """Pin a model to a given DataFrame; ``materialize`` keeps the pin."""
         self._models[name] = df
         self._pinned.add(name)
+        self.wide_rollups = None
 
     def raw(self, name: str) -> DataFrame:
         return self.source.table(name)
@@ -218,9 +219,11 @@ class Warehouse:
         by, cluster = PARTITION_COLUMNS.get(name, []), CLUSTER_COLUMNS.get(name)
         columns, schema = df.columns, df.schema
         fresh = f"{path}__{uuid.uuid4().hex}"
+        if by:
+            # rows of a partition value meet, so it has few files; a value that is
+            # too large for a task is split again (AQE)
+            df = df.hint("rebalance", *by)
         if cluster:
-            # no shuffle: every task writes sorted files of its own, however few
-            # values the partition columns have
             df = df.sortWithinPartitions(*by, *cluster)
         writer = df.write.partitionBy(*by) if by else df.write
         writer.parquet(fresh)
