@@ -121,36 +121,3 @@ def test_empty_table(spark):
 def test_lower_thresholds_are_refused(spark):
     with pytest.raises(ValueError, match="percent 60"):
         M.minhash_dedup(spark.createDataFrame([], SCHEMA), Scratch(spark, "t"), percent=60)
-
-
-def test_near_copies_of_two_texts_meet_the_other_text_only(spark, monkeypatch):
-    """Two texts too far apart to link, close enough to share buckets, and 300 near
-    copies of each: a copy meets the blocks of the other text, not those of its own."""
-    base = prose(120)
-    other = [f"o{k}" if k % 20 == 0 else w for k, w in enumerate(base)]
-    rows = [(2 * k + side, " ".join([*text[:k % 117], f"u{k}", *text[k % 117 + 1:]]), 1, "", None)
-            for k in range(300) for side, text in enumerate((base, other))]
-    monkeypatch.setattr(M, "TILE_TEXTS", 64)
-    tiles, seen = M._tiles, []
-
-    def counted(members):
-        out = tiles(members)
-        seen.append((members.count(), out.count(), out.groupBy("tile").count().agg({"count": "max"}).first()[0], members.select("part").distinct().count()))
-        return out
-
-    monkeypatch.setattr(M, "_tiles", counted)
-    out = got(M.minhash_dedup(spark.createDataFrame(rows, SCHEMA).repartition(5), Scratch(spark, "t")))
-    assert out == brute(rows)
-    members, placed, largest, parts = seen[0]
-    assert members == 600 and parts == 2 and largest < 3 * 64
-    assert placed <= 12 * members  # ten blocks of the other text; twenty with its own
-
-
-def test_a_cluster_that_is_one_part_has_no_tiles(spark, monkeypatch):
-    base = prose(200)
-    rows = [(k, " ".join([*base, f"u{k}"]), 1, "", None) for k in range(300)]
-    seen = []
-    tiles = M._tiles
-    monkeypatch.setattr(M, "_tiles", lambda members: (seen.append(members.count()), tiles(members))[1])
-    out = got(M.minhash_dedup(spark.createDataFrame(rows, SCHEMA), Scratch(spark, "t")))
-    assert {r[2] for r in out} == {0} and seen == [0]
