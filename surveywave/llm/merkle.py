@@ -140,14 +140,21 @@ def _segment(children: Column, chosen: Column) -> Column:
                     F.slice(children, chosen + 2, F.greatest(F.size(children) - chosen - 1, F.lit(0))).alias("right"))
 
 
+def _meet(frontier: DataFrame, records: DataFrame) -> DataFrame:
+    """The frontier's nodes with their children.  By a merge at every level: paths
+    that share their beginnings are small in files and many times that in memory,
+    so a size check would send them through the driver as a broadcast."""
+    return frontier.join(records.select("digest", "children").dropDuplicates(["digest"]).hint("merge"), "digest")
+
+
 def _down(frontier: DataFrame, records: DataFrame, wanted: DataFrame | None) -> DataFrame:
     """One level down: (tree, rank, path, digest) of the children of the
     frontier's nodes, those only that `wanted` (tree, rank) has, if given."""
-    met = frontier.join(records.select("digest", "children").dropDuplicates(["digest"]), "digest")
+    met = _meet(frontier, records)
     kids = met.select("tree", "rank", "path", "children", F.posexplode("children").alias("digit", "digest"))
     kids = kids.select("tree", (F.col("rank") * FANOUT + F.col("digit")).alias("rank"), "digest", "path", "children", "digit")
     if wanted is not None:
-        kids = kids.join(wanted, ["tree", "rank"], "left_semi")
+        kids = kids.join(wanted.hint("merge"), ["tree", "rank"], "left_semi")
     return kids.select("tree", "rank", "digest", F.array_append("path", _segment(F.col("children"), F.col("digit"))).alias("path"))
 
 
@@ -174,7 +181,7 @@ def descend(manifest: Manifest, scratch: Scratch, requests: DataFrame | None = N
     for level in range(len(manifest.top_records), 0, -1):
         front = _down(front, manifest.top_records[level - 1], top_wanted[level - 1])
     heights = manifest.groups.select("group_rank", "height", F.col("subroot").alias("digest"))
-    entered = scratch.table(front.select(F.col("rank").alias("group_rank"), "path", "digest").join(heights, ["group_rank", "digest"]), "entered")
+    entered = scratch.table(front.select(F.col("rank").alias("group_rank"), "path", "digest").join(heights.hint("merge"), ["group_rank", "digest"]), "entered")
 
     def entering(height: int) -> DataFrame:
         return entered.where(F.col("height") == height).select(
@@ -189,7 +196,7 @@ def descend(manifest: Manifest, scratch: Scratch, requests: DataFrame | None = N
             front = scratch.table(front, f"front{level}")
     lone = entering(0).select("tree", F.col("rank").alias("up"), F.lit(True).alias("lone"), "path", F.array("digest").alias("children"))
     if top:
-        met = front.join(manifest.group_records[0].select("digest", "children").dropDuplicates(["digest"]), "digest")
+        met = _meet(front, manifest.group_records[0])
         lone = lone.unionByName(met.select("tree", F.col("rank").alias("up"), F.lit(False).alias("lone"), "path", "children"))
     return lone.withColumnRenamed("tree", "group_rank")
 
@@ -206,7 +213,7 @@ def proofs(manifest: Manifest, scratch: Scratch, requests: DataFrame | None = No
     keyed = leaves.withColumns({"lone": F.col("n_leaves") == 1, "up": F.expr(f"rank div {FANOUT}")})
     segment = _segment(F.col("children"), F.expr(f"cast(rank % {FANOUT} as int)"))
     path = F.when(F.col("lone"), F.col("path")).otherwise(F.array_append("path", segment))
-    found = keyed.join(ends, ["group_rank", "up", "lone"]).withColumn("proof", F.reverse(path)).drop("up", "lone", "path", "children")
+    found = keyed.join(ends.hint("merge"), ["group_rank", "up", "lone"]).withColumn("proof", F.reverse(path)).drop("up", "lone", "path", "children")
     one = manifest.root.first()
     root = F.lit(None).cast("binary") if one is None else F.lit(bytes(one.digest))
     return found.join(manifest.groups.select("group_rank", "subroot"), "group_rank").withColumn("root", root)

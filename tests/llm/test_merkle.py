@@ -117,3 +117,13 @@ def test_the_store_is_content_addressed(spark):
                                                               F.length(proof_text(F.col("proof"))).alias("n"))
     assert all(r.f == r.r for r in got.collect())
     assert sorted(r.n // 64 for r in got.collect()) == [3] * 3 + [5] * 9
+
+
+def test_a_descent_meets_by_merges_whatever_the_sizes(spark):
+    """Paths are small in files and large in memory: no size check may broadcast them."""
+    rows = spark.createDataFrame([(k, f"s{k % 2}", bytes([k])) for k in range(40)], "doc_id long, source string, leaf binary")
+    scratch = Scratch(spark, "t")
+    found = proofs(build_manifest(rows, scratch), scratch).select("proof", "leaf")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [x for x in plan.splitlines() if "HashJoin" in x]
+    assert "SortMergeJoin" in plan and not any("digest" in x or "lone" in x for x in joins)
