@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from surveywave.plans.warehouse import Warehouse
 from surveywave.sources import open_source
+from surveywave.streaming import incremental, late_parents
 from surveywave.streaming.incremental import OverrideSource, refresh_facts, restrict_to_snapshots
 from surveywave.streaming.late_parents import RESOLVED_SCHEMA, close, resolve_late_parents, stage_arrivals
 from tests.conftest import SF_SMALL
@@ -135,3 +136,19 @@ def test_responses_before_priorities_and_rows_without_a_key(spark):
     resolve_late_parents(spark, arrivals, work, apart="2000 days")
     got = {r.priority_id: (r.snapshot_id, r.is_orphan) for r in spark.read.schema(RESOLVED_SCHEMA).parquet(f"{work}/resolved").collect()}
     assert got == {**{i: (i * 10, False) for i in range(5)}, 5: (None, True), 100: (None, True), 101: (30, False)}
+
+
+def test_a_replay_is_cut_into_batches_by_size(spark, tmp_path):
+    arrivals = str(tmp_path / "arrivals")
+    rows = spark.range(1, 41).selectExpr("id", "id AS snapshot_stoplight_id", "CAST('2020-01-01' AS timestamp) AS created_date").repartition(10)
+    late_parents.stage_arrivals(spark, arrivals, priorities=rows)
+    query = late_parents.resolve_late_parents(spark, arrivals, str(tmp_path / "work"), late_parents.REPLAY_BATCH)
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [40]
+
+
+def test_a_replay_selects_rows_once(wh_small):
+    """What the batches are selected by is stored: plans do not nest selections."""
+    before, batches = incremental.replay(wh_small, 946684800, 883612800)
+    for df in [before.raw("snapshot_stoplight_priority"), *(x for _, rows in batches for t, x in rows.items() if t != "snapshot")]:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") <= 1 and "Aggregate" not in plan
