@@ -19,6 +19,7 @@ joins by family match NULL with NULL.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -40,11 +41,13 @@ class OverrideSource:
         return self.base.table(name)
 
 
-def restrict_to_snapshots(source, snapshots: DataFrame) -> OverrideSource:
+def restrict_to_snapshots(source, snapshots: DataFrame, stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> OverrideSource:
     """Raw tables limited to the given raw snapshot rows and their responses,
-    priorities, achievements and economic answers."""
+    priorities, achievements and economic answers.  ``stage`` stores the responses,
+    which the others are selected by, so that plans built on this do not repeat
+    the selection inside each other."""
     ids = snapshots.select(F.col("id").alias("snapshot_id"))
-    responses = source.table("snapshot_stoplight").join(ids, "snapshot_id", "left_semi")
+    responses = stage(source.table("snapshot_stoplight").join(ids, "snapshot_id", "left_semi"))
     rid = responses.select(F.col("id").alias("snapshot_stoplight_id"))
     return OverrideSource(source, {
         "snapshot": snapshots,
@@ -108,7 +111,7 @@ def refresh_facts(wh_full: Warehouse, previous: dict[str, DataFrame], batch: dic
 def rebuilt_facts(wh_full: Warehouse, affected: DataFrame) -> dict[str, DataFrame]:
     """Both facts over the raw rows of the affected families.  Dimensions are
     read as ``wh_full`` sees them now; a batch does not restate them."""
-    scoped = restrict_to_snapshots(wh_full.source, by_family(wh_full.raw("snapshot"), affected, "left_semi"))
+    scoped = restrict_to_snapshots(wh_full.source, by_family(wh_full.raw("snapshot"), affected, "left_semi"), wh_full.stage)
     wh_aff = Warehouse(wh_full.spark, scoped, epoch_unit=wh_full.epoch_unit)
     for dim in ("dim_family", "dim_organization", "dim_survey_definition", "stg_survey_stoplight"):
         wh_aff.use(dim, wh_full.m(dim))
@@ -136,16 +139,16 @@ def replay(wh: Warehouse, cutoff_epoch: int, late_from_epoch: int) -> tuple[Ware
     late_ids = snaps.where(late).select(F.col("id").alias("snapshot_id"))
 
     def seen(snapshots: DataFrame, with_late: bool) -> Warehouse:
-        source = restrict_to_snapshots(wh.source, snapshots)
+        source = restrict_to_snapshots(wh.source, snapshots, wh.stage)
         if not with_late:
             source.overrides["snapshot_stoplight"] = source.table("snapshot_stoplight").join(late_ids, "snapshot_id", "left_anti")
         return Warehouse(wh.spark, source, epoch_unit=wh.epoch_unit)
 
     def batch(of: Column) -> dict[str, DataFrame]:
         ids = snaps.where(F.coalesce(of, F.lit(False))).select(F.col("id").alias("snapshot_id"))
-        arrived = responses.join(ids, "snapshot_id", "left_semi")
+        arrived = wh.stage(responses.join(ids, "snapshot_id", "left_semi"))
         rid = arrived.select(F.col("id").alias("snapshot_stoplight_id"))
-        return {"snapshot_stoplight": arrived, **{t: wh.raw(t).join(rid, "snapshot_stoplight_id", "left_semi")
+        return {"snapshot_stoplight": arrived, **{t: wh.stage(wh.raw(t).join(rid, "snapshot_stoplight_id", "left_semi"))
                                                   for t in ("snapshot_stoplight_priority", "snapshot_stoplight_achievement")}}
 
     before = seen(unmoved.where(~F.coalesce(new, F.lit(False))), False)
