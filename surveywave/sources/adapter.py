@@ -3,8 +3,9 @@
 Map: region = hub (application), nation = organisation and country,
 customer = family, order priority = survey definition, order = snapshot,
 part brand = indicator, line items of one (order, brand) = one response,
-return flag = priority / achievement.  Every table is a lazy DataFrame over
-the driver files, so the whole pipeline scales with them.
+return flag = priority / achievement.  The two large ones that others are made
+from, responses and snapshots with their family, are derived once and stored as
+tables in the shared folder; what is built on them is lazy.
 
 The mapping is the fixture specification of FIXTURES.md §2; the DuckDB oracle
 states the same mapping in SQL independently.
@@ -12,11 +13,14 @@ states the same mapping in SQL independently.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from surveywave.operators.sequence import stored_table
+from surveywave.session import checkpoint_dir
 from surveywave.sources.schemas import AUDIT_COLUMNS, RAW_SCHEMAS
 
 DRIVER_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
@@ -101,6 +105,14 @@ class DriverAdapter:
             self._cache[key] = conform(getattr(self, f"_{name}")(), name)
         return self._cache[key]
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        """df as a table in the shared folder: joined and grouped once, however many
+        models and batches read it.  It goes when the driver's file systems close."""
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/raw-{name}-{uuid.uuid4().hex}"
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+        return stored_table(df, path)
+
     # -- small code tables -------------------------------------------------
     def _segment_project(self) -> Column:
         return _case(F.col("c_mktsegment"), SEGMENT_PROJECT)
@@ -256,10 +268,20 @@ class DriverAdapter:
                   DIMENSION_TRANSLATIONS[5]).alias("translation"))
         return reduce(DataFrame.unionByName, [names_en, names_es, desc_en, dims])
 
+    def _placed_orders(self) -> DataFrame:
+        """Orders with what a snapshot takes from their customer and its nation."""
+        key = "raw:_placed_orders"
+        if key not in self._cache:
+            o = (self.driver("orders")
+                 .join(self.driver("customer"), F.col("o_custkey") == F.col("c_custkey"))
+                 .join(self.driver("nation"), F.col("c_nationkey") == F.col("n_nationkey")))
+            self._cache[key] = self._stored("orders", o.select(
+                "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate",
+                "c_custkey", "c_nationkey", "c_mktsegment", "n_regionkey"))
+        return self._cache[key]
+
     def _snapshot(self) -> DataFrame:
-        o = (self.driver("orders")
-             .join(self.driver("customer"), F.col("o_custkey") == F.col("c_custkey"))
-             .join(self.driver("nation"), F.col("c_nationkey") == F.col("n_nationkey")))
+        o = self._placed_orders()
         epoch = _epoch(F.col("o_orderdate"))
         by_survey = Window.partitionBy("o_custkey", "o_orderpriority").orderBy("o_orderkey")
         by_family = Window.partitionBy("o_custkey").orderBy(F.col("o_orderkey").desc())
@@ -285,7 +307,7 @@ class DriverAdapter:
             q = F.col("l_quantity")
             score = (F.when(q == 50, 4).when(q.cast("int") % 5 == 4, 9)
                      .otherwise(q.cast("int") % 5))
-            self._cache[key] = (
+            self._cache[key] = self._stored("responses", (
                 li.groupBy("l_orderkey", "p_brand").agg(
                     F.min(score).alias("value"),
                     F.max(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("pr"),
@@ -293,7 +315,7 @@ class DriverAdapter:
                           .otherwise(0)).alias("ach"))
                 .select((F.col("l_orderkey") * 100 + _brand_no(F.col("p_brand"))).alias("id"),
                         F.col("l_orderkey").alias("snapshot_id"),
-                        F.col("p_brand").alias("code_name"), "value", "pr", "ach"))
+                        F.col("p_brand").alias("code_name"), "value", "pr", "ach")))
         return self._cache[key]
 
     def _snapshot_stoplight(self) -> DataFrame:

@@ -111,3 +111,20 @@ def test_dim_date(spark):
     assert by[dt.date(2035, 12, 31)].year_quarter == "2035-Q4"
     padded = dim_date(spark, pg_padding=True).filter(F.col("date_key") == 20110101).first()
     assert padded.day_of_week == "Saturday " and len(padded.month_name) == 9
+
+
+def test_responses_and_snapshots_are_derived_once(wh_small):
+    for model in ("stg_snapshot_stoplight", "stg_snapshot_stoplight_priority", "stg_snapshot_stoplight_achievement", "stg_snapshots"):
+        plan = wh_small.m(model)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+
+
+def test_flags_meet_the_responses_before_they_are_resolved(spark, wh_small):
+    """By response id only narrow rows are shuffled."""
+    wide = []
+    facts.fact_indicators(wh_small.m("fact_snapshots"), *[wh_small.m(m) for m in (
+        "stg_snapshot_stoplight", "stg_survey_stoplight", "dim_family", "dim_organization", "dim_survey_definition",
+        "stg_snapshot_stoplight_priority", "stg_snapshot_stoplight_achievement")], store=lambda df: wide.append(df) or df)
+    plan = wide[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    deep = lambda what: min(len(x) - len(x.lstrip(" :+-")) for x in plan if "Join" in x and what in x)
+    assert deep("_pr_id") > deep("indicator_code_name")
