@@ -9,7 +9,8 @@ the same way at every size:
    number of their partition and their place in the order, so every group lies
    in consecutive *chunks* and a group that holds a third of all rows is cut into
    many;
-2. one window per (chunk, group) numbers the rows of a chunk;
+2. one window per (chunk, group) numbers the rows of a chunk; a chunk moves whole
+   and in order (by range of its number), not dealt by group;
 3. only the first and the last group of a chunk can go on in another one.  For
    those, at most two a chunk, an aggregate over the stored rows gives the size,
    ends and max of each piece (summed up before it is shuffled, so no row of a
@@ -122,7 +123,8 @@ def sequence(
         *[F.first(f"_first_{o}").over(every).alias(f"_first_{o}") for o in first],
         *[F.max(f"_max_{o}").over(every).alias(f"_max_{o}") for o in group_max])
 
-    local = ranged.select("*", *_windows(ranged, ["_chunk", *group], [F.col("_at")], "_l_number", size and "_l_size",
+    whole = ranged.repartitionByRange("_chunk")  # clustered by (chunk, group) too: the window adds no exchange
+    local = whole.select("*", *_windows(whole, ["_chunk", *group], [F.col("_at")], "_l_number", size and "_l_size",
                                          {f"_l_{o}": s for o, s in lag.items()}, {f"_l_{o}": s for o, s in first.items()},
                                          {f"_l_{o}": e for o, e in group_max.items()}))
     joined = _join(local, small(pieces), ["_chunk", *group], "left")

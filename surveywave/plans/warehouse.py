@@ -75,20 +75,20 @@ class Warehouse:
         self._models: dict[str, DataFrame] = {}
         self._builders: dict[str, Callable[[], DataFrame]] = {
             "dim_date": lambda: dims.dim_date(self.spark, pg_padding=self.pg_padding),
-            "dim_organization": lambda: dims.dim_organization(
-                self.m("stg_organizations"), self.m("stg_applications"), self.m("stg_countries")),
+            "dim_organization": lambda: self._dim(lambda: dims.dim_organization(
+                self.m("stg_organizations"), self.m("stg_applications"), self.m("stg_countries"))),
             "dim_family": lambda: dims.dim_family(self.m("stg_families"), self.m("stg_countries")),
-            "dim_survey_definition": lambda: dims.dim_survey_definition(
-                self.m("stg_survey_definitions"), self.m("stg_countries")),
+            "dim_survey_definition": lambda: self._dim(lambda: dims.dim_survey_definition(
+                self.m("stg_survey_definitions"), self.m("stg_countries"))),
             "dim_economic_questions": lambda: dims.dim_economic_questions(
                 self.m("stg_survey_economic"), self.m("stg_survey_definitions")),
             "color_criteria_pivot": lambda: dims.color_criteria_pivot(self.m("stg_survey_stoplight_color")),
             "indicator_templates_translated": lambda: dims.indicator_templates_translated(
                 self.m("stg_survey_stoplight_indicator"), self.m("stg_translations")),
-            "dim_indicator_questions": lambda: dims.dim_indicator_questions(
+            "dim_indicator_questions": lambda: self._dim(lambda: dims.dim_indicator_questions(
                 self.m("stg_survey_stoplight"), self.m("stg_survey_stoplight_indicator"),
                 self.m("stg_survey_stoplight_color"), self.m("stg_survey_stoplight_dimension"),
-                self.m("stg_translations")),
+                self.m("stg_translations"))),
             "fact_snapshots": lambda: self._fact(lambda store: facts.fact_snapshots(self.m("stg_snapshots"), store)),
             "fact_indicators": lambda: self._fact(lambda store: facts.fact_indicators(
                 self.m("fact_snapshots"), self.m("stg_snapshot_stoplight"), self.m("stg_survey_stoplight"),
@@ -139,6 +139,13 @@ class Warehouse:
         system materialises facts as tables too."""
         return stored_table(df) if self.stage_facts else df
 
+    def _dim(self, build: Callable[[], DataFrame]) -> DataFrame:
+        """A dimension that facts look up, stored like a fact: the planner then
+        knows its size, and a small one is broadcast before the fact is shuffled
+        for it (the estimate of a plan of joins is their product)."""
+        df = build()
+        return df if self._materializing else self.stage(df)
+
     def _fact(self, build: Callable[[Callable[[DataFrame], DataFrame]], DataFrame]) -> DataFrame:
         """A fact, stored, unless ``materialize`` is about to write it (the
         stored table cuts the lineage instead).  The ranged rows that its windows

@@ -128,3 +128,10 @@ def test_flags_meet_the_responses_before_they_are_resolved(spark, wh_small):
     plan = wide[0]._jdf.queryExecution().optimizedPlan().toString().splitlines()
     deep = lambda what: min(len(x) - len(x.lstrip(" :+-")) for x in plan if "Join" in x and what in x)
     assert deep("_pr_id") > deep("indicator_code_name")
+
+
+def test_dimensions_are_stored_so_that_their_size_is_known(wh_small):
+    """A plan of joins is estimated at the product of its sides, and facts were shuffled to meet a few rows."""
+    for model in ("dim_organization", "dim_survey_definition", "dim_indicator_questions"):
+        plan = wh_small.m(model)._jdf.queryExecution().optimizedPlan()
+        assert "Join" not in plan.toString() and int(plan.stats().sizeInBytes().toString()) < 1 << 20

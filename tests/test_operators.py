@@ -2,6 +2,7 @@
 naming rule; metric validation; quality severity."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,15 @@ def test_sequence_equals_the_window_on_small_and_mixed_groups(spark, chunks):
     assert _same(got, window_sequence(df, ["g", "h"], _order(), group_max=top, **ALL)) == (0, 400, 400)
 
 
+def test_chunks_of_a_sequence_move_whole(spark):
+    """The window over a chunk adds no shuffle that deals its rows by group."""
+    df = spark.range(1000).selectExpr("id", "id % 7 g", "id % 11 t", "cast(id % 3 as int) v")
+    plan = sequence(df, ["g"], _order(), **ALL)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange hashpartitioning\(_chunk#\d+L?, g#", plan)
+    # what is left by (chunk, group) are the sums of the pieces
+    assert "Exchange rangepartitioning(_chunk" in plan and len(dealt) == 1
+
+
 def test_sequence_of_no_rows(spark):
     df = spark.createDataFrame([], "g long, t long, id long, v int")
     assert sequence(df, ["g"], _order(), **ALL).count() == 0
