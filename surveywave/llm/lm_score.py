@@ -6,11 +6,14 @@ score is the sum of the log-probabilities of its tokens, each given the others
 in its window.
 
 Tokens are words: the VOCABULARY most frequent of the corpus (those with
-LEAST_LISTED occurrences), and hash buckets for all other words.  The network
-predicts a token's class, classes being runs of tokens of about equal count;
-within a class a token has its share of the counts, and within a bucket a word
-has its share of the bucket's counts, so P(word | sides) =
-P(class | sides) * count(token) / count(class) * count(word) / count(bucket).
+LEAST_LISTED occurrences), and hash buckets for all other words.  With ``words``,
+as the query asks for, the network sees the tokens themselves, each with its own
+embedding, and predicts the token: a softmax over classes, runs of tokens of about
+equal count, times a softmax over the tokens of the class, both from the sides.
+Within a bucket a word has its share of the bucket's counts, so P(word | sides) =
+P(class | sides) * P(token | class, sides) * count(word) / count(bucket).
+Without ``words`` the network sees and predicts classes only, and P(token | class,
+sides) is count(token) / count(class) whatever the sides: small and coarse.
 Every word of the corpus has its own exact count.  The most frequent ones, LISTED
 at most and LEAST_LISTED occurrences at least, are broadcast; the others meet the
 table of counts in a shuffle by word.
@@ -28,8 +31,10 @@ summed by a shuffle.  For training, the documents are dealt by a hash of their
 content to as many shards as their tokens fill (SHARD_TOKENS each) and sorted in
 them, so the result does not depend on how the rows lie; every shard trains the
 network on all its tokens from one start, and the parameters are averaged,
-weighted by tokens, by an aggregation over parameter numbers (a few thousand rows
-a shard).  The driver sees LISTED + BUCKETS counts and one parameter vector.
+weighted by tokens, by an aggregation over blocks of parameters (one float for each
+parameter and shard is shuffled, about a megabyte a shard).  The driver sees LISTED
++ BUCKETS counts and one parameter vector, (VOCABULARY + BUCKETS) * (2 * WIDTH + 1)
+numbers and a few thousand more, whatever the corpus.
 
 Edge cases.  NULL texts and texts without words have no tokens.  Very long texts
 are read whole; ties in the counts go by the word's hash; repeated rows score
@@ -59,7 +64,10 @@ SIDE = 2  # tokens seen on each side
 WIDTH = 8
 HIDDEN = 32
 STEP_TOKENS = 1024
+STEP_WORDS = 4096  # tokens of a step that predicts words: so that those of a class are many at once
 SCORE_TOKENS = 4096
+SCORE_WORDS = 16384
+BLOCK = 4096  # parameters in a row of the aggregation
 RATE = 0.01
 GROUP_BYTES = 2 << 20
 HELD_WORDS = 1_000_000
@@ -148,15 +156,29 @@ class Tokens:
 
 
 class Network:
-    """The window network; all parameters are views of one vector."""
+    """The window network; all parameters are views of one vector.
 
-    def __init__(self, classes: int, flat: np.ndarray | None = None, prior: np.ndarray | None = None):
-        shapes = [("e", (classes + 1, WIDTH)), ("w", (2 * SIDE * WIDTH, HIDDEN)), ("b", (HIDDEN,)), ("v", (HIDDEN, classes)), ("c", (classes,))]
+    With ``of``, the class of each token, it sees tokens and predicts them (``u``
+    and ``o`` lie by class); ``start`` is what ``o`` begins with, by token.
+    """
+
+    def __init__(self, classes: int, flat: np.ndarray | None = None, prior: np.ndarray | None = None,
+                 of: np.ndarray | None = None, start: np.ndarray | None = None):
+        self.gap = classes if of is None else len(of)  # what stands beyond the ends
+        shapes = [("e", (self.gap + 1, WIDTH)), ("w", (2 * SIDE * WIDTH, HIDDEN)), ("b", (HIDDEN,)), ("v", (HIDDEN, classes)), ("c", (classes,))]
+        self.of = of
+        if of is not None:
+            shapes += [("q", (HIDDEN, WIDTH)), ("u", (len(of), WIDTH)), ("o", (len(of),))]
+            order = np.argsort(of, kind="stable")
+            self.place = np.empty(len(of), np.int64)  # of a token in u and o
+            self.place[order] = np.arange(len(of))
+            self.first = np.searchsorted(of[order], np.arange(classes + 1))
         size = sum(int(np.prod(s)) for _, s in shapes)
         self.classes = classes
         if flat is None:
             rng = np.random.default_rng(7)
-            flat = np.concatenate([rng.normal(0, {"e": 0.5, "w": (2 * SIDE * WIDTH) ** -0.5, "v": 0.1}.get(n, 0.0), int(np.prod(s))) for n, s in shapes])
+            spread = {"e": 0.5, "w": (2 * SIDE * WIDTH) ** -0.5, "v": 0.1, "q": HIDDEN**-0.5}
+            flat = np.concatenate([rng.normal(0, spread.get(n, 0.0), int(np.prod(s))) for n, s in shapes])
         self.flat = np.array(flat, dtype=np.float32)
         self.grad = np.zeros(size, np.float32)
         self.p, self.g, at = {}, {}, 0
@@ -166,11 +188,13 @@ class Network:
             at += n
         if prior is not None:
             self.p["c"][:] = prior
+        if start is not None:
+            self.p["o"][self.place] = start
         self.m, self.s, self.t = np.zeros(size, np.float32), np.zeros(size, np.float32), 0
 
     def windows(self, docs: list[np.ndarray]) -> np.ndarray:
-        """The classes on both sides of each token; `classes` beyond the ends."""
-        gap = np.full(SIDE, self.classes)
+        """What is on both sides of each token; `gap` beyond the ends."""
+        gap = np.full(SIDE, self.gap)
         line = np.concatenate([gap, *(x for d in docs for x in (d, gap))])
         keep = np.concatenate([np.arange(len(d)) + at for d, at in zip(
             docs, SIDE + np.concatenate(([0], np.cumsum([len(d) + SIDE for d in docs])))[:-1])]) if docs else np.empty(0, np.int64)
@@ -185,55 +209,112 @@ class Network:
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return x, h, z
 
+    def _in_class(self, h: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """By class: the rows whose target is in it, its tokens' places, the rows'
+        queries (with a 1 for ``o``), the place of the target among the tokens and
+        their logits less the largest.  Classes of one are certain."""
+        query = np.ones((len(h), WIDTH + 1), np.float32)
+        query[:, :WIDTH] = h @ self.p["q"]
+        key = np.column_stack((self.p["u"], self.p["o"]))
+        own = self.of[target]
+        by = np.argsort(own, kind="stable")
+        cuts = np.searchsorted(own[by], np.arange(self.classes + 1))
+        query, place = query[by], self.place[target[by]]
+        for k in range(self.classes):
+            at, its = slice(cuts[k], cuts[k + 1]), slice(self.first[k], self.first[k + 1])
+            if at.stop > at.start and its.stop - its.start > 1:
+                z = query[at] @ key[its].T
+                z -= z.max(axis=1, keepdims=True)
+                yield by[at], its, query[at], place[at] - its.start, z
+
+    def log_prob(self, sides: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Of each target, a token or a class as the network predicts them."""
+        _, h, z = self.forward(sides)
+        if self.of is None:
+            return z[np.arange(len(z)), target]
+        value = z[np.arange(len(z)), self.of[target]]
+        for rows, _, _, place, inner in self._in_class(h, target):
+            hit = inner[np.arange(len(rows)), place]
+            value[rows] += hit - np.log(np.exp(inner, out=inner).sum(axis=1))
+        return value
+
     def train(self, sides: np.ndarray, target: np.ndarray) -> None:
         """One step of Adam on these tokens."""
         x, h, z = self.forward(sides)
         d = np.exp(z)
-        d[np.arange(len(d)), target] -= 1
+        d[np.arange(len(d)), target if self.of is None else self.of[target]] -= 1
         d /= len(d)
         self.g["v"][:] = h.T @ d
         self.g["c"][:] = d.sum(axis=0)
-        back = (d @ self.p["v"].T) * (1 - h * h)
+        down = d @ self.p["v"].T
+        if self.of is not None:
+            asked = np.zeros((len(h), WIDTH), np.float32)
+            self.g["u"][:], self.g["o"][:] = 0, 0
+            for rows, its, query, place, d in self._in_class(h, target):
+                np.exp(d, out=d)
+                d *= 1 / (d.sum(axis=1, keepdims=True) * len(h))
+                d[np.arange(len(rows)), place] -= 1 / len(h)
+                both = d.T @ query
+                self.g["u"][its], self.g["o"][its] = both[:, :WIDTH], both[:, WIDTH]
+                asked[rows] = d @ self.p["u"][its]
+            self.g["q"][:] = h.T @ asked
+            down += asked @ self.p["q"].T
+        back = down * (1 - h * h)
         self.g["w"][:] = x.T @ back
         self.g["b"][:] = back.sum(axis=0)
         down = (back @ self.p["w"].T).reshape(-1, WIDTH)
         flat = sides.ravel()
         for k in range(WIDTH):
-            self.g["e"][:, k] = np.bincount(flat, down[:, k], self.classes + 1)
+            self.g["e"][:, k] = np.bincount(flat, down[:, k], self.gap + 1)
         self.t += 1
         self.m += 0.1 * (self.grad - self.m)
         self.s += 0.001 * (self.grad * self.grad - self.s)
         self.flat -= RATE * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.s / (1 - 0.999**self.t)) + 1e-8)
 
 
-def _train(shared):
+def _network(tokens: Tokens, flat: np.ndarray | None, words: bool) -> Network:
+    """The network of these tokens, as it begins if there are no parameters."""
+    of, start = (tokens.of, tokens.share) if words else (None, None)
+    return Network(len(tokens.prior), flat, tokens.prior if flat is None else None, of, start if flat is None else None)
+
+
+def _train(shared, words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, start = shared.value
-        net, seen = Network(len(tokens.prior), start), 0
+        net, seen, step = _network(tokens, start, words), 0, STEP_WORDS if words else STEP_TOKENS
         for batch in batches:
             for docs, _ in _groups(batch.column("_t").to_pylist()):
-                docs = [tokens.of[tokens.number(d)] for d in docs if len(d)]
+                docs = [tokens.number(d) if words else tokens.of[tokens.number(d)] for d in docs if len(d)]
                 if not docs:
                     continue
                 sides, target = net.windows(docs), np.concatenate(docs)
-                for low in range(0, len(target), STEP_TOKENS):
-                    net.train(sides[low:low + STEP_TOKENS], target[low:low + STEP_TOKENS])
+                for low in range(0, len(target), step):
+                    net.train(sides[low:low + step], target[low:low + step])
                 seen += len(target)
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([net.flat.astype(np.float64)], pa.list_(pa.float64()))], ["n", "p"])
+            blocks = [net.flat[low:low + BLOCK] for low in range(0, len(net.flat), BLOCK)]
+            yield pa.RecordBatch.from_arrays([pa.array([seen] * len(blocks), pa.int64()), pa.array(range(len(blocks)), pa.int32()),
+                                              pa.array(blocks, pa.list_(pa.float32()))], ["n", "k", "p"])
     return run
 
 
+def _mean(block: pa.Table) -> pa.Table:
+    """The mean of one block of parameters, weighted by the tokens of the shards."""
+    n = block.column("n").to_numpy().astype(np.float64)
+    mean = sum(np.asarray(p.values, np.float64) * w for p, w in zip(block.column("p"), n)) / n.sum()
+    return pa.table({"k": block.column("k")[:1], "p": pa.array([mean], pa.list_(pa.float64()))})
+
+
 def _values(tokens: Tokens, net: Network, numbers: list[np.ndarray]) -> np.ndarray:
     """Log-probability of each token of the documents."""
     flat = np.concatenate(numbers)
-    own = tokens.of[flat]
-    sides = net.windows([tokens.of[d] for d in numbers])
+    words = net.of is not None
+    own, step = (flat, SCORE_WORDS) if words else (tokens.of[flat], SCORE_TOKENS)
+    sides = net.windows(numbers if words else [tokens.of[d] for d in numbers])
     value = np.empty(len(flat))
-    for low in range(0, len(flat), SCORE_TOKENS):
-        z = net.forward(sides[low:low + SCORE_TOKENS])[2]
-        value[low:low + len(z)] = z[np.arange(len(z)), own[low:low + len(z)]]
-    return value + tokens.share[flat]
+    for low in range(0, len(flat), step):
+        value[low:low + step] = net.log_prob(sides[low:low + step], own[low:low + step])
+    return value if words else value + tokens.share[flat]
 
 
 def _between(hashes: np.ndarray, whose: np.ndarray) -> np.ndarray:
@@ -245,10 +326,10 @@ def _between(hashes: np.ndarray, whose: np.ndarray) -> np.ndarray:
         return mix64(mix64(left + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + right)
 
 
-def _score(shared):
+def _score(shared, words: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, flat = shared.value
-        net = Network(len(tokens.prior), flat)
+        net = _network(tokens, flat, words)
         for batch in batches:
             for docs, first in _groups(batch.column("_t").to_pylist()):  # a batch out for a few MB of texts
                 numbers, size = [tokens.number(d) for d in docs], np.array([len(d) for d in docs])
@@ -285,34 +366,34 @@ def learn_tokens(texts: DataFrame, scratch: Scratch, vocabulary: int = VOCABULAR
                   (more["w"].to_numpy(np.int64), more["n"].to_numpy(np.float64))), counts
 
 
-def train_network(source: DataFrame, tokens: Tokens, counts: DataFrame, classes: int, shard_tokens: int) -> np.ndarray:
+def train_network(source: DataFrame, tokens: Tokens, counts: DataFrame, classes: int, shard_tokens: int, words: bool = False) -> np.ndarray:
     """The parameters that all tokens of source(doc_id, _t) give; the same
     however its rows lie."""
     shards = 1 + int((counts.agg(F.sum("n")).first()[0] or 0) // shard_tokens)
     # by id and text, so that copies of a text do not meet in one shard
     h1, h2 = hash128(F.col("doc_id"), F.col("_t"))
     texts = source.where("_t IS NOT NULL").withColumns({"_h1": h1, "_h2": h2}).repartition(shards, "_h1", "_h2").sortWithinPartitions("_h1", "_h2").select("_t")
-    start = Network(classes, prior=tokens.prior).flat
+    start = _network(tokens, None, words).flat
     # the broadcast holds the tokens and the parameters, both of fixed size
-    trained = texts.mapInArrow(_train(source.sparkSession.sparkContext.broadcast((tokens, start))), "n long, p array<double>")
-    mean = (trained.select("n", F.posexplode("p").alias("k", "p")).groupBy("k")
-            .agg((F.sum(F.col("p") * F.col("n")) / F.sum("n")).alias("p")).orderBy("k").collect())
-    return np.array([row["p"] for row in mean], np.float32) if mean else start
+    trained = texts.mapInArrow(_train(source.sparkSession.sparkContext.broadcast((tokens, start)), words), "n long, k int, p array<float>")
+    mean = sorted(trained.groupBy("k").applyInArrow(_mean, "k int, p array<double>").collect())
+    return np.concatenate([row["p"] for row in mean]).astype(np.float32) if mean else start
 
 
 def score_documents(docs: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY,
                     buckets: int = BUCKETS, classes: int = CLASSES, listed: int = LISTED, least: int = LEAST_LISTED,
-                    shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+                    shard_tokens: int = SHARD_TOKENS, words: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_tokens, log_likelihood, mean_log_prob, perplexity.
 
-    buckets is a power of two.  Texts without tokens have log_likelihood 0, mean
+    buckets is a power of two.  words: the network sees and predicts words, not
+    classes of words.  Texts without tokens have log_likelihood 0, mean
     and perplexity NULL.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_t"))
     tokens, counts = learn_tokens(source.select("_t"), scratch, vocabulary, buckets, classes, listed, least)
-    flat = train_network(source, tokens, counts, classes, shard_tokens)
+    flat = train_network(source, tokens, counts, classes, shard_tokens, words)
     context = docs.sparkSession.sparkContext
-    out = source.mapInArrow(_score(context.broadcast((tokens, flat))), f"doc_id {source.schema['doc_id'].dataType.simpleString()}, "
+    out = source.mapInArrow(_score(context.broadcast((tokens, flat)), words), f"doc_id {source.schema['doc_id'].dataType.simpleString()}, "
                             "n_tokens long, log_likelihood double, rare array<struct<w: long, c: long, v: float>>")
     out = scratch.table(out.withColumn("_row", F.monotonically_increasing_id()), "scored")  # stored: the numbers stay
     met = out.select("_row", F.inline("rare")).join(counts.hint("merge"), "w", "left")

@@ -130,6 +130,40 @@ def test_training_on_all_partitions_beats_word_counts(spark):
     assert score[0] > score[1] + 0.2  # the same words in a wrong order score lower
 
 
+def test_words_of_one_class_are_told_apart(spark, tmp_path, monkeypatch):
+    """All words are about as frequent: only who they are tells the kinds apart, in the query too."""
+    from surveywave.llm import queries
+    texts = sentences(6000)
+    rows = [(0, texts[0], "", 1), (1, " ".join(sorted(texts[0].split())), "", 1), *((k, t, "", 1) for k, t in enumerate(texts[1:], 2))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    monkeypatch.setattr(queries, "_table", lambda *a: df)
+    out = queries.op6_lm_score(spark, str(tmp_path)).toPandas().set_index("doc_id")
+    assert out["log_likelihood"].sum() / out["n_tokens"].sum() > math.log(1 / 60) + 0.3
+    assert out["mean_log_prob"][0] > out["mean_log_prob"][1] + 0.2
+    two = S.score_documents(df, Scratch(spark, "t"), vocabulary=64, buckets=8, classes=2, words=True).toPandas()
+    assert two["log_likelihood"].sum() / two["n_tokens"].sum() > math.log(1 / 60) + 0.3
+
+
+def test_words_sum_to_one_and_gradient_against_differences():
+    gen = np.random.default_rng(3)
+    of = np.array([0, 1, 1, 2, 2, 2, 1, 2])
+    net = S.Network(3, of=of, start=gen.normal(0, 1, 8))
+    net.p["u"][:] = gen.normal(0, 1, net.p["u"].shape)
+    sides, target = gen.integers(0, 9, (9, 4)), gen.integers(0, 8, 9)
+    total = sum(np.exp(net.log_prob(sides, np.full(9, t))) for t in range(8))
+    assert total == pytest.approx(np.ones(9), rel=1e-4)
+    start = net.flat.copy()
+    net.train(sides, target)
+    grad = net.grad.copy()
+
+    def loss(flat):
+        return -S.Network(3, flat, of=of).log_prob(sides, target).astype(float).mean()
+    for k in gen.choice(len(start), 80, replace=False):
+        step = np.zeros_like(start)
+        step[k] = 1e-2
+        assert (loss(start + step) - loss(start - step)) / 2e-2 == pytest.approx(grad[k], abs=2e-3)
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (None, "word here"), (4, "word here"), (4, "word here"), (5, "long " * 200_000)]
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)

@@ -134,4 +134,4 @@ def test_dimensions_are_stored_so_that_their_size_is_known(wh_small):
     """A plan of joins is estimated at the product of its sides, and facts were shuffled to meet a few rows."""
     for model in ("dim_organization", "dim_survey_definition", "dim_indicator_questions"):
         plan = wh_small.m(model)._jdf.queryExecution().optimizedPlan()
-        assert "Join" not in plan.toString() and int(plan.stats().sizeInBytes().toString()) < 1 << 20
+        assert "Join" not in plan.toString() and plan.stats().sizeInBytes() < 1 << 20
