@@ -272,8 +272,9 @@ def _metric_base(wh: Warehouse) -> DataFrame:
     org = wh.m("dim_organization").select("organization_id", "organization_name")
     fam = wh.m("dim_family").select("family_id", "country_code")
     snap = wh.m("fact_snapshots").select("snapshot_id", F.to_date("snapshot_date").alias("snapshot_date"))
-    return (fi.join(diq, "survey_indicator_id").join(org, "organization_id")
-              .join(fam, "family_id", "left").join(snap, "snapshot_id"))
+    # ids and scores are shuffled; names come after that
+    return (fi.join(fam, "family_id", "left").join(snap, "snapshot_id")
+              .join(diq, "survey_indicator_id").join(org, "organization_id"))
 
 
 METRIC_BASE_SQL = """

@@ -81,3 +81,10 @@ def test_shares_that_miss_100_are_reported(spark, pcts, bad):
     df = spark.createDataFrame([("x", *pcts)], "dimension_name string, green_pct double, yellow_pct double, red_pct double, skipped_pct double")
     got = sum_failures(df, "dimension_metrics", "dimension_name").collect()
     assert len(got) == bad and all(r.identifier == "x" and r.table_name == "dimension_metrics" for r in got)
+
+
+def test_metric_rows_get_their_names_after_the_large_joins(wh_small):
+    from surveywave.plans.quality import dimension_metrics
+    plan = dimension_metrics(wh_small)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    deep = {c: min(len(x) - len(x.lstrip(" :+-")) for x in plan if "Join" in x and c in x) for c in ("snapshot_id", "family_id", "organization_id")}
+    assert deep["organization_id"] < deep["snapshot_id"] and deep["organization_id"] < deep["family_id"]
