@@ -290,18 +290,24 @@ def bench_volumes(wh):
             .unionByName(c("Indicators (superset)", wh.m("mart_indicators"))))
 
 
+SCORES = 1 << 33  # room for any score (int) and for none
+LEAST_SCORE = -(1 << 31)
+
+
 # -- wide follow-up mart and the index benchmark queries ---------------------
 def mart_indicators_wide(wh: Warehouse) -> DataFrame:
     """One row per family × survey indicator: baseline, first follow-up
     (survey 2) and latest follow-up (greatest survey > 1) value and label."""
     fi = wh.m("fact_indicators")
     sn, sc = F.col("snapshot_number"), F.col("current_score")
-    latest = F.max(F.when(sn > 1, F.struct(sn.alias("n"), sc.alias("s"))))
+    # the greatest (number, score) as one long, the score in its last bits, NULL the
+    # least: a struct would make Spark sort every row before it is summed up
+    latest = F.max(F.when(sn > 1, sn.cast("long") * SCORES + F.coalesce(sc.cast("long") - LEAST_SCORE + 1, F.lit(0))))
     agg = fi.groupBy("family_id", "survey_indicator_id", "survey_definition_id").agg(
         F.max("organization_id").alias("organization_id"), F.max("project_id").alias("project_id"),
         F.max(F.when(sn == 1, sc)).alias("baseline_value"),
         F.max(F.when(sn == 2, sc)).alias("first_followup_value"),
-        latest.getField("s").alias("latest_followup_value"),
+        F.when(latest % SCORES > 0, latest % SCORES + LEAST_SCORE - 1).cast(fi.schema["current_score"].dataType).alias("latest_followup_value"),
         (F.max(sn) > 1).alias("has_followup_data"))
     # names come from small dimensions: scoping and drop-downs run on this table
     diq = wh.m("dim_indicator_questions").select("survey_indicator_id", "indicator_name", "dimension_name")

@@ -117,3 +117,27 @@ def test_page_requests_are_covered(mart):
     wanted = [semantic.request_columns(*r) for r in PAGE_REQUESTS]
     chosen = rollups.choose([sorted(w) for w in wanted], share=0.5)
     assert chosen
+
+
+def test_the_newest_answer_is_found_without_a_sort_of_the_rows(spark):
+    """Ties of the newest survey, one without a score, and answers of the baseline only."""
+    from surveywave.plans.questions import mart_indicators_wide
+    from surveywave.plans.warehouse import Warehouse
+
+    rows = [(1, 7, 1, 3), (1, 7, 2, 0), (1, 7, 3, 1), (1, 7, 3, 2), (1, 7, 3, None),
+            (2, 7, 1, 1), (2, 7, 4, None), (2, 7, 2, 2), (3, 7, 1, 2), (4, None, 2, 0), (4, None, None, 3), (5, 7, 70_000, -2**31), (6, 7, 2, 2**31 - 1)]
+    fact = spark.createDataFrame([(f, i, 1, 1, 1, n, s) for f, i, n, s in rows],
+                                 "family_id long, survey_indicator_id long, survey_definition_id long, organization_id long, project_id long, "
+                                 "snapshot_number long, current_score int")
+    wh = Warehouse(spark, None)
+    wh.use("fact_indicators", fact)
+    wh.use("dim_indicator_questions", spark.createDataFrame([(7, "i", "d")], "survey_indicator_id long, indicator_name string, dimension_name string"))
+    wh.use("dim_organization", spark.createDataFrame([(1, 1, "a", "o")], "organization_id long, application_id long, application_name string, organization_name string"))
+    wh.use("dim_survey_definition", spark.createDataFrame([(1, "s")], "survey_definition_id long, survey_title string"))
+    wh.use("stg_projects", spark.createDataFrame([(1, "p")], "project_id long, project_name string"))
+    wide = mart_indicators_wide(wh)
+    assert dict(wide.dtypes)["latest_followup_value"] == "int"
+    assert {r.family_id: (r.latest_followup_value, r.latest_followup_label, r.has_followup_data) for r in wide.collect()} == {
+        1: (2, "Yellow", True), 2: (None, "N/A", True), 3: (None, "N/A", False), 4: (0, "Skipped", True),
+        5: (-2**31, "N/A", True), 6: (2**31 - 1, "N/A", True)}
+    assert "SortAggregate" not in wide._jdf.queryExecution().executedPlan().toString()
