@@ -20,6 +20,10 @@ the same way at every size:
 The store is a table in the shared folder, read by column: steps 2 and 3 see the
 same chunks, since range partitioning samples its borders anew for each plan.
 ``store`` lets the caller own the table and remove it once the result is stored.
+Where no group is large all that is not needed: ``small`` names columns of the
+group whose rows a task can hold, and rows meet by them in one shuffle, with no
+table and no second move.
+
 The border groups and their pieces are two rows for each partition of the input;
 they are broadcast as long as that is at most BROADCAST_ROWS, and joined by a
 shuffle beyond.  The result equals the single window; no row is dropped or
@@ -44,7 +48,7 @@ def stored_table(df: DataFrame, path: str | None = None) -> DataFrame:
     """df as a Parquet table in the shared folder: reliable, and read by column."""
     spark = df.sparkSession
     path = path or f"{checkpoint_dir(spark).rstrip('/')}/sequence-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -82,6 +86,7 @@ def sequence(
     group_max: dict[str, Column] | None = None,
     store: Callable[[DataFrame], DataFrame] | None = None,
     chunks: int | None = None,
+    small: Sequence[str] = (),
 ) -> DataFrame:
     """Add ordered-window columns per ``group``.
 
@@ -93,8 +98,11 @@ def sequence(
     ``order`` must be a total order (spell NULL placement explicitly).
     ``store`` makes the ranged rows durable (a table in the shared folder if
     not given); ``chunks`` is the number of range partitions (the shuffle setting
-    if not given).
+    if not given).  ``small``: columns of ``group``, if it is known that a task can
+    hold all rows of any value of them.
     """
+    if small:
+        return window_sequence(df.repartition(*small), group, order, number=number, size=size, lag=lag, first=first, group_max=group_max)
     lag, first, group_max = lag or {}, first or {}, group_max or {}
     by = [*[F.col(g).asc_nulls_first() for g in group], *order]
     ranged = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)

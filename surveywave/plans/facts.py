@@ -5,6 +5,9 @@ Shuffle plan (the only large exchanges of the pipeline):
   by snapshot id, and by range of (family, survey, date) for the sequence;
 * fact_indicators — responses by response id (priority / achievement flags),
   by snapshot_id (resolve), by range of (family, indicator, survey).
+Where no family has more than FEW snapshots (``small``) the last of each is a
+shuffle by family instead: no row is stored and moved again for its window, and
+the rows of a family stay together, which they compress and sum up by.
 Small sides (survey indicators, organisations, surveys) are broadcast by Spark
 when their size is under the threshold, by plan or as measured at run time.
 """
@@ -21,6 +24,7 @@ from surveywave.operators.relational import keep_first
 from surveywave.operators.sequence import sequence
 
 Store = Callable[[DataFrame], DataFrame]
+FEW = 10_000  # snapshots of a family: with all their responses, what a task sorts
 
 FACT_SNAPSHOT_COLUMNS = [
     "snapshot_id", "family_id", "organization_id", "application_id", "survey_definition_id",
@@ -49,7 +53,13 @@ def latest_order():
             F.col("snapshot_id").desc_nulls_first()]
 
 
-def fact_snapshots(stg_snapshots: DataFrame, store: Store | None = None) -> DataFrame:
+def few_snapshots(stg_snapshots: DataFrame) -> bool:
+    """No family has so many snapshots that a task should not hold them."""
+    largest = stg_snapshots.groupBy("family_id").count().agg(F.max("count")).first()[0]
+    return (largest or 0) <= FEW
+
+
+def fact_snapshots(stg_snapshots: DataFrame, store: Store | None = None, small: bool = False) -> DataFrame:
     """Recompute the per-(family, survey) sequence; source numbers are ignored.
 
     is_last is per family across all surveys: the latest row of each family,
@@ -61,7 +71,7 @@ def fact_snapshots(stg_snapshots: DataFrame, store: Store | None = None) -> Data
     seq = sequence(
         s, ["family_id", "survey_definition_id"], snapshot_order(),
         number="snapshot_number", size="max_snapshot_number",
-        lag={"_prev_date": "snapshot_date"}, first={"_first_date": "snapshot_date"}, store=store)
+        lag={"_prev_date": "snapshot_date"}, first={"_first_date": "snapshot_date"}, store=store, small=["family_id"] if small else [])
     return seq.select(
         "snapshot_id", "family_id", "organization_id", "application_id", "survey_definition_id",
         "project_id", date_key("snapshot_date").alias("date_key"), "snapshot_date",
@@ -86,7 +96,7 @@ def resolve_indicator(responses: DataFrame, snapshots: DataFrame, survey_indicat
 def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicators: DataFrame,
                     dim_family: DataFrame, dim_organization: DataFrame,
                     dim_survey_definition: DataFrame, priorities: DataFrame,
-                    achievements: DataFrame, store: Store | None = None) -> DataFrame:
+                    achievements: DataFrame, store: Store | None = None, small: bool = False) -> DataFrame:
     # Existence filters: the source inner-joins three dimensions without
     # selecting from them; with unique dimension keys that is a semi join.
     snaps = (fact_snaps
@@ -111,7 +121,7 @@ def fact_indicators(fact_snaps: DataFrame, responses: DataFrame, survey_indicato
         flagged, ["family_id", "survey_indicator_id"],
         [F.col("snapshot_number").asc_nulls_last(), F.col("snapshot_stoplight_id").asc_nulls_last()],
         lag={"previous_score": "current_score", "was_priority_in_previous": "is_priority"},
-        group_max={"baseline_score": F.when(F.col("is_baseline"), F.col("current_score"))}, store=store)
+        group_max={"baseline_score": F.when(F.col("is_baseline"), F.col("current_score"))}, store=store, small=["family_id"] if small else [])
     return seq.select(
         "snapshot_stoplight_id", "snapshot_id", "family_id", "organization_id",
         "survey_indicator_id", "survey_definition_id", "project_id",

@@ -135,3 +135,58 @@ def test_dimensions_are_stored_so_that_their_size_is_known(wh_small):
     for model in ("dim_organization", "dim_survey_definition", "dim_indicator_questions"):
         plan = wh_small.m(model)._jdf.queryExecution().optimizedPlan()
         assert "Join" not in plan.toString() and plan.stats().sizeInBytes() < 1 << 20
+
+
+def _mixed_snapshots(spark):
+    """Families of many snapshots and few, without dates, without an id, rows that repeat."""
+    rows = [{"id": k, "family_id": None if k % 13 == 0 else k * k % 7, "organization_id": 1, "survey_definition_id": k % 3 or None,
+             "snapshot_date": None if k % 11 == 0 else k * 37 % 50 * DAY, "created_at": k % 2} for k in range(90)]
+    return staging.stg_snapshots(raw_snapshots(spark, rows + rows[20:25]))
+
+
+def test_facts_of_few_snapshots_meet_by_family(spark):
+    """No ranged rows are stored and moved again, and the rows are the same."""
+    stg, held = _mixed_snapshots(spark), []
+    keep = lambda df: held.append(df) or df
+    small = facts.fact_snapshots(stg, keep, small=True)
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert not held and "rangepartitioning" not in plan and "_chunk" not in plan
+    large = facts.fact_snapshots(stg)
+    cols = [c for c in large.columns if c != "snapshot_updated_at"]
+    assert sorted(map(repr, small.select(*cols).collect())) == sorted(map(repr, large.select(*cols).collect()))
+
+    # two codes of a survey, an indicator of two surveys, scores that do not count
+    resp = spark.createDataFrame([(1000 + 2 * i + c, i, "ab"[c], [0, 1, 2, 3, 9][(i + c) % 5]) for i in range(90) for c in (0, 1)],
+                                 "snapshot_stoplight_id long, snapshot_id long, indicator_code_name string, indicator_status_value int")
+    si = spark.createDataFrame([(7, 1, "a"), (8, 1, "b"), (7, 2, "a")], "survey_indicator_id long, survey_definition_id long, indicator_code_name string")
+    ids = lambda name, n: spark.range(n).withColumnRenamed("id", name)
+    pr, ac = ids("snapshot_stoplight_id", 1050), ids("snapshot_stoplight_id", 1011)
+    once = facts.fact_snapshots(stg.distinct(), small=True)
+    build = lambda **how: facts.fact_indicators(once, resp, si, ids("family_id", 9), ids("organization_id", 9), ids("survey_definition_id", 9), pr, ac, **how)
+    small, large = build(store=keep, small=True), build()
+    assert not held and "rangepartitioning" not in small._jdf.queryExecution().executedPlan().toString()
+    got = sorted(map(repr, small.collect()))
+    assert len(got) > 50 and got == sorted(map(repr, large.collect()))
+
+
+def test_a_family_of_many_snapshots_is_cut_into_chunks(spark, monkeypatch):
+    from surveywave.plans.warehouse import Warehouse
+
+    wh, stored = Warehouse(spark, None), []
+    wh.use("stg_snapshots", _mixed_snapshots(spark))
+    assert wh._few_snapshots()
+    few = sorted(map(repr, wh.m("fact_snapshots").drop("snapshot_updated_at").collect()))
+    monkeypatch.setattr(facts, "FEW", 5)
+    plain = facts.sequence
+    monkeypatch.setattr(facts, "sequence", lambda *a, small=(), **k: stored.append(small) or plain(*a, small=small, **k))
+    wh = Warehouse(spark, None)
+    wh.use("stg_snapshots", _mixed_snapshots(spark))
+    assert sorted(map(repr, wh.m("fact_snapshots").drop("snapshot_updated_at").collect())) == few
+    assert stored == [[]] and not wh._few_snapshots()
+
+
+def test_a_task_reads_little_of_a_file():
+    """Grouping by keys that hardly repeat spilled 128 MB of files a task."""
+    from surveywave.session import SQL_DEFAULTS
+
+    assert int(SQL_DEFAULTS["spark.sql.files.maxPartitionBytes"]) <= 32 << 20
