@@ -67,8 +67,14 @@ STEP_TOKENS = 1024
 STEP_WORDS = 4096  # tokens of a step that predicts words: so that those of a class are many at once
 SCORE_TOKENS = 4096
 SCORE_WORDS = 16384
+SLOTS = 8  # first bits of words told apart, for each word
+MOST_STEPS = 16
 BLOCK = 4096  # parameters in a row of the aggregation
 RATE = 0.01
+ADAM_PIECE = 16384
+LEAST_SUM = 1e-25  # sums of exponentials beyond it, or its inverse, are taken again with shifted logits
+CACHED_ROWS = 4096  # whose class logits are taken at once
+TILE = 1 << 17  # logits of the tokens of a class that scoring has at once
 GROUP_BYTES = 2 << 20
 HELD_WORDS = 1_000_000
 
@@ -131,6 +137,12 @@ class Tokens:
         self.share = np.log(count) - np.log(mass[self.of])
         self.prior = np.log(np.maximum(mass, 1e-9) / count.sum())
         self.bucket_mass = np.log(count[len(self.words):])
+        # words with the same first bits lie together: at most `steps` are compared
+        bits = max(1, (SLOTS * len(self.words)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        ends = np.searchsorted(self.words >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+        self.slots, self.steps = ends[:-1].astype(np.int32), int(np.diff(ends).max())
+        self.ended = np.append(self.words, np.repeat(self.words[:1], self.steps))  # beyond the end nothing is equal: the first word starts at 0
         more, n = listed or (np.empty(0, np.int64), np.empty(0))
         order = np.argsort(more.view(np.uint64))
         self.listed, self.listed_count = more.view(np.uint64)[order], np.log(n[order])
@@ -138,8 +150,16 @@ class Tokens:
     def number(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return (hashes % np.uint64(self.buckets)).astype(np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, len(self.words) + (hashes % np.uint64(self.buckets)).astype(np.int64))
+        if self.steps > MOST_STEPS:
+            at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+            return np.where(self.words[at] == hashes, at, len(self.words) + (hashes % np.uint64(self.buckets)).astype(np.int64))
+        at = self.slots[hashes >> self.shift].astype(np.int64)
+        out = len(self.words) + (hashes % np.uint64(self.buckets)).astype(np.int64)
+        for _ in range(self.steps):
+            hit = np.flatnonzero(self.ended[at] == hashes)
+            out[hit] = at[hit]
+            at += 1
+        return out
 
     def in_bucket(self, hashes: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of the words in buckets, their log share of the bucket, and
@@ -155,11 +175,25 @@ class Tokens:
         return at, share, rare
 
 
+def _exp(z: np.ndarray, shift: bool) -> np.ndarray | float:
+    """Replaces logits by their exponentials; what the rows were shifted by."""
+    top = z.max(axis=1, keepdims=True) if shift else 0.0
+    if shift:
+        z -= top
+    np.exp(z, out=z)
+    return top
+
+
+def _sound(total: np.ndarray) -> bool:
+    """Whether sums of exponentials are exact as they are: none too large, none lost."""
+    return bool(total.min() > LEAST_SUM and total.max() < 1 / LEAST_SUM)
+
+
 class Network:
     """The window network; all parameters are views of one vector.
 
     With ``of``, the class of each token, it sees tokens and predicts them (``u``
-    and ``o`` lie by class); ``start`` is what ``o`` begins with, by token.
+    and ``o`` lie by class, side by side); ``start`` is what ``o`` begins with, by token.
     """
 
     def __init__(self, classes: int, flat: np.ndarray | None = None, prior: np.ndarray | None = None,
@@ -168,11 +202,15 @@ class Network:
         shapes = [("e", (self.gap + 1, WIDTH)), ("w", (2 * SIDE * WIDTH, HIDDEN)), ("b", (HIDDEN,)), ("v", (HIDDEN, classes)), ("c", (classes,))]
         self.of = of
         if of is not None:
-            shapes += [("q", (HIDDEN, WIDTH)), ("u", (len(of), WIDTH)), ("o", (len(of),))]
+            shapes += [("q", (HIDDEN, WIDTH)), ("uo", (len(of), WIDTH + 1))]
             order = np.argsort(of, kind="stable")
             self.place = np.empty(len(of), np.int64)  # of a token in u and o
             self.place[order] = np.arange(len(of))
-            self.first = np.searchsorted(of[order], np.arange(classes + 1))
+            self.first = np.searchsorted(of[order], np.arange(classes + 1)).tolist()
+            self.alone = [k for k, more in zip(self.first, self.first[1:]) if more == k + 1]  # certain in their class
+            self.narrow = self.place.astype(np.min_scalar_type(len(of)))  # sorted by counting
+            self.seen = np.ones((len(of), WIDTH + 1), np.float32)
+            self.room = np.empty(TILE, np.float32)
         size = sum(int(np.prod(s)) for _, s in shapes)
         self.classes = classes
         if flat is None:
@@ -186,90 +224,184 @@ class Network:
             n = int(np.prod(shape))
             self.p[name], self.g[name] = self.flat[at:at + n].reshape(shape), self.grad[at:at + n].reshape(shape)
             at += n
+        if of is not None:
+            for a in (self.p, self.g):
+                a["u"], a["o"] = a["uo"][:, :WIDTH], a["uo"][:, WIDTH]
         if prior is not None:
             self.p["c"][:] = prior
         if start is not None:
             self.p["o"][self.place] = start
-        self.m, self.s, self.t = np.zeros(size, np.float32), np.zeros(size, np.float32), 0
+        self.m, self.s, self.t = np.zeros(size, np.float32), np.zeros(size, np.float32), 0  # m: ten times the mean
 
     def windows(self, docs: list[np.ndarray]) -> np.ndarray:
         """What is on both sides of each token; `gap` beyond the ends."""
-        gap = np.full(SIDE, self.gap)
-        line = np.concatenate([gap, *(x for d in docs for x in (d, gap))])
-        keep = np.concatenate([np.arange(len(d)) + at for d, at in zip(
-            docs, SIDE + np.concatenate(([0], np.cumsum([len(d) + SIDE for d in docs])))[:-1])]) if docs else np.empty(0, np.int64)
-        shifts = [k for k in range(-SIDE, SIDE + 1) if k]
-        return np.stack([line[keep + k] for k in shifts], axis=1) if len(keep) else np.empty((0, 2 * SIDE), np.int64)
+        size = np.array([len(d) for d in docs], np.int64)
+        keep = np.arange(size.sum()) + SIDE * np.repeat(np.arange(1, len(docs) + 1), size)
+        line = np.full(len(keep) + SIDE * (len(docs) + 1), self.gap)
+        if docs:
+            line[keep] = np.concatenate(docs)
+        return line.take(keep[:, None] + np.array([k for k in range(-SIDE, SIDE + 1) if k]))
+
+    def _hidden(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        x = self.p["e"].take(sides.ravel(), axis=0).reshape(len(sides), -1)
+        h = x @ self.p["w"]
+        h += self.p["b"]
+        h *= 2  # tanh by exp, which is the faster one
+        np.exp(h, out=h)
+        h += 1
+        np.divide(-2, h, out=h)
+        h += 1
+        return x, h
+
+    def _logits(self, h: np.ndarray) -> np.ndarray:
+        z = h @ self.p["v"]
+        z += self.p["c"]
+        return z
 
     def forward(self, sides: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        x = self.p["e"][sides].reshape(len(sides), -1)
-        h = np.tanh(x @ self.p["w"] + self.p["b"])
-        z = h @ self.p["v"] + self.p["c"]
+        x, h = self._hidden(sides)
+        z = self._logits(h)
         z -= z.max(axis=1, keepdims=True)
         z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
         return x, h, z
 
-    def _in_class(self, h: np.ndarray, target: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray, np.ndarray, np.ndarray]]:
-        """By class: the rows whose target is in it, its tokens' places, the rows'
-        queries (with a 1 for ``o``), the place of the target among the tokens and
-        their logits less the largest.  Classes of one are certain."""
+    def _by_class(self, h: np.ndarray, target: np.ndarray, tile: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[slice, slice]]]:
+        """The rows ordered by the place of their target, so by its class, their queries (with a 1
+        for ``o``), the places of their targets, and by class its rows (with ``tile``, so
+        many logits at once) and the places of its tokens.  Classes of one are left out."""
+        by = np.argsort(self.narrow[target], kind="stable")
+        place = self.place[target[by]]
         query = np.ones((len(h), WIDTH + 1), np.float32)
-        query[:, :WIDTH] = h @ self.p["q"]
-        key = np.column_stack((self.p["u"], self.p["o"]))
-        own = self.of[target]
-        by = np.argsort(own, kind="stable")
-        cuts = np.searchsorted(own[by], np.arange(self.classes + 1))
-        query, place = query[by], self.place[target[by]]
-        for k in range(self.classes):
-            at, its = slice(cuts[k], cuts[k + 1]), slice(self.first[k], self.first[k + 1])
-            if at.stop > at.start and its.stop - its.start > 1:
-                z = query[at] @ key[its].T
-                z -= z.max(axis=1, keepdims=True)
-                yield by[at], its, query[at], place[at] - its.start, z
+        query[:, :WIDTH] = (h @ self.p["q"]).take(by, axis=0)
+        parts, cuts = [], np.searchsorted(place, self.first).tolist()
+        for low, high, first, last in zip(cuts, cuts[1:], self.first, self.first[1:]):
+            if high > low and last - first > 1:
+                step = max(1, tile // (last - first)) if tile else high - low
+                parts += [(slice(at, min(at + step, high)), slice(first, last)) for at in range(low, high, step)]
+        return by, query, place, parts
+
+    def _inner(self, query: np.ndarray, at: slice, its: slice) -> np.ndarray:
+        """The logits of a class' tokens for these rows, in memory that is used again."""
+        shape = at.stop - at.start, its.stop - its.start
+        if shape[0] * shape[1] > len(self.room):
+            self.room = np.empty(shape[0] * shape[1], np.float32)
+        return np.matmul(query[at], self.p["uo"][its].T, out=self.room[:shape[0] * shape[1]].reshape(shape))
 
     def log_prob(self, sides: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of each target, a token or a class as the network predicts them."""
-        _, h, z = self.forward(sides)
         if self.of is None:
+            z = self.forward(sides)[2]
             return z[np.arange(len(z)), target]
-        value = z[np.arange(len(z)), self.of[target]]
-        for rows, _, _, place, inner in self._in_class(h, target):
-            hit = inner[np.arange(len(rows)), place]
-            value[rows] += hit - np.log(np.exp(inner, out=inner).sum(axis=1))
+        with np.errstate(over="ignore", invalid="ignore"):
+            value = self._log_prob(sides, target, False)
+        return self._log_prob(sides, target, True) if value is None else value
+
+    def _log_prob(self, sides: np.ndarray, target: np.ndarray, shift: bool) -> np.ndarray | None:
+        if not len(target):
+            return np.empty(0, np.float32)
+        _, h = self._hidden(sides)
+        value, own, ones = np.empty(len(h), np.float32), self.of[target], np.ones(self.classes, np.float32)
+        for low in range(0, len(h), CACHED_ROWS):
+            at = slice(low, low + CACHED_ROWS)
+            z = self._logits(h[at])
+            hit = z.reshape(-1).take(np.arange(len(z)) * self.classes + own[at])
+            top, total = _exp(z, shift), z @ ones
+            if not shift and not _sound(total):
+                return None
+            value[at] = np.minimum(hit - np.log(total) - np.ravel(top), 0)
+        by, query, place, parts = self._by_class(h, target, TILE)
+        hit, tops, total = np.zeros(len(h), np.float32), np.zeros(len(h), np.float32), np.ones(len(h), np.float32)
+        rows, ones = np.arange(len(h)), np.ones(max(np.diff(self.first)), np.float32)
+        for at, its in parts:
+            z = self._inner(query, at, its)
+            hit[at] = z.reshape(-1).take(rows[:len(z)] * z.shape[1] + (place[at] - its.start))
+            tops[at] = np.ravel(_exp(z, shift))
+            np.matmul(z, ones[:its.stop - its.start], out=total[at])
+        if not shift and not _sound(total):
+            return None
+        value[by] += np.minimum(hit - np.log(total) - tops, 0)
         return value
 
     def train(self, sides: np.ndarray, target: np.ndarray) -> None:
         """One step of Adam on these tokens."""
-        x, h, z = self.forward(sides)
-        d = np.exp(z)
-        d[np.arange(len(d)), target if self.of is None else self.of[target]] -= 1
-        d /= len(d)
-        self.g["v"][:] = h.T @ d
-        self.g["c"][:] = d.sum(axis=0)
-        down = d @ self.p["v"].T
+        with np.errstate(over="ignore", invalid="ignore"):
+            sound = self._gradient(sides, target, False)
+        if not sound:
+            self._gradient(sides, target, True)
+        self._adam()
+
+    def _gradient(self, sides: np.ndarray, target: np.ndarray, shift: bool) -> bool:
+        """Of the mean loss of these tokens; false if it has to be taken with shifted logits."""
+        x, h = self._hidden(sides)
+        n, own = len(h), target if self.of is None else self.of[target]
+        down = np.empty_like(h)
+        self.g["v"][:], self.g["c"][:] = 0, 0
+        for low in range(0, n, CACHED_ROWS):
+            at = slice(low, low + CACHED_ROWS)
+            d = self._logits(h[at])
+            _exp(d, shift)
+            total, rows = d @ np.ones(self.classes, np.float32), np.arange(len(d))
+            if not shift and not _sound(total):
+                return False
+            d *= (1 / (total * n))[:, None]
+            d.reshape(-1)[rows * self.classes + own[at]] -= 1 / n
+            self.g["v"] += h[at].T @ d
+            self.g["c"] += np.ones(len(d), np.float32) @ d
+            np.matmul(d, self.p["v"].T, out=down[at])
         if self.of is not None:
-            asked = np.zeros((len(h), WIDTH), np.float32)
-            self.g["u"][:], self.g["o"][:] = 0, 0
-            for rows, its, query, place, d in self._in_class(h, target):
-                np.exp(d, out=d)
-                d *= 1 / (d.sum(axis=1, keepdims=True) * len(h))
-                d[np.arange(len(rows)), place] -= 1 / len(h)
-                both = d.T @ query
-                self.g["u"][its], self.g["o"][its] = both[:, :WIDTH], both[:, WIDTH]
-                asked[rows] = d @ self.p["u"][its]
-            self.g["q"][:] = h.T @ asked
+            by, query, place, parts = self._by_class(h, target)
+            seen, grad = self.seen, self.g["uo"]
+            seen[:, :WIDTH] = self.p["u"]
+            given = seen.take(place, axis=0)
+            met, asking = given.copy(), query * np.float32(1 / n)  # met: the sums of u (and of 1) over a class
+            grad[:] = 0
+            for at, its in parts:
+                z = self._inner(query, at, its)
+                _exp(z, shift)
+                its_met = np.matmul(z, seen[its], out=met[at])
+                np.matmul(z.T, asking[at] / its_met[:, WIDTH:], out=grad[its])
+            if not shift and not _sound(met[:, WIDTH]):
+                return False
+            runs = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+            grad[place[runs]] -= np.add.reduceat(asking, runs, axis=0)
+            grad[self.alone] = 0
+            met /= met[:, WIDTH:]
+            met -= given
+            met *= 1 / n
+            asked = np.empty((n, WIDTH), np.float32)
+            asked[by] = met[:, :WIDTH]
+            np.matmul(h.T, asked, out=self.g["q"])
             down += asked @ self.p["q"].T
-        back = down * (1 - h * h)
-        self.g["w"][:] = x.T @ back
-        self.g["b"][:] = back.sum(axis=0)
-        down = (back @ self.p["w"].T).reshape(-1, WIDTH)
+        np.multiply(h, h, out=h)
+        np.subtract(1, h, out=h)
+        down *= h
+        np.matmul(x.T, down, out=self.g["w"])
+        np.matmul(np.ones(n, np.float32), down, out=self.g["b"])
+        down = (down @ self.p["w"].T).reshape(-1, WIDTH)
         flat = sides.ravel()
         for k in range(WIDTH):
             self.g["e"][:, k] = np.bincount(flat, down[:, k], self.gap + 1)
+        return True
+
+    def _adam(self) -> None:
+        """Changes the parameters by their gradients, a piece after the other that the cache holds."""
         self.t += 1
-        self.m += 0.1 * (self.grad - self.m)
-        self.s += 0.001 * (self.grad * self.grad - self.s)
-        self.flat -= RATE * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.s / (1 - 0.999**self.t)) + 1e-8)
+        first, second = 1 - 0.9**self.t, (1 - 0.999**self.t) ** 0.5
+        rate, least, spare = RATE * 0.1 * second / first, 1e-8 * second, np.empty(ADAM_PIECE, np.float32)
+        for low in range(0, len(self.flat), ADAM_PIECE):
+            flat, grad, m, s = (a[low:low + ADAM_PIECE] for a in (self.flat, self.grad, self.m, self.s))
+            a = spare[:len(flat)]
+            m *= 0.9
+            m += grad
+            np.multiply(grad, grad, out=a)
+            a *= 0.001
+            s *= 0.999
+            s += a
+            np.sqrt(s, out=a)
+            a += least
+            np.divide(m, a, out=a)
+            a *= rate
+            flat -= a
 
 
 def _network(tokens: Tokens, flat: np.ndarray | None, words: bool) -> Network:
@@ -284,10 +416,13 @@ def _train(shared, words: bool):
         net, seen, step = _network(tokens, start, words), 0, STEP_WORDS if words else STEP_TOKENS
         for batch in batches:
             for docs, _ in _groups(batch.column("_t").to_pylist()):
-                docs = [tokens.number(d) if words else tokens.of[tokens.number(d)] for d in docs if len(d)]
+                docs = [d for d in docs if len(d)]
                 if not docs:
                     continue
-                sides, target = net.windows(docs), np.concatenate(docs)
+                target, size = tokens.number(np.concatenate(docs)), [len(d) for d in docs]
+                if not words:
+                    target = tokens.of[target]
+                sides = net.windows(np.split(target, np.cumsum(size[:-1])))
                 for low in range(0, len(target), step):
                     net.train(sides[low:low + step], target[low:low + step])
                 seen += len(target)
@@ -317,13 +452,13 @@ def _values(tokens: Tokens, net: Network, numbers: list[np.ndarray]) -> np.ndarr
     return value if words else value + tokens.share[flat]
 
 
-def _between(hashes: np.ndarray, whose: np.ndarray) -> np.ndarray:
-    """A hash of each token's two neighbours, 0 standing for the ends of a document."""
+def _between(hashes: np.ndarray, whose: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of the two neighbours of the tokens at these places, 0 standing for the ends of a document."""
     inner = whose[1:] == whose[:-1]
     left, right = np.zeros_like(hashes), np.zeros_like(hashes)
     left[1:], right[:-1] = np.where(inner, hashes[:-1], np.uint64(0)), np.where(inner, hashes[1:], np.uint64(0))
     with np.errstate(over="ignore"):
-        return mix64(mix64(left + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + right)
+        return mix64(mix64(left[at] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + right[at])
 
 
 def _score(shared, words: bool):
@@ -332,14 +467,15 @@ def _score(shared, words: bool):
         net = _network(tokens, flat, words)
         for batch in batches:
             for docs, first in _groups(batch.column("_t").to_pylist()):  # a batch out for a few MB of texts
-                numbers, size = [tokens.number(d) for d in docs], np.array([len(d) for d in docs])
-                value, whose, hashes = _values(tokens, net, numbers), np.repeat(np.arange(len(docs)), size), np.concatenate(docs)
-                at, share, rare = tokens.in_bucket(hashes, np.concatenate(numbers))
+                size, hashes = np.array([len(d) for d in docs]), np.concatenate(docs)
+                whose, flat = np.repeat(np.arange(len(docs)), size), tokens.number(hashes)
+                value = _values(tokens, net, np.split(flat, np.cumsum(size[:-1])))
+                at, share, rare = tokens.in_bucket(hashes, flat)
                 value[at] += share
                 at = at[rare]  # by owner, as tokens are
                 found = pa.ListArray.from_arrays(
                     pa.array(np.concatenate(([0], np.cumsum(np.bincount(whose[at], minlength=len(docs))))), pa.int32()),
-                    pa.StructArray.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(_between(hashes, whose)[at].view(np.int64)),
+                    pa.StructArray.from_arrays([pa.array(hashes[at].view(np.int64)), pa.array(_between(hashes, whose, at).view(np.int64)),
                                                 pa.array(value[at].astype(np.float32))], ["w", "c", "v"]))
                 value[at] = 0
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, len(docs)), pa.array(size, pa.int64()),

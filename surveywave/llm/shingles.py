@@ -9,22 +9,25 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 16  # its arrays stay in a processor's cache
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_powers = np.ones(1, dtype=np.uint64)
+_CODE = _LOWER.astype(np.uint64) + np.uint64(1)
+_CODE[_BLANK] = 0
+_BASE = 0x9E3779B97F4A7C15
+_powers = np.ones((2, 1), dtype=np.uint64)
 
 
 def _power_table(n: int) -> np.ndarray:
+    """Powers of the base and of its inverse, modulo 2**64."""
     global _powers
-    if n > len(_powers):
-        grown = np.full(max(n, 64, 2 * len(_powers)), _BASE, dtype=np.uint64)
-        grown[0] = 1
+    if n > _powers.shape[1]:
+        grown = np.empty((2, max(n, 64)), dtype=np.uint64)
+        grown[0], grown[1], grown[:, 0] = _BASE, pow(_BASE, -1, 1 << 64), 1
         with np.errstate(over="ignore"):
-            _powers = np.multiply.accumulate(grown)
+            _powers = np.multiply.accumulate(grown, axis=1)
     return _powers
 
 
@@ -38,18 +41,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def _words_of(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first byte's place of every word of a byte buffer."""
-    blank = _BLANK[buf]
-    inside = np.flatnonzero(~blank)
-    if not len(inside):
+    blank = np.ones(len(buf) + 2, dtype=bool)
+    blank[1:-1] = _BLANK[buf]
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, length = edges[::2], np.diff(edges)[::2]
+    if not len(starts):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    first = np.concatenate(([True], np.diff(inside) > 1))
-    at = np.flatnonzero(first)
-    starts = inside[at]
-    length = np.diff(np.append(at, len(inside)))
-    place = np.arange(len(inside)) - np.repeat(at, length)
+    powers, inverse = _power_table(len(buf))
     with np.errstate(over="ignore"):
-        value = (_LOWER[buf[inside]].astype(np.uint64) + np.uint64(1)) * _power_table(int(length.max()))[place]
-        return mix64(np.add.reduceat(value, at) + length.astype(np.uint64)), starts
+        # powers of the place in the buffer, so blanks count nothing; then of the place in the word
+        value = _CODE[buf] * powers[:len(buf)]
+        return mix64(np.add.reduceat(value, starts) * inverse[starts] + length.astype(np.uint64)), starts
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -60,13 +62,13 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         return _words_of(buf)
     hashes, places, start = [], [], 0
     while start < len(buf):
-        end = min(len(buf), start + CHUNK_BYTES)
+        end, step = min(len(buf), start + CHUNK_BYTES), 256
         while end < len(buf):
-            gap = np.flatnonzero(_BLANK[buf[end:end + CHUNK_BYTES]])
+            gap = np.flatnonzero(_BLANK[buf[end:end + step]])
             if len(gap):
                 end += int(gap[0])
                 break
-            end = min(len(buf), end + CHUNK_BYTES)
+            end, step = min(len(buf), end + step), 4 * step
         h, p = _words_of(buf[start:end])
         hashes.append(h)
         places.append(p + start)

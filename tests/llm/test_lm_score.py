@@ -164,6 +164,60 @@ def test_words_sum_to_one_and_gradient_against_differences():
         assert (loss(start + step) - loss(start - step)) / 2e-2 == pytest.approx(grad[k], abs=2e-3)
 
 
+def word_network(seed=3, spread=1.0):
+    gen = np.random.default_rng(seed)
+    net = S.Network(3, of=np.array([0, 1, 1, 2, 2, 2, 1, 2]), start=gen.normal(0, 1, 8))
+    net.p["u"][:] = gen.normal(0, spread, net.p["u"].shape)
+    return net, gen.integers(0, 9, (9, 4)), gen.integers(0, 8, 9)
+
+
+def test_a_step_takes_every_exponential_once(monkeypatch):
+    """Those of the hidden layer, of the classes and of the tokens of the target's class."""
+    net, sides, target = word_network()
+    taken, exp = [], np.exp
+    monkeypatch.setattr(S.np, "exp", lambda x, *a, **k: taken.append(np.size(x)) or exp(x, *a, **k))
+    net.train(sides, target)
+    size = np.bincount(net.of)
+    assert sum(taken) <= 9 * (S.HIDDEN + 3) + size[net.of[target]].sum()
+
+
+def test_logits_beyond_the_range_of_exponentials():
+    """They are shifted: values and gradients as in double precision."""
+    net, sides, target = word_network(spread=200.0)
+    net.p["c"][:] = [150, -150, 0]
+    start, p, of = net.flat.copy(), {k: v.astype(float) for k, v in net.p.items()}, net.of
+    h = np.tanh(p["e"][sides].reshape(9, -1) @ p["w"] + p["b"])
+    z, inner = h @ p["v"] + p["c"], (h @ p["q"]) @ p["u"].T + p["o"]
+    assert np.abs(inner).max() > 100
+    at = np.where(of[net.place.argsort()] == of[target][:, None], inner, -np.inf)  # u and o lie by class
+    soft = [np.exp(x - x.max(axis=1, keepdims=True)) for x in (z, at)]
+    soft = [x / x.sum(axis=1, keepdims=True) for x in soft]
+    with np.errstate(divide="ignore"):
+        wanted = sum(x - top - np.log(np.exp(x - top).sum(axis=1, keepdims=True)) for x, top in ((z, z.max(axis=1, keepdims=True)),))[np.arange(9), of[target]]
+        top = at.max(axis=1, keepdims=True)
+        wanted = wanted + (at - top - np.log(np.exp(at - top).sum(axis=1, keepdims=True)))[np.arange(9), net.place[target]]
+    assert net.log_prob(sides, target) == pytest.approx(wanted, rel=1e-3, abs=1e-2)
+    net.train(sides, target)
+    soft[1][np.arange(9), net.place[target]] -= 1
+    alone = np.bincount(of)[of[net.place.argsort()]] == 1
+    soft[1][:, alone] = 0
+    assert net.g["u"] == pytest.approx(soft[1].T @ (h @ p["q"]) / 9, abs=1e-3)
+    soft[0][np.arange(9), of[target]] -= 1
+    assert net.g["c"] == pytest.approx(soft[0].mean(axis=0), abs=1e-4)
+    assert np.isfinite(net.flat).all() and (net.flat != start).any()
+
+
+@pytest.mark.parametrize("crowded", [False, True])
+def test_numbers_of_words(crowded):
+    gen = np.random.default_rng(5)
+    words = np.unique(gen.integers(0, 1 << 63, 300, dtype=np.uint64) >> np.uint64(50 if crowded else 0))
+    tokens = S.Tokens(words.view(np.int64), np.arange(1.0, len(words) + 1), np.ones(8), 4)
+    assert (tokens.steps > S.MOST_STEPS) == crowded
+    asked = np.concatenate((words, words + np.uint64(1), gen.integers(0, 1 << 63, 300, dtype=np.uint64) * np.uint64(2), np.array([0, 2**64 - 1], np.uint64)))
+    known = {w: k for k, w in enumerate(words.tolist())}
+    assert tokens.number(asked).tolist() == [known.get(w, len(words) + w % 8) for w in asked.tolist()]
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (None, "word here"), (4, "word here"), (4, "word here"), (5, "long " * 200_000)]
     df = spark.createDataFrame([(*r, "clash", 1) for r in rows], SCHEMA)
