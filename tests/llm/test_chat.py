@@ -95,3 +95,42 @@ def test_long_conversations_are_chains_in_chunks(packs):
 def test_empty_table(spark):
     packs = C.format_conversations(spark.createDataFrame([], SCHEMA), Scratch(spark, "t"))
     assert C.read_back(packs).count() == 0
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_long_conversations_share_their_turns(spark, monkeypatch, cut):
+    """Long ones that share turns, in the middle of a chunk and beyond the first turns, copies and
+    beginnings of others: every turn is written once (but where ranks are cut), and all are read back."""
+    if cut:
+        monkeypatch.setattr(C, "RANGE_CHUNKS", 8)
+    rng = random.Random(3)
+    rows = [(k, t, ("user", "assistant")[t % 2], f"turn {t} " * 9 + str(k * (t >= own))) for k, own in enumerate([99, 70, 70, 41, 12, 99, 0, 0, 55])
+            for t in range(99 if k else 60)]
+    rows += [(50, t, "user", f"apart {t} " * 20) for t in range(40)]
+    rows += [(None, t, "user", f"apart {t} " * 20) for t in range(41)]
+    rows += [(51, t, "user", f"apart {t} " * 20) for t in range(41)]
+    rng.shuffle(rows)
+    rows = [(*r, "clash", 1) for r in rows]
+    packs = C.format_conversations(spark.createDataFrame(rows, SCHEMA).repartition(5), Scratch(spark, "t"), pack_chars=2000)
+    assert sorted(map(tuple, C.read_back(packs).collect()), key=str) == brute(rows)
+    assert packs.where("pack_id < (1L << 62)").count() == 0
+    trees = {}
+    for r in packs.orderBy("tree_id", "pack_id", "chunk").collect():
+        trees.setdefault(r.tree_id, []).extend(n.asDict(recursive=True) for n in r.nodes)
+    said = {}
+    for k, t, role, text, *_ in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        said.setdefault(k, []).append((role, text))
+    prefixes = {tuple(s[:n + 1]) for s in said.values() for n in range(len(s))}
+    written = sum(map(len, trees.values()))
+    assert len(prefixes) < 0.65 * len(rows)
+    assert written == len(prefixes) if not cut else len(prefixes) <= written < len(rows)
+    for nodes in trees.values():
+        for k, node in enumerate(nodes):
+            assert node["start"] == (nodes[k - 1]["end"] if k else 0)
+            chain, at = [], node["parent"]
+            while at >= 0:
+                assert at < k
+                chain.append(at)
+                at = nodes[at]["parent"]
+            visible = {p for i in node["attends"] for p in range(i["start"], i["end"])}
+            assert visible == {p for a in chain for p in range(nodes[a]["start"], nodes[a]["end"])} and node["position"] == len(visible)
